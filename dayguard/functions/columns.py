@@ -7,10 +7,6 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MASK31 = 0x7FFFFFFF
-_MIX_MULT = 0x45D9F3B  # odd multiplier of a public 32-bit integer finaliser
-
-
 def valid_customer(c: str | Column) -> Column:
     """Customer id present and not the anonymous id 0."""
     c = F.col(c) if isinstance(c, str) else c
@@ -41,41 +37,14 @@ def ts_in_days(c: str | Column, start: dt.date, end: dt.date,
 
 
 # --- deterministic, partition-independent hashing -----------------------------
-# A 31-bit integer mixer written with operators that both Spark SQL and DuckDB
-# evaluate identically (and without overflow under ANSI mode), so the DuckDB
-# oracle selects exactly the rows Spark selects.
-
-def _mix(x: str, dialect: str) -> str:
-    def xor(a, b):
-        return f"({a} ^ {b})" if dialect == "spark" else f"xor({a}, {b})"
-
-    def shr(a, n):
-        return f"shiftright({a}, {n})" if dialect == "spark" else f"({a} >> {n})"
-
-    y = f"({x} & {MASK31})"
-    y = f"(({xor(y, shr(y, 16))} * {_MIX_MULT}) & {MASK31})"
-    y = f"(({xor(y, shr(y, 16))} * {_MIX_MULT}) & {MASK31})"
-    return xor(y, shr(y, 16))
-
-
-def _hash_expr(long_cols: list[str], date_cols: list[str], seed: int, dialect: str) -> str:
-    h = _mix(f"CAST({int(seed) & MASK31} AS BIGINT)", dialect)
-    parts = []
-    for c in long_cols:
-        c = f"CAST({c} AS BIGINT)"
-        if dialect == "spark":
-            parts += [f"({c} & {MASK31})", f"(shiftright({c}, 31) & {MASK31})"]
-        else:
-            parts += [f"({c} & {MASK31})", f"(({c} >> 31) & {MASK31})"]
-    for d in date_cols:
-        if dialect == "spark":
-            parts.append(f"CAST(unix_date({d}) AS BIGINT)")
-        else:
-            parts.append(f"CAST(date_diff('day', DATE '1970-01-01', {d}) AS BIGINT)")
-    for p in parts:
-        x = f"({h} ^ {p})" if dialect == "spark" else f"xor({h}, {p})"
-        h = _mix(x, dialect)
-    return f"(CAST({h} AS DOUBLE) / 2147483648.0)"
+# MD5 of a canonical key text ("seed|col|col...") is a standard function that
+# Spark and DuckDB evaluate identically, so the DuckDB oracle selects exactly
+# the rows Spark selects.  The first 32 bits give a uniform number in [0, 1).
+
+def _key_text(cols: list[str], seed: int, dialect: str) -> str:
+    cast = "string" if dialect == "spark" else "VARCHAR"
+    parts = [f"'{int(seed)}'"] + [f"CAST({c} AS {cast})" for c in cols]
+    return f"concat_ws('|', {', '.join(parts)})"
 
 
 def hash_unit(long_cols: list[str], date_cols: list[str] = (), seed: int = 42) -> Column:
@@ -84,12 +53,14 @@ def hash_unit(long_cols: list[str], date_cols: list[str] = (), seed: int = 42) -
     Depends only on the row's key values, never on partitioning or task order,
     so a sample or split is the same after a retry, a repartition or a re-run.
     """
-    return F.expr(_hash_expr(list(long_cols), list(date_cols), seed, "spark"))
+    key = _key_text(list(long_cols) + list(date_cols), seed, "spark")
+    return F.expr(f"CAST(conv(substring(md5({key}), 1, 8), 16, 10) AS BIGINT) / 4294967296.0")
 
 
 def hash_unit_sql(long_cols: list[str], date_cols: list[str] = (), seed: int = 42) -> str:
     """The same number as :func:`hash_unit`, as DuckDB SQL text."""
-    return _hash_expr(list(long_cols), list(date_cols), seed, "duckdb")
+    key = _key_text(list(long_cols) + list(date_cols), seed, "duckdb")
+    return f"(CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) / 4294967296.0)"
 
 
 def safe_ratio(num: Column, den: Column) -> Column:

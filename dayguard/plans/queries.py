@@ -61,3 +61,183 @@ def new_feature_set(spark, sf) -> DataFrame:
 @register
 def feature_table(spark, sf) -> DataFrame:
     return assemble.feature_table(_inp(spark, sf), P)
+
+
+# --- shared, materialised inputs of the notebook stages ------------------------
+from dayguard.operators import curves, evaluate, labels, prep  # noqa: E402
+from dayguard.plans import pipeline  # noqa: E402
+from dayguard.schema import FEATURES  # noqa: E402
+from dayguard.session import cut_lineage  # noqa: E402
+
+_CACHE: dict = {}
+THRESHOLD = 4.3  # decision threshold on the loss score (reference value)
+
+
+def _r(c, name=None):
+    return F.round(F.col(c) if isinstance(c, str) else c, 6).alias(name or c)
+
+
+def materialised_features(spark, sf) -> DataFrame:
+    """The feature table written once to the shared checkpoint folder; later
+    stages (preparation, models, evaluation) read it like the exported table."""
+    key = ("ft", id(spark), sf)
+    if key not in _CACHE:
+        _CACHE[key] = cut_lineage(assemble.feature_table(_inp(spark, sf), P))
+    return _CACHE[key]
+
+
+def _lab(spark, sf):
+    return pipeline.labelled_days(_inp(spark, sf), P)
+
+
+def _prepared(spark, sf) -> pipeline.Prepared:
+    key = ("prep", id(spark), sf)
+    if key not in _CACHE:
+        _CACHE[key] = pipeline.prepare(_inp(spark, sf), P, materialised_features(spark, sf))
+    return _CACHE[key]
+
+
+@register
+def label_orders_ato(spark, sf) -> DataFrame:
+    i = _inp(spark, sf)
+    return labels.label_orders(i.ato_orders, i.orders, P, "label")
+
+
+@register
+def label_orders_all(spark, sf) -> DataFrame:
+    i = _inp(spark, sf)
+    return labels.label_orders(i.fraud_orders, i.orders, P, "orders")
+
+
+@register
+def label_days_ato(spark, sf) -> DataFrame:
+    return _lab(spark, sf).ato_days.select("customer_id", "date", "order_id")
+
+
+@register
+def label_days_all(spark, sf) -> DataFrame:
+    return _lab(spark, sf).all_days.select("customer_id", "date", "order_id")
+
+
+@register
+def ato_rows(spark, sf) -> DataFrame:
+    return labels.labelled_rows(assemble.feature_table(_inp(spark, sf), P), _lab(spark, sf).ato_days)
+
+
+@register
+def fraud_rows(spark, sf) -> DataFrame:
+    return labels.labelled_rows(assemble.feature_table(_inp(spark, sf), P), _lab(spark, sf).all_days)
+
+
+@register
+def fill_nulls(spark, sf) -> DataFrame:
+    return prep.fill_nulls(materialised_features(spark, sf))
+
+
+@register
+def null_profile(spark, sf) -> DataFrame:
+    return prep.null_profile(materialised_features(spark, sf))
+
+
+@register
+def dedup_rows(spark, sf) -> DataFrame:
+    """ATO rows, filled, keys dropped, duplicates removed (preparation order)."""
+    ft = materialised_features(spark, sf)
+    ato = prep.fill_nulls(labels.labelled_rows(ft, _lab(spark, sf).ato_days))
+    return ato.drop(*KEY_COLS).dropDuplicates()
+
+
+@register
+def sample_rows(spark, sf) -> DataFrame:
+    ft = materialised_features(spark, sf)
+    return prep.sample_rows(prep.fill_nulls(pipeline.in_training(ft, P)), pipeline.SAMPLE_FRAC)
+
+
+@register
+def normal_rows(spark, sf) -> DataFrame:
+    return pipeline.normal_rows(materialised_features(spark, sf), _lab(spark, sf), P)
+
+
+@register
+def split_sizes(spark, sf) -> DataFrame:
+    ft = materialised_features(spark, sf)
+    lab = _lab(spark, sf)
+    split = pipeline.split_normal(ft, lab, P)
+    ato, allf = pipeline.fraud_sets(ft, lab)
+    sizes = split.groupBy(F.col("split").alias("dataset")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return sizes.unionByName(
+        ato.agg(F.lit("ato").alias("dataset"), F.count(F.lit(1)).alias("n_rows"))).unionByName(
+        allf.agg(F.lit("all").alias("dataset"), F.count(F.lit(1)).alias("n_rows")))
+
+
+@register
+def scaler_params(spark, sf) -> DataFrame:
+    ft = materialised_features(spark, sf)
+    split = pipeline.split_normal(ft, _lab(spark, sf), P)
+    sp = prep.scaler_params(split.where(F.col("split") == "train"))
+    return sp.select("feature", _r("mean"), _r(F.coalesce(F.col("std"), F.lit(0.0)), "std"))
+
+
+@register
+def standardize(spark, sf) -> DataFrame:
+    v = _prepared(spark, sf).val
+    return v.select(*KEY_COLS, *[_r(c) for c in FEATURES])
+
+
+def _scored(spark, sf) -> DataFrame:
+    pr = _prepared(spark, sf)
+    return evaluate.scored_labels(pipeline.with_baseline_score(pr.val),
+                                  pipeline.with_baseline_score(pr.ato))
+
+
+@register
+def scored_labels(spark, sf) -> DataFrame:
+    return _scored(spark, sf).select(*KEY_COLS, _r("score"), "label")
+
+
+def _cum(spark, sf) -> DataFrame:
+    return curves.cumulative_counts(_scored(spark, sf))
+
+
+@register
+def roc_curve(spark, sf) -> DataFrame:
+    return curves.roc_curve(_cum(spark, sf)).select(_r("threshold"), _r("fpr"), _r("tpr"))
+
+
+@register
+def auc(spark, sf) -> DataFrame:
+    return curves.auc(_cum(spark, sf)).select(_r("auc"))
+
+
+@register
+def pr_curve(spark, sf) -> DataFrame:
+    return curves.pr_curve(_cum(spark, sf)).select(_r("threshold"), _r("precision"), _r("recall"))
+
+
+@register
+def f1_curve(spark, sf) -> DataFrame:
+    return curves.f1_curve(_cum(spark, sf)).select(_r("threshold"), _r("f1"))
+
+
+@register
+def average_precision(spark, sf) -> DataFrame:
+    return curves.average_precision(_cum(spark, sf)).select(_r("average_precision"))
+
+
+@register
+def period_confusion(spark, sf) -> DataFrame:
+    pr = _prepared(spark, sf)
+    test_ato = pipeline.in_test(pr.ato, P)
+    scored = evaluate.scored_labels(pipeline.with_baseline_score(pr.test_normal),
+                                    pipeline.with_baseline_score(test_ato))
+    return evaluate.period_confusion(scored, THRESHOLD, P.period)
+
+
+@register
+def outlier_rates(spark, sf) -> DataFrame:
+    pr = _prepared(spark, sf)
+    parts = [pipeline.with_baseline_score(df).select(F.lit(name).alias("dataset"), "score")
+             for name, df in (("val", pr.val), ("ato", pr.ato), ("all", pr.allf))]
+    pred = prep.union_periods(parts).withColumn(
+        "pred", F.when(F.col("score") >= THRESHOLD, -1).otherwise(1))
+    return evaluate.outlier_rates(pred)
