@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dayguard.operators import assemble, basic, families, staging
 from dayguard.params import Params
-from dayguard.schema import CITY_FEATURES, KEY_COLS
+from dayguard.schema import CITY_FEATURES, CLICK_FEATURES, KEY_COLS, PURCHASE_FEATURES
 from dayguard.sources.testdata import load_inputs
 
 P = Params.testdata()
@@ -241,3 +241,84 @@ def outlier_rates(spark, sf) -> DataFrame:
     pred = prep.union_periods(parts).withColumn(
         "pred", F.when(F.col("score") >= THRESHOLD, -1).otherwise(1))
     return evaluate.outlier_rates(pred)
+
+
+# --- staging tables and daily totals -----------------------------------------
+@register
+def interaction_events(spark, sf) -> DataFrame:
+    """ga_behavior: valid customers, history window, interaction hits only."""
+    b = staging.ga_behavior(_inp(spark, sf), P)
+    return b.select("customer_id", F.col("day").alias("ga_sessions_date"), "event_category",
+                    "event_label", "event_action", "list_category")
+
+
+@register
+def event_check(spark, sf) -> DataFrame:
+    """Ad-hoc check: interaction rows of completed ship-now actions."""
+    return interaction_events(spark, sf).where(
+        (F.col("event_action") == "ship-now") & (F.col("event_label") == "done"))
+
+
+@register
+def order_info(spark, sf) -> DataFrame:
+    o = staging.order_info(_inp(spark, sf), P)
+    return o.select("customer_id", F.col("day").alias("date"), "product_id",
+                    F.col("level1").alias("category_level1"),
+                    F.col("level2").alias("category_level2"))
+
+
+@register
+def order_totals(spark, sf) -> DataFrame:
+    return basic.order_totals(_inp(spark, sf), P.history_start, P.history_end, P)
+
+
+@register
+def hit_totals(spark, sf) -> DataFrame:
+    return basic.hit_totals(_inp(spark, sf), P.history_start, P.history_end, P)
+
+
+@register
+def basic_features(spark, sf) -> DataFrame:
+    """The full outer join of daily totals over every day, customer 0 included."""
+    return basic.basic_features(_inp(spark, sf), P.history_start, P.history_end, P)
+
+
+@register
+def prev_clicked(spark, sf) -> DataFrame:
+    return click_features(spark, sf).select(*KEY_COLS, *CLICK_FEATURES[:3])
+
+
+@register
+def new_clicked(spark, sf) -> DataFrame:
+    return click_features(spark, sf).select(*KEY_COLS, *CLICK_FEATURES[3:])
+
+
+@register
+def prev_purchased(spark, sf) -> DataFrame:
+    return purchase_features(spark, sf).select(*KEY_COLS, *PURCHASE_FEATURES[:3])
+
+
+@register
+def new_purchased(spark, sf) -> DataFrame:
+    return purchase_features(spark, sf).select(*KEY_COLS, *PURCHASE_FEATURES[3:])
+
+
+@register
+def click_active_days(spark, sf) -> DataFrame:
+    return click_features(spark, sf).where(F.col(CLICK_FEATURES[3]).isNotNull())
+
+
+@register
+def purchase_active_days(spark, sf) -> DataFrame:
+    return purchase_features(spark, sf).where(F.col(PURCHASE_FEATURES[3]).isNotNull())
+
+
+@register
+def address_flag(spark, sf) -> DataFrame:
+    """Add-address flag per interaction day, flagged days first."""
+    b = staging.ga_behavior(_inp(spark, sf), P).where(
+        F.col("day").between(F.lit(P.feature_start), F.lit(P.feature_end)))
+    cond = dict(families.behavior_rules())["HAS_ADD_NEW_ADDRESS_FLAG"]
+    return (b.groupBy("customer_id", F.col("day").alias("ga_sessions_date"))
+            .agg(F.max(F.when(cond, 1).otherwise(0)).alias("add_new_address_flag"))
+            .orderBy(F.desc("add_new_address_flag")))
