@@ -322,3 +322,43 @@ def address_flag(spark, sf) -> DataFrame:
     return (b.groupBy("customer_id", F.col("day").alias("ga_sessions_date"))
             .agg(F.max(F.when(cond, 1).otherwise(0)).alias("add_new_address_flag"))
             .orderBy(F.desc("add_new_address_flag")))
+
+
+# --- delimited sources and sinks ---------------------------------------------
+import uuid  # noqa: E402
+
+from dayguard.session import ensure_checkpoint_dir  # noqa: E402
+from dayguard.sources import csvio  # noqa: E402
+
+
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint directory."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/exports/{name}-{uuid.uuid4().hex}"
+
+
+@register
+def csv_roundtrip(spark, sf) -> DataFrame:
+    """Feature table -> CSV (NULL as 'NaN', capped files) -> declared-schema read."""
+    path = csvio.write_csv(materialised_features(spark, sf), _scratch(spark, "features"),
+                           max_records_per_file=1000)
+    return csvio.read_csv(spark, path, csvio.FEATURE_SCHEMA)
+
+
+@register
+def union_periods(spark, sf) -> DataFrame:
+    """Two training periods exported as gzip CSV, read back and stacked."""
+    ft = pipeline.in_training(materialised_features(spark, sf), P)
+    mid = P.feature_start + (P.train_end - P.feature_start) // 2
+    paths = []
+    for name, part in (("p1", ft.where(F.col(KEY_COLS[1]) <= F.lit(mid))),
+                       ("p2", ft.where(F.col(KEY_COLS[1]) > F.lit(mid)))):
+        paths.append(csvio.write_csv(part, _scratch(spark, name), compression="gzip"))
+    return prep.union_periods([csvio.read_csv(spark, p_, csvio.FEATURE_SCHEMA) for p_ in paths])
+
+
+@register
+def tsv_labels(spark, sf) -> DataFrame:
+    """ATO label file written as TSV (one file) and read with the tolerant reader."""
+    lab = _inp(spark, sf).ato_orders
+    path = csvio.write_csv(lab, _scratch(spark, "ato_orders"), single_file=True, sep="\t")
+    return csvio.read_csv(spark, path, csvio.ATO_LABEL_SCHEMA, sep="\t")
