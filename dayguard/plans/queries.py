@@ -362,3 +362,43 @@ def tsv_labels(spark, sf) -> DataFrame:
     lab = _inp(spark, sf).ato_orders
     path = csvio.write_csv(lab, _scratch(spark, "ato_orders"), single_file=True, sep="\t")
     return csvio.read_csv(spark, path, csvio.ATO_LABEL_SCHEMA, sep="\t")
+
+
+# --- models ---------------------------------------------------------------------
+from dayguard.operators import autoencoder as ae  # noqa: E402
+
+AE_EPOCHS = 50
+
+
+def _normal_z(spark, sf) -> DataFrame:
+    pr = _prepared(spark, sf)
+    return pr.train.unionByName(pr.val)
+
+
+@register
+def ae_score_fixed(spark, sf) -> DataFrame:
+    """Reconstruction loss of the small autoencoder with seeded, fixed weights
+    on the standardised normal rows."""
+    params = ae.init_params(ae.SHAPE_SMALL, seed=42)
+    z = _normal_z(spark, sf)
+    return z.select(*KEY_COLS, F.round(ae.score_column(params, ae.SHAPE_SMALL), 6).alias("score"))
+
+
+def _ae_trained(spark, sf) -> ae.TrainResult:
+    key = ("ae", id(spark), sf)
+    if key not in _CACHE:
+        pr = _prepared(spark, sf)
+        _CACHE[key] = ae.train(pr.train, pr.val, ae.SHAPE_LARGE, epochs=AE_EPOCHS)
+    return _CACHE[key]
+
+
+@register
+def ae_train(spark, sf) -> DataFrame:
+    """Best-epoch weights of the large autoencoder as (tensor, row, col, value)."""
+    return ae.weights_frame(spark, _ae_trained(spark, sf).params)
+
+
+@register
+def ae_history(spark, sf) -> DataFrame:
+    """Per-epoch mean training and validation loss and learning rate."""
+    return ae.history_frame(spark, _ae_trained(spark, sf))
