@@ -11,6 +11,7 @@ from dayguard.operators import assemble, labels, prep
 from dayguard.operators.evaluate import mean_square_score
 from dayguard.params import Params
 from dayguard.schema import FEATURES, KEY_COLS
+from dayguard.session import cut_lineage
 from dayguard.sources.tables import Inputs
 
 SAMPLE_FRAC = 0.2
@@ -68,14 +69,24 @@ class Prepared:
     test_normal: DataFrame   # test-period rows without labelled days, standardised
 
 
-def prepare(inp: Inputs, p: Params, ft: DataFrame | None = None) -> Prepared:
+def prepare(inp: Inputs, p: Params, ft: DataFrame | None = None,
+            materialise: bool = True) -> Prepared:
+    """Fill, sample, remove labelled days, split, fit the scaler, standardise.
+
+    The split normal rows and the two fraud sets are written once to the shared
+    checkpoint folder (``materialise``): they are re-read by the scaler fit,
+    every training epoch and every model, and short plans keep the optimizer
+    cheap.  The test period stays lazy (scored once).
+    """
     ft = ft if ft is not None else assemble.feature_table(inp, p)
     lab = labelled_days(inp, p)
     split = split_normal(ft, lab, p)
+    ato, allf = fraud_sets(ft, lab)
+    if materialise:
+        split, ato, allf = cut_lineage(split), cut_lineage(ato), cut_lineage(allf)
     train = split.where(F.col("split") == "train").drop("split")
     val = split.where(F.col("split") == "val").drop("split")
     scaler = prep.Scaler.fit(train)
-    ato, allf = fraud_sets(ft, lab)
     test = prep.remove_labelled(prep.fill_nulls(in_test(ft, p)), lab.all_keys, lab.ato_keys)
     t = scaler.transform
     return Prepared(scaler, t(train), t(val), t(ato), t(allf), t(test))

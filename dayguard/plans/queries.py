@@ -402,3 +402,67 @@ def ae_train(spark, sf) -> DataFrame:
 def ae_history(spark, sf) -> DataFrame:
     """Per-epoch mean training and validation loss and learning rate."""
     return ae.history_frame(spark, _ae_trained(spark, sf))
+
+
+from dayguard.operators import iforest  # noqa: E402
+
+IFOREST_CONTAMINATION = 0.1
+
+
+def _forest(spark, sf):
+    key = ("if", id(spark), sf)
+    if key not in _CACHE:
+        _CACHE[key] = iforest.fit(_prepared(spark, sf).train, n_trees=100, max_samples=100,
+                                  contamination=IFOREST_CONTAMINATION, seed=42)
+    return _CACHE[key]
+
+
+def _eval_sets(spark, sf) -> DataFrame:
+    pr = _prepared(spark, sf)
+    return prep.union_periods([df.withColumn("dataset", F.lit(n)) for n, df in
+                               (("val", pr.val), ("ato", pr.ato), ("all", pr.allf))])
+
+
+@register
+def iforest_train(spark, sf) -> DataFrame:
+    """Node table of the fitted forest (tree, node, feature, threshold, ...)."""
+    return _forest(spark, sf)[1]
+
+
+@register
+def iforest_score_fixed(spark, sf) -> DataFrame:
+    """Anomaly score and -1/+1 label of validation, ATO and all-fraud rows."""
+    forest = _forest(spark, sf)[0]
+    return _eval_sets(spark, sf).select(
+        *KEY_COLS, "dataset", F.round(iforest.score_column(forest), 6).alias("score"),
+        iforest.predict_column(forest).alias("pred"))
+
+
+from dayguard.operators import ocsvm  # noqa: E402
+
+SVM_NU = 0.01
+SVM_GAMMA = 0.1
+
+
+def _svm(spark, sf) -> ocsvm.OneClassModel:
+    key = ("svm", id(spark), sf)
+    if key not in _CACHE:
+        _CACHE[key] = ocsvm.fit(_prepared(spark, sf).train, nu=SVM_NU, gamma=SVM_GAMMA)
+    return _CACHE[key]
+
+
+@register
+def ocsvm_train(spark, sf) -> DataFrame:
+    """Fitted one-class model: coefficient per Fourier component, and rho."""
+    m = _svm(spark, sf)
+    rows = [(i, float(c)) for i, c in enumerate(m.coef)] + [(-1, float(m.rho))]
+    return spark.createDataFrame(rows, "component int, value double")
+
+
+@register
+def ocsvm_score_fixed(spark, sf) -> DataFrame:
+    """Decision value and -1/+1 label of validation, ATO and all-fraud rows."""
+    m = _svm(spark, sf)
+    return _eval_sets(spark, sf).select(
+        *KEY_COLS, "dataset", F.round(ocsvm.decision_column(m), 6).alias("decision"),
+        ocsvm.predict_column(m).alias("pred"))
