@@ -181,15 +181,22 @@ _EPOCH_SCHEMA = ("n_train long, train_sum double, n_val long, val_sum double, st
                  "p array<double>, m array<double>, v array<double>")
 
 
+ROWS_PER_PARTITION = 50_000  # 36 doubles a row: about 15 MB of minibatch data per task
+
+
 def training_frame(train: DataFrame, val: DataFrame, cols: list[str] = FEATURES,
                    partitions: int | None = None) -> DataFrame:
     """Rows as (x array, is_val), hash-partitioned by key, sorted within each
-    partition, written once to the checkpoint folder (read every epoch)."""
+    partition, written once to the checkpoint folder (read every epoch).
+
+    The partition count follows the row count (``ROWS_PER_PARTITION``): each
+    task then runs many minibatches between two averaging steps.
+    """
     def pack(df, flag):
         return df.select(*KEY_COLS, F.array(*[F.col(c).cast("double") for c in cols]).alias("x"),
                          F.lit(flag).alias("is_val"))
     both = pack(train, False).unionByName(pack(val, True))
-    n = partitions or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or max(1, -(-both.count() // ROWS_PER_PARTITION))
     both = both.repartition(n, *KEY_COLS).sortWithinPartitions(*KEY_COLS)
     return cut_lineage(both.select("x", "is_val"))
 

@@ -19,8 +19,15 @@ def register(fn):
     return fn
 
 
+_INPUTS: dict = {}
+
+
 def _inp(spark: SparkSession, sf: str):
-    return load_inputs(spark, sf)
+    """Lazy input frames, built once per session and folder."""
+    key = (id(spark), sf)
+    if key not in _INPUTS:
+        _INPUTS[key] = load_inputs(spark, sf)
+    return _INPUTS[key]
 
 
 @register
