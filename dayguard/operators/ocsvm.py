@@ -119,6 +119,9 @@ def fit(train: DataFrame, nu: float, gamma: float = 0.1, n_components: int = N_C
                 sum(r["rho"] * r["n"] for r in rows) / max(n, 1))
 
     coef, rho = job(np.zeros(n_components), 0.0, 0, "mean")
+    if epochs == 0:
+        # the kernel-mean model (the nu = 1 solution), offset set below
+        rho = 0.0
     for e in range(epochs):
         coef, rho = job(coef, rho, e, "sgd")
     model = OneClassModel(wm, bm, coef, 0.0, nu, gamma)

@@ -78,7 +78,7 @@ def tally_days(sources: list[tuple[DataFrame, list[Tally]]],
     for df, tallies in sources:
         names += [t.name for t in tallies]
         items = F.array(*[_item(t, window) for t in tallies])
-        e = df.select(KEY, DAY, F.explode(F.filter(items, lambda x: x.isNotNull())).alias("e"))
+        e = df.select(KEY, DAY, F.explode(items).alias("e")).where(F.col("e").isNotNull())
         exploded = e if exploded is None else exploded.unionByName(e)
     assert len(names) == len(set(names)), "tally names must be unique"
     first = exploded.groupBy(KEY, "e").agg(F.min(DAY).alias(DAY))

@@ -467,9 +467,36 @@ def ocsvm_train(spark, sf) -> DataFrame:
 
 
 @register
-def ocsvm_score_fixed(spark, sf) -> DataFrame:
-    """Decision value and -1/+1 label of validation, ATO and all-fraud rows."""
+def ocsvm_score(spark, sf) -> DataFrame:
+    """Decision value and -1/+1 label of validation, ATO and all-fraud rows
+    (SGD-trained one-class model)."""
     m = _svm(spark, sf)
     return _eval_sets(spark, sf).select(
         *KEY_COLS, "dataset", F.round(ocsvm.decision_column(m), 6).alias("decision"),
         ocsvm.predict_column(m).alias("pred"))
+
+
+@register
+def ocsvm_score_fixed(spark, sf) -> DataFrame:
+    """Kernel-mean one-class model (seeded Fourier map, coefficients = mean
+    feature vector of the training rows, offset = exact nu-quantile): decision
+    and label of validation, ATO and all-fraud rows."""
+    key = ("svm0", id(spark), sf)
+    if key not in _CACHE:
+        _CACHE[key] = ocsvm.fit(_prepared(spark, sf).train, nu=SVM_NU, gamma=SVM_GAMMA, epochs=0)
+    m = _CACHE[key]
+    return _eval_sets(spark, sf).select(
+        *KEY_COLS, "dataset", F.round(ocsvm.decision_column(m), 6).alias("decision"),
+        ocsvm.predict_column(m).alias("pred"))
+
+
+@register
+def ae_period_confusion(spark, sf) -> DataFrame:
+    """Weekly false / true positives at loss >= 4.3 with the trained large
+    autoencoder on test-period normal rows and ATO rows."""
+    res = _ae_trained(spark, sf)
+    pr = _prepared(spark, sf)
+    loss = ae.score_column(res.params, res.dims)
+    scored = evaluate.scored_labels(pr.test_normal.withColumn("score", loss),
+                                    pipeline.in_test(pr.ato, P).withColumn("score", loss))
+    return evaluate.period_confusion(scored, THRESHOLD, P.period)

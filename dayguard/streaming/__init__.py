@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline reads only finite tables and files; it has no
+watermark, event-time window, state or late-data rule, so there is nothing to
+express with Structured Streaming.  Incremental daily runs use the batch
+operators with a moved feature window.
+"""
