@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayguard.operators import staging
-from dayguard.operators.tally import Tally, before_day, tally_days
+from dayguard.operators.tally import Tally, before_day, sql_str, tally_days
 from dayguard.params import Params
 from dayguard.schema import (BEHAVIOR_FEATURES, CITY_FEATURES, CLICK_FEATURES, KEY_COLS,
                              PURCHASE_FEATURES)
@@ -25,16 +25,16 @@ BASE = "_base"
 @dataclass
 class Family:
     sources: list = field(default_factory=list)   # [(DataFrame, [Tally])]
-    outputs: list = field(default_factory=list)   # [Column] built on the tally frame
+    outputs: list = field(default_factory=list)   # [(name, SQL expression on the tally frame)]
 
 
-def _flag(name: str) -> Column:
-    return F.when(F.col(name) > 0, F.lit(1)).otherwise(F.lit(0))
+def _flag(name: str) -> str:
+    return f"CASE WHEN {name} > 0 THEN 1 ELSE 0 END"
 
 
-def _when_present(marker: str, c: Column) -> Column:
+def _when_present(marker: str, expr: str) -> str:
     """NULL on days the daily table has no row (a left join miss)."""
-    return F.when(F.col(marker) > 0, c)
+    return f"CASE WHEN {marker} > 0 THEN {expr} END"
 
 
 def city_family(inp: Inputs, p: Params) -> Family:
@@ -44,13 +44,13 @@ def city_family(inp: Inputs, p: Params) -> Family:
         Tally("c_seen", ("city",)),
         Tally("c_day", per_day=True),
         Tally("c_daily", ("city",), per_day=True),
-        Tally("c_notset", per_day=True, where=F.col("city") == p.not_set_city),
+        Tally("c_notset", per_day=True, where=f"city = {sql_str(p.not_set_city)}"),
     ]
     out = [
-        before_day("c_seen").alias(CITY_FEATURES[0]),
-        _when_present("c_day", F.col("c_daily")).alias(CITY_FEATURES[1]),
-        _when_present("c_day", F.col("c_seen")).alias(CITY_FEATURES[2]),
-        _flag("c_notset").alias(CITY_FEATURES[3]),
+        (CITY_FEATURES[0], before_day("c_seen")),
+        (CITY_FEATURES[1], _when_present("c_day", "c_daily")),
+        (CITY_FEATURES[2], _when_present("c_day", "c_seen")),
+        (CITY_FEATURES[3], _flag("c_notset")),
     ]
     return Family([(ci, tallies)], out)
 
@@ -62,17 +62,17 @@ def _product_family(hist: DataFrame, prefix: str, names: list[str]) -> Family:
         Tally(f"{prefix}_prod", ("product_id",)),
         Tally(f"{prefix}_l1", ("level1",)),
         Tally(f"{prefix}_pair", ("level1", "level2")),
-        Tally(f"{prefix}_cat", (F.concat("level1", "level2"),)),
+        Tally(f"{prefix}_cat", ("concat(level1, level2)",)),
         Tally(f"{prefix}_day", per_day=True),
     ]
     day = f"{prefix}_day"
     out = [
-        before_day(f"{prefix}_prod").alias(names[0]),
-        before_day(f"{prefix}_l1").alias(names[1]),
-        before_day(f"{prefix}_pair").alias(names[2]),
-        _when_present(day, F.col(f"{prefix}_prod")).alias(names[3]),
-        _when_present(day, F.col(f"{prefix}_l1")).alias(names[4]),
-        _when_present(day, F.col(f"{prefix}_cat")).alias(names[5]),
+        (names[0], before_day(f"{prefix}_prod")),
+        (names[1], before_day(f"{prefix}_l1")),
+        (names[2], before_day(f"{prefix}_pair")),
+        (names[3], _when_present(day, f"{prefix}_prod")),
+        (names[4], _when_present(day, f"{prefix}_l1")),
+        (names[5], _when_present(day, f"{prefix}_cat")),
     ]
     return Family([(hist, tallies)], out)
 
@@ -88,29 +88,24 @@ def purchase_family(inp: Inputs, p: Params) -> Family:
 
 
 # fixed values: (list_category | event_category, event_action, event_label) rules
-def behavior_rules() -> list[tuple[str, Column]]:
-    a, c, lb, lc = (F.col("event_action"), F.col("event_category"),
-                    F.col("event_label"), F.col("list_category"))
-    return [
-        ("HAS_RESET_PASSWORD_FLAG", lc == "reset-password"),
-        ("HAS_ADD_NEW_ADDRESS_FLAG", (c == "address book") & (a == "clicked add")),
-        ("HAS_APPLIED_GIFTCARD_FLAG", a == "gift-card-applied"),
-        ("HAS_CHANGE_AUTOSHIP_FREQUENCY_FLAG", a == "autoship-change-frequency-increment"),
-        ("HAS_AUTOSHIP_SHIP_NOW_FLAG", (a == "ship-now") & (lb == "done")),
-        ("HAS_ADD_PAYMENT_FLAG", a == "add-payment-method"),
-    ]
+BEHAVIOR_RULES = {
+    "HAS_RESET_PASSWORD_FLAG": "list_category = 'reset-password'",
+    "HAS_ADD_NEW_ADDRESS_FLAG": "event_category = 'address book' AND event_action = 'clicked add'",
+    "HAS_APPLIED_GIFTCARD_FLAG": "event_action = 'gift-card-applied'",
+    "HAS_CHANGE_AUTOSHIP_FREQUENCY_FLAG": "event_action = 'autoship-change-frequency-increment'",
+    "HAS_AUTOSHIP_SHIP_NOW_FLAG": "event_action = 'ship-now' AND event_label = 'done'",
+    "HAS_ADD_PAYMENT_FLAG": "event_action = 'add-payment-method'",
+}
 
 
 def behavior_family(inp: Inputs, p: Params) -> Family:
     """Features 17-22: NULL on days without any interaction, else 0/1."""
     tallies = [Tally("b_day", per_day=True)]
     out = []
-    for i, (name, cond) in enumerate(behavior_rules()):
-        tallies.append(Tally(f"b_{i}", per_day=True, where=cond))
+    for i, name in enumerate(BEHAVIOR_FEATURES):
+        tallies.append(Tally(f"b_{i}", per_day=True, where=BEHAVIOR_RULES[name]))
         out.append((name, _when_present("b_day", _flag(f"b_{i}"))))
-    order = {n: c for n, c in out}
-    return Family([(staging.ga_behavior(inp, p), tallies)],
-                  [order[n].alias(n) for n in BEHAVIOR_FEATURES])
+    return Family([(staging.ga_behavior(inp, p), tallies)], out)
 
 
 def family_table(inp: Inputs, p: Params, families: list[Family]) -> DataFrame:
@@ -118,10 +113,9 @@ def family_table(inp: Inputs, p: Params, families: list[Family]) -> DataFrame:
     base = [(staging.session_days(inp, p), [Tally(BASE, per_day=True)])]
     sources = base + [s for f in families for s in f.sources]
     t = tally_days(sources, (p.feature_start, p.feature_end))
-    cols = [c for f in families for c in f.outputs]
-    return (t.select(F.col("customer_id").alias(KEY_COLS[0]), F.col("day").alias(KEY_COLS[1]),
-                     F.col(BASE), *cols)
-            .where(F.col(BASE) > 0).drop(BASE))
+    cols = [f"{expr} AS {name}" for f in families for name, expr in f.outputs]
+    return (t.selectExpr(f"customer_id AS {KEY_COLS[0]}", f"day AS {KEY_COLS[1]}", BASE, *cols)
+            .where(f"{BASE} > 0").drop(BASE))
 
 
 def city_features(inp: Inputs, p: Params) -> DataFrame:
@@ -147,5 +141,5 @@ def behavior_flags(inp: Inputs, p: Params) -> DataFrame:
     b = staging.ga_behavior(inp, p).where(
         F.col("day").between(F.lit(p.feature_start), F.lit(p.feature_end)))
     return (b.groupBy(F.col("customer_id").alias(KEY_COLS[0]), F.col("day").alias(KEY_COLS[1]))
-            .agg(*[F.max(F.when(c, 1).otherwise(0)).alias(n) for n, c in behavior_rules()])
-            .select(*KEY_COLS, *BEHAVIOR_FEATURES))
+            .agg(*[F.expr(f"max(CASE WHEN {BEHAVIOR_RULES[n]} THEN 1 ELSE 0 END)").alias(n)
+                   for n in BEHAVIOR_FEATURES]))

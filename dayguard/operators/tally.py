@@ -22,20 +22,23 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayguard.functions.columns import days_between
 
 KEY = "customer_id"
 DAY = "day"
 
 
+def sql_str(s: str) -> str:
+    """A SQL string literal."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class Tally:
-    """One counted quantity.
+    """One counted quantity (expressions are Spark SQL text).
 
     name:    output count column
     values:  expressions whose distinct combinations are counted; rows with a
@@ -48,21 +51,20 @@ class Tally:
     name: str
     values: tuple = ()
     per_day: bool = False
-    where: Column | None = None
+    where: str | None = None
 
 
-def _item(t: Tally, window: tuple[dt.date, dt.date]) -> Column:
-    vals = [v if isinstance(v, Column) else F.col(v) for v in t.values]
-    conds = [v.isNotNull() for v in vals]
+def _item(t: Tally, window: tuple[dt.date, dt.date]) -> str:
+    vals = list(t.values)
+    conds = [f"({v}) IS NOT NULL" for v in vals]
     if t.per_day:
-        vals = [F.col(DAY).cast("string")] + vals
-        conds.append(days_between(DAY, *window))
+        vals = [DAY] + vals
+        conds.append(f"{DAY} BETWEEN DATE'{window[0].isoformat()}' AND DATE'{window[1].isoformat()}'")
     if t.where is not None:
-        conds.append(F.coalesce(t.where, F.lit(False)))
-    cond = reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
-    payload = F.struct(F.lit(t.name).alias("t"),
-                       F.array(*[v.cast("string") for v in vals]).alias("v"))
-    return F.when(cond, payload)
+        conds.append(f"coalesce({t.where}, false)")
+    cond = " AND ".join(conds) if conds else "true"
+    arr = ", ".join(f"CAST({v} AS STRING)" for v in vals)
+    return f"CASE WHEN {cond} THEN named_struct('t', {sql_str(t.name)}, 'v', array({arr})) END"
 
 
 def tally_days(sources: list[tuple[DataFrame, list[Tally]]],
@@ -77,17 +79,16 @@ def tally_days(sources: list[tuple[DataFrame, list[Tally]]],
     exploded = None
     for df, tallies in sources:
         names += [t.name for t in tallies]
-        items = F.array(*[_item(t, window) for t in tallies])
-        e = df.select(KEY, DAY, F.explode(items).alias("e")).where(F.col("e").isNotNull())
+        items = "array(" + ", ".join(_item(t, window) for t in tallies) + ")"
+        e = df.select(KEY, DAY, F.explode(F.expr(items)).alias("e")).where("e IS NOT NULL")
         exploded = e if exploded is None else exploded.unionByName(e)
     assert len(names) == len(set(names)), "tally names must be unique"
     first = exploded.groupBy(KEY, "e").agg(F.min(DAY).alias(DAY))
     return first.groupBy(KEY, DAY).agg(
-        *[F.count_if(F.col("e.t") == n).alias(n) for n in names])
+        *[F.expr(f"count_if(e.t = {sql_str(n)})").alias(n) for n in names])
 
 
-def before_day(name: str) -> Column:
-    """Values of tally ``name`` first seen strictly before the row's day."""
-    w = (Window.partitionBy(KEY).orderBy(DAY)
-         .rowsBetween(Window.unboundedPreceding, -1))
-    return F.coalesce(F.sum(name).over(w), F.lit(0).cast("long"))
+def before_day(name: str) -> str:
+    """Values of tally ``name`` first seen strictly before the row's day (SQL)."""
+    return (f"coalesce(sum({name}) OVER (PARTITION BY {KEY} ORDER BY {DAY} "
+            f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), CAST(0 AS BIGINT))")

@@ -325,9 +325,9 @@ def address_flag(spark, sf) -> DataFrame:
     """Add-address flag per interaction day, flagged days first."""
     b = staging.ga_behavior(_inp(spark, sf), P).where(
         F.col("day").between(F.lit(P.feature_start), F.lit(P.feature_end)))
-    cond = dict(families.behavior_rules())["HAS_ADD_NEW_ADDRESS_FLAG"]
+    cond = families.BEHAVIOR_RULES["HAS_ADD_NEW_ADDRESS_FLAG"]
     return (b.groupBy("customer_id", F.col("day").alias("ga_sessions_date"))
-            .agg(F.max(F.when(cond, 1).otherwise(0)).alias("add_new_address_flag"))
+            .agg(F.expr(f"max(CASE WHEN {cond} THEN 1 ELSE 0 END)").alias("add_new_address_flag"))
             .orderBy(F.desc("add_new_address_flag")))
 
 

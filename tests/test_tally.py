@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from dayguard.operators.tally import Tally, before_day, tally_days
 
 D = dt.date
@@ -28,8 +26,8 @@ def _run(spark, rows, base_days, cols, window):
     vals = tuple(cols)
     t = tally_days([(base, [Tally("_b", per_day=True)]),
                     (hist, [Tally("v", vals), Tally("_d", per_day=True)])], window)
-    res = (t.select("customer_id", "day", "_b", before_day("v").alias("prev"),
-                    F.when(F.col("_d") > 0, F.col("v")).alias("new"))
+    res = (t.selectExpr("customer_id", "day", "_b", f"{before_day('v')} AS prev",
+                        "CASE WHEN _d > 0 THEN v END AS new")
            .where("_b > 0").collect())
     return {(r.customer_id, r.day): (r.prev, r.new) for r in res}
 
@@ -68,9 +66,9 @@ def test_concat_key_collides_but_pair_does_not(spark):
     hist = spark.createDataFrame(rows, "customer_id long, day date, a string, b string")
     b = spark.createDataFrame(base, "customer_id long, day date")
     t = tally_days([(b, [Tally("_b", per_day=True)]),
-                    (hist, [Tally("pair", ("a", "b")), Tally("cat", (F.concat("a", "b"),))])],
+                    (hist, [Tally("pair", ("a", "b")), Tally("cat", ("concat(a, b)",))])],
                    WIN)
-    r = t.select(before_day("pair").alias("p"), "pair", "cat", "_b").where("_b > 0").first()
+    r = t.selectExpr(f"{before_day('pair')} AS p", "pair", "cat", "_b").where("_b > 0").first()
     assert r.p == 1 and r.pair == 1   # the pair is new
     assert r.cat == 0                 # 'abc' was seen the day before
 
