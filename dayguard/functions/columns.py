@@ -28,12 +28,15 @@ def ts_in_days(c: str | Column, start: dt.date, end: dt.date,
     what ``ts BETWEEN 'start' AND 'end'`` does in most warehouses.
     """
     c = F.col(c) if isinstance(c, str) else c
-    lo = F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz")
+
+    def ntz(d: dt.date) -> Column:
+        # parsed from text: no session time zone is involved
+        return F.lit(f"{d.isoformat()} 00:00:00").cast("timestamp_ntz")
+
+    lo = ntz(start)
     if end_inclusive_midnight:
-        hi = F.lit(dt.datetime.combine(end, dt.time())).cast("timestamp_ntz")
-        return (c >= lo) & (c <= hi)
-    hi = F.lit(dt.datetime.combine(end + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz")
-    return (c >= lo) & (c < hi)
+        return (c >= lo) & (c <= ntz(end))
+    return (c >= lo) & (c < ntz(end + dt.timedelta(days=1)))
 
 
 # --- deterministic, partition-independent hashing -----------------------------

@@ -59,7 +59,7 @@ def _product_family(hist: DataFrame, prefix: str, names: list[str]) -> Family:
     """prev: product, level 1, the (level1, level2) pair; new: product, level 1
     and ``concat(level1, level2)`` without separator (('ab','c') = ('a','bc'))."""
     tallies = [
-        Tally(f"{prefix}_prod", ("product_id",)),
+        Tally(f"{prefix}_prod", longs=("product_id",)),
         Tally(f"{prefix}_l1", ("level1",)),
         Tally(f"{prefix}_pair", ("level1", "level2")),
         Tally(f"{prefix}_cat", ("concat(level1, level2)",)),

@@ -41,8 +41,9 @@ class Tally:
     """One counted quantity (expressions are Spark SQL text).
 
     name:    output count column
-    values:  expressions whose distinct combinations are counted; rows with a
-             NULL in any of them are ignored (as ``count(distinct a, b)``)
+    values:  string-valued expressions whose distinct combinations are counted
+    longs:   integer-valued expressions counted together with ``values``
+             (rows with a NULL in any value are ignored, as ``count(distinct a, b)``)
     per_day: False -> first-seen over the whole history;
              True  -> distinct per day, only for days inside ``window``
     where:   extra row condition (a NULL condition drops the row)
@@ -52,19 +53,24 @@ class Tally:
     values: tuple = ()
     per_day: bool = False
     where: str | None = None
+    longs: tuple = ()
 
 
-def _item(t: Tally, window: tuple[dt.date, dt.date]) -> str:
-    vals = list(t.values)
-    conds = [f"({v}) IS NOT NULL" for v in vals]
+def _item(tag: int, t: Tally, window: tuple[dt.date, dt.date], n_str: int, n_long: int) -> str:
+    """A fixed-width payload: (tag, day, long slots, string slots); unused slots NULL."""
+    conds = [f"({v}) IS NOT NULL" for v in (*t.values, *t.longs)]
+    day = "CAST(NULL AS DATE)"
     if t.per_day:
-        vals = [DAY] + vals
+        day = DAY
         conds.append(f"{DAY} BETWEEN DATE'{window[0].isoformat()}' AND DATE'{window[1].isoformat()}'")
     if t.where is not None:
         conds.append(f"coalesce({t.where}, false)")
     cond = " AND ".join(conds) if conds else "true"
-    arr = ", ".join(f"CAST({v} AS STRING)" for v in vals)
-    return f"CASE WHEN {cond} THEN named_struct('t', {sql_str(t.name)}, 'v', array({arr})) END"
+    longs = [f"CAST({v} AS BIGINT)" for v in t.longs] + ["CAST(NULL AS BIGINT)"] * (n_long - len(t.longs))
+    strs = [f"CAST({v} AS STRING)" for v in t.values] + ["CAST(NULL AS STRING)"] * (n_str - len(t.values))
+    fields = [f"'t', {tag}", f"'d', {day}"] + [f"'l{i}', {x}" for i, x in enumerate(longs)] \
+        + [f"'s{i}', {x}" for i, x in enumerate(strs)]
+    return f"CASE WHEN {cond} THEN named_struct({', '.join(fields)}) END"
 
 
 def tally_days(sources: list[tuple[DataFrame, list[Tally]]],
@@ -75,17 +81,22 @@ def tally_days(sources: list[tuple[DataFrame, list[Tally]]],
     its tallies reference.  Output: ``customer_id, day, <tally names...>``
     (bigint, 0 when nothing was counted), one row per day with any count.
     """
-    names: list[str] = []
+    all_tallies = [t for _, ts in sources for t in ts]
+    names = [t.name for t in all_tallies]
+    assert len(names) == len(set(names)), "tally names must be unique"
+    n_str = max([len(t.values) for t in all_tallies] + [0])
+    n_long = max([len(t.longs) for t in all_tallies] + [0])
+    tag = {n: i for i, n in enumerate(names)}
     exploded = None
     for df, tallies in sources:
-        names += [t.name for t in tallies]
-        items = "array(" + ", ".join(_item(t, window) for t in tallies) + ")"
+        items = "array(" + ", ".join(_item(tag[t.name], t, window, n_str, n_long)
+                                     for t in tallies) + ")"
         e = df.select(KEY, DAY, F.explode(F.expr(items)).alias("e")).where("e IS NOT NULL")
         exploded = e if exploded is None else exploded.unionByName(e)
-    assert len(names) == len(set(names)), "tally names must be unique"
+    # first day of every (customer, tag, value); per-day tags carry the day in the value
     first = exploded.groupBy(KEY, "e").agg(F.min(DAY).alias(DAY))
     return first.groupBy(KEY, DAY).agg(
-        *[F.expr(f"count_if(e.t = {sql_str(n)})").alias(n) for n in names])
+        *[F.expr(f"count_if(e.t = {tag[n]})").alias(n) for n in names])
 
 
 def before_day(name: str) -> str:
