@@ -109,9 +109,20 @@ def behavior_family(inp: Inputs, p: Params) -> Family:
 
 
 def family_table(inp: Inputs, p: Params, families: list[Family]) -> DataFrame:
-    """One row per session day (customer, day) with the families' features."""
-    base = [(staging.session_days(inp, p), [Tally(BASE, per_day=True)])]
-    sources = base + [s for f in families for s in f.sources]
+    """One row per session day (customer, day) with the families' features.
+
+    The session days are a per-day tally on the sessions table; when the city
+    family already reads that table (over the history window, which contains
+    the feature window) the marker rides on the same scan.
+    """
+    sources = [s for f in families for s in f.sources]
+    base_tally = Tally(BASE, per_day=True)
+    city = [i for i, (_, ts) in enumerate(sources) if any(t.name == "c_seen" for t in ts)]
+    if city and p.history_start <= p.feature_start and p.feature_end <= p.history_end:
+        df, ts = sources[city[0]]
+        sources[city[0]] = (df, ts + [base_tally])
+    else:
+        sources = [(staging.session_days(inp, p), [base_tally])] + sources
     t = tally_days(sources, (p.feature_start, p.feature_end))
     cols = [f"{expr} AS {name}" for f in families for name, expr in f.outputs]
     return (t.selectExpr(f"customer_id AS {KEY_COLS[0]}", f"day AS {KEY_COLS[1]}", BASE, *cols)
