@@ -211,6 +211,13 @@ def roc_curve(spark, sf) -> DataFrame:
     return curves.roc_curve(_cum(spark, sf)).select(_r("threshold"), _r("fpr"), _r("tpr"))
 
 
+@register
+def roc_curve_dropped(spark, sf) -> DataFrame:
+    """ROC points where the curve changes direction, plus the (0, 0) start."""
+    return curves.roc_curve(_cum(spark, sf), drop_intermediate=True).select(
+        _r("threshold"), _r("fpr"), _r("tpr"))
+
+
 @register
 def auc(spark, sf) -> DataFrame:
     return curves.auc(_cum(spark, sf)).select(_r("auc"))
@@ -500,3 +507,13 @@ def ae_period_confusion(spark, sf) -> DataFrame:
     scored = evaluate.scored_labels(pr.test_normal.withColumn("score", loss),
                                     pipeline.in_test(pr.ato, P).withColumn("score", loss))
     return evaluate.period_confusion(scored, THRESHOLD, P.period)
+
+
+@register
+def ae_train_small(spark, sf) -> DataFrame:
+    """Best-epoch weights of the small autoencoder (36-15-7-2-7-15-36)."""
+    key = ("ae_small", id(spark), sf)
+    if key not in _CACHE:
+        pr = _prepared(spark, sf)
+        _CACHE[key] = ae.train(pr.train, pr.val, ae.SHAPE_SMALL, epochs=AE_EPOCHS)
+    return ae.weights_frame(spark, _CACHE[key].params)

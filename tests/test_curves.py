@@ -60,3 +60,28 @@ def test_f1_null_where_zero(spark):
     f1 = curves.f1_curve(curves.cumulative_counts(_frame(spark, y, s), n_buckets=2)).toPandas()
     top = f1.sort_values("threshold").iloc[-1]
     assert top.f1 is None or np.isnan(top.f1)
+
+
+def _sk_drop(fps, tps):
+    """The usual library's collinear-point rule on cumulative counts."""
+    keep = np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True]
+    return np.flatnonzero(keep)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_roc_drop_intermediate_matches_rule(spark, seed):
+    rng = np.random.default_rng(seed)
+    n = 400
+    y = (rng.random(n) < 0.4).astype(int)
+    s = np.round(rng.normal(size=n) + y, 1)
+    thr = np.sort(np.unique(s))[::-1]
+    tp = np.array([((s >= t) & (y == 1)).sum() for t in thr])
+    fp = np.array([((s >= t) & (y == 0)).sum() for t in thr])
+    idx = _sk_drop(fp, tp)
+    cum = curves.cumulative_counts(_frame(spark, y, s), n_buckets=6)
+    got = curves.roc_curve(cum, drop_intermediate=True).toPandas()
+    pts = got[got.threshold.notna()].sort_values("threshold", ascending=False)
+    assert np.allclose(pts.threshold, thr[idx])
+    assert np.allclose(pts.fpr, fp[idx] / fp[-1]) and np.allclose(pts.tpr, tp[idx] / tp[-1])
+    start = got[got.threshold.isna()].iloc[0]
+    assert start.fpr == 0.0 and start.tpr == 0.0
