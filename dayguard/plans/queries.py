@@ -67,7 +67,9 @@ def new_feature_set(spark, sf) -> DataFrame:
 
 @register
 def feature_table(spark, sf) -> DataFrame:
-    return assemble.feature_table(_inp(spark, sf), P)
+    """The 36-feature table, computed once per session and written to the shared
+    checkpoint folder (a temp table in the original job); later stages read it."""
+    return materialised_features(spark, sf)
 
 
 # --- shared, materialised inputs of the notebook stages ------------------------
@@ -128,12 +130,12 @@ def label_days_all(spark, sf) -> DataFrame:
 
 @register
 def ato_rows(spark, sf) -> DataFrame:
-    return labels.labelled_rows(assemble.feature_table(_inp(spark, sf), P), _lab(spark, sf).ato_days)
+    return labels.labelled_rows(materialised_features(spark, sf), _lab(spark, sf).ato_days)
 
 
 @register
 def fraud_rows(spark, sf) -> DataFrame:
-    return labels.labelled_rows(assemble.feature_table(_inp(spark, sf), P), _lab(spark, sf).all_days)
+    return labels.labelled_rows(materialised_features(spark, sf), _lab(spark, sf).all_days)
 
 
 @register
