@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from dayguard.functions.quantile import exact_quantile
 from dayguard.operators.autoencoder import training_frame
 from dayguard.schema import FEATURES
+from dayguard.session import cut_lineage
 
 N_COMPONENTS = 128
 
@@ -125,6 +126,7 @@ def fit(train: DataFrame, nu: float, gamma: float = 0.1, n_components: int = N_C
     for e in range(epochs):
         coef, rho = job(coef, rho, e, "sgd")
     model = OneClassModel(wm, bm, coef, 0.0, nu, gamma)
-    scores = train.select(decision_column(model, cols).alias("d"))
+    # training decision values written once: the exact quantile reads them several times
+    scores = cut_lineage(train.select(decision_column(model, cols).alias("d")))
     model.rho = exact_quantile(scores, "d", nu)
     return model
