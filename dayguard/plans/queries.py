@@ -519,3 +519,16 @@ def ae_train_small(spark, sf) -> DataFrame:
         pr = _prepared(spark, sf)
         _CACHE[key] = ae.train(pr.train, pr.val, ae.SHAPE_SMALL, epochs=AE_EPOCHS)
     return ae.weights_frame(spark, _CACHE[key].params)
+
+
+@register
+def iforest_rates(spark, sf) -> DataFrame:
+    """Forest outliers per dataset: false positives on validation, true
+    positives on ATO and all-fraud rows, with their rates."""
+    return evaluate.outlier_rates(iforest_score_fixed(spark, sf))
+
+
+@register
+def ocsvm_rates(spark, sf) -> DataFrame:
+    """One-class SVM: false positive rate on validation, ATO and all-fraud recall."""
+    return evaluate.outlier_rates(ocsvm_score(spark, sf))

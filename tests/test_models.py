@@ -85,3 +85,11 @@ def test_one_class_svm_outlier_share_and_outliers(spark):
     far = _frame(spark, rng.normal(size=(20, 6)) + 8)
     fp = far.select(ocsvm.predict_column(m, COLS).alias("p")).toPandas().p
     assert (fp == -1).mean() > 0.9
+
+
+def test_autoencoder_weights_roundtrip(spark):
+    params = ae.init_params(ae.SHAPE_SMALL, seed=7)
+    back = ae.params_from_frame(ae.weights_frame(spark, params), ae.SHAPE_SMALL)
+    assert all(np.array_equal(a, b) for a, b in zip(params, back))
+    assert sum(p.size for p in params) == 1400
+    assert sum(p.size for p in ae.init_params(ae.SHAPE_LARGE)) == 3039
