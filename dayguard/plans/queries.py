@@ -22,9 +22,14 @@ def register(fn):
 _INPUTS: dict = {}
 
 
+def _sid(spark: SparkSession) -> str:
+    """Identity of the running application (a restarted session never matches)."""
+    return spark.sparkContext.applicationId
+
+
 def _inp(spark: SparkSession, sf: str):
     """Lazy input frames, built once per session and folder."""
-    key = (id(spark), sf)
+    key = (_sid(spark), sf)
     if key not in _INPUTS:
         _INPUTS[key] = load_inputs(spark, sf)
     return _INPUTS[key]
@@ -89,7 +94,7 @@ def _r(c, name=None):
 def materialised_features(spark, sf) -> DataFrame:
     """The feature table written once to the shared checkpoint folder; later
     stages (preparation, models, evaluation) read it like the exported table."""
-    key = ("ft", id(spark), sf)
+    key = ("ft", _sid(spark), sf)
     if key not in _CACHE:
         _CACHE[key] = cut_lineage(assemble.feature_table(_inp(spark, sf), P))
     return _CACHE[key]
@@ -100,7 +105,7 @@ def _lab(spark, sf):
 
 
 def _prepared(spark, sf) -> pipeline.Prepared:
-    key = ("prep", id(spark), sf)
+    key = ("prep", _sid(spark), sf)
     if key not in _CACHE:
         _CACHE[key] = pipeline.prepare(_inp(spark, sf), P, materialised_features(spark, sf))
     return _CACHE[key]
@@ -401,7 +406,7 @@ def ae_score_fixed(spark, sf) -> DataFrame:
 
 
 def _ae_trained(spark, sf) -> ae.TrainResult:
-    key = ("ae", id(spark), sf)
+    key = ("ae", _sid(spark), sf)
     if key not in _CACHE:
         pr = _prepared(spark, sf)
         _CACHE[key] = ae.train(pr.train, pr.val, ae.SHAPE_LARGE, epochs=AE_EPOCHS)
@@ -426,7 +431,7 @@ IFOREST_CONTAMINATION = 0.1
 
 
 def _forest(spark, sf):
-    key = ("if", id(spark), sf)
+    key = ("if", _sid(spark), sf)
     if key not in _CACHE:
         _CACHE[key] = iforest.fit(_prepared(spark, sf).train, n_trees=100, max_samples=100,
                                   contamination=IFOREST_CONTAMINATION, seed=42)
@@ -461,7 +466,7 @@ SVM_GAMMA = 0.1
 
 
 def _svm(spark, sf) -> ocsvm.OneClassModel:
-    key = ("svm", id(spark), sf)
+    key = ("svm", _sid(spark), sf)
     if key not in _CACHE:
         _CACHE[key] = ocsvm.fit(_prepared(spark, sf).train, nu=SVM_NU, gamma=SVM_GAMMA)
     return _CACHE[key]
@@ -490,7 +495,7 @@ def ocsvm_score_fixed(spark, sf) -> DataFrame:
     """Kernel-mean one-class model (seeded Fourier map, coefficients = mean
     feature vector of the training rows, offset = exact nu-quantile): decision
     and label of validation, ATO and all-fraud rows."""
-    key = ("svm0", id(spark), sf)
+    key = ("svm0", _sid(spark), sf)
     if key not in _CACHE:
         _CACHE[key] = ocsvm.fit(_prepared(spark, sf).train, nu=SVM_NU, gamma=SVM_GAMMA, epochs=0)
     m = _CACHE[key]
@@ -514,7 +519,7 @@ def ae_period_confusion(spark, sf) -> DataFrame:
 @register
 def ae_train_small(spark, sf) -> DataFrame:
     """Best-epoch weights of the small autoencoder (36-15-7-2-7-15-36)."""
-    key = ("ae_small", id(spark), sf)
+    key = ("ae_small", _sid(spark), sf)
     if key not in _CACHE:
         pr = _prepared(spark, sf)
         _CACHE[key] = ae.train(pr.train, pr.val, ae.SHAPE_SMALL, epochs=AE_EPOCHS)
