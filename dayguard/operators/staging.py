@@ -6,8 +6,9 @@ pushed into the scan.  ``customer_id`` and ``day`` are the common keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dayguard.functions.columns import days_between, ts_in_days, valid_customer
 from dayguard.params import Params
@@ -22,13 +23,24 @@ def session_days(inp: Inputs, p: Params) -> DataFrame:
             .select("customer_id", F.col("ga_sessions_date").alias("day")))
 
 
+def geo_city(df: DataFrame, col: str = "geo_network") -> Column:
+    """The ``city`` field of the session's geo record, as text: JSON text,
+    a struct, or a semi-structured VARIANT value."""
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, T.StructType):
+        return F.col(col).getField("city").cast("string")
+    if isinstance(dtype, T.VariantType):
+        return F.variant_get(F.col(col), "$.city", "string")
+    return F.get_json_object(col, "$.city")
+
+
 def city_info(inp: Inputs, p: Params) -> DataFrame:
-    """customer_id, day, city over the history window (city read from the JSON)."""
+    """customer_id, day, city over the history window."""
     return (inp.ga_sessions
             .where(days_between("ga_sessions_date", p.history_start, p.history_end)
                    & valid_customer("customer_id"))
             .select("customer_id", F.col("ga_sessions_date").alias("day"),
-                    F.get_json_object("geo_network", "$.city").alias("city")))
+                    geo_city(inp.ga_sessions).alias("city")))
 
 
 def product_click(inp: Inputs, p: Params) -> DataFrame:

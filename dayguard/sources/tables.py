@@ -51,3 +51,34 @@ class Inputs:
     hits_union: DataFrame
     ato_orders: DataFrame
     fraud_orders: DataFrame
+
+    @staticmethod
+    def from_tables(spark: SparkSession, *, order_line: str, orders: str, product: str,
+                    ga_sessions: str, hits_products: str, hits_union: str,
+                    ato_orders: DataFrame, fraud_orders: DataFrame) -> "Inputs":
+        """Inputs from catalog tables in the production schemas (names as
+        ``db.table``) and the two label frames (see :mod:`dayguard.sources.csvio`
+        for reading the label files).  Only the used columns are selected, so
+        the scans are pruned."""
+        def t(name, cols):
+            return spark.table(name).select(*cols)
+        return Inputs(
+            order_line=t(order_line, ORDER_LINE_COLS), orders=t(orders, ORDERS_COLS),
+            product=t(product, PRODUCT_COLS), ga_sessions=t(ga_sessions, SESSION_COLS),
+            hits_products=t(hits_products, HITS_PRODUCTS_COLS),
+            hits_union=t(hits_union, HITS_UNION_COLS),
+            ato_orders=ato_orders.select("order_id", "customer_id"),
+            fraud_orders=fraud_orders.select("order_id"))
+
+
+# columns each input must provide
+ORDER_LINE_COLS = ["customer_id", "order_id", "product_id", "order_placed_dttm", "order_status",
+                   "order_auto_reorder_flag", "order_line_quantity", "order_line_total_price"]
+ORDERS_COLS = ["order_id", "customer_id", "order_placed_dttm"]
+PRODUCT_COLS = ["product_id", "category_level1", "category_level2"]
+SESSION_COLS = ["customer_id", "ga_sessions_date", "geo_network"]
+HITS_PRODUCTS_COLS = ["customer_id", "ga_sessions_date", "product_id", "product_category_level1",
+                      "product_category_level2", "event_action"]
+HITS_UNION_COLS = ["customer_id", "ga_sessions_date", "product_id", "is_click", "type", "page_path",
+                   "page_title", "event_category", "event_label", "event_action", "list_category",
+                   "is_interaction"]

@@ -90,3 +90,30 @@ def test_sample_and_split_fractions(spark):
     assert 0.18 < n / 20000 < 0.22
     v = prep.with_split(df, 0.05).where("split = 'val'").count()
     assert 0.04 < v / 20000 < 0.06
+
+
+def test_geo_city_from_json_struct_and_variant(spark):
+    from dayguard.operators.staging import geo_city
+    js = spark.createDataFrame([('{"city": "Oslo"}',), ("{}",)], "geo_network string")
+    assert [r[0] for r in js.select(geo_city(js)).collect()] == ["Oslo", None]
+    st = spark.createDataFrame([(("Oslo",),), ((None,),)], "geo_network struct<city: string>")
+    assert [r[0] for r in st.select(geo_city(st)).collect()] == ["Oslo", None]
+    va = js.select(F.parse_json("geo_network").alias("geo_network"))
+    assert [r[0] for r in va.select(geo_city(va)).collect()] == ["Oslo", None]
+
+
+def test_inputs_from_catalog_tables(spark):
+    from dayguard.operators import assemble
+    from dayguard.sources.tables import Inputs
+    from dayguard.sources.testdata import load_inputs
+    src = load_inputs(spark, "/root/testdata/sf0.001")
+    names = {}
+    for n in ("order_line", "orders", "product", "ga_sessions", "hits_products", "hits_union"):
+        view = f"dg_{n}"
+        getattr(src, n).createOrReplaceTempView(view)
+        names[n] = view
+    inp = Inputs.from_tables(spark, ato_orders=src.ato_orders, fraud_orders=src.fraud_orders, **names)
+    p = Params.testdata()
+    a = assemble.feature_table(inp, p)
+    b = assemble.feature_table(src, p)
+    assert a.count() == 258 and a.exceptAll(b).count() == 0
