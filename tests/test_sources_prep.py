@@ -117,3 +117,50 @@ def test_inputs_from_catalog_tables(spark):
     a = assemble.feature_table(inp, p)
     b = assemble.feature_table(src, p)
     assert a.count() == 258 and a.exceptAll(b).count() == 0
+
+
+def test_daily_totals_match_distinct_count_form(spark):
+    from dayguard.operators import basic
+    from dayguard.sources.tables import Inputs
+    p = Params.testdata()
+    d1, d2 = dt.datetime(2024, 1, 10, 8), dt.datetime(2024, 1, 11, 9)
+    from decimal import Decimal as Dec
+    ol = spark.createDataFrame([
+        (1, 100, 5, d1, "D", False, 2.0, Dec("1.50")), (1, 100, 5, d1, "D", None, 1.0, Dec("2.25")),
+        (1, 101, None, d1, "X", False, 3.0, Dec("4.00")), (1, None, 6, d1, "D", True, None, Dec("1.00")),
+        (2, 102, 7, d2, "D", False, 1.0, None), (None, 103, 8, d2, "D", False, 1.0, Dec("3.00"))],
+        "customer_id long, order_id long, product_id long, order_placed_dttm timestamp_ntz, "
+        "order_status string, order_auto_reorder_flag boolean, order_line_quantity double, "
+        "order_line_total_price decimal(18,2)")
+    hits = spark.createDataFrame([
+        (1, D(2024, 1, 10), 5, True, "PAGE", "/p/5", "t"), (1, D(2024, 1, 10), 5, False, "PAGE", "/p/5", None),
+        (1, D(2024, 1, 10), None, True, "EVENT", "/p/x", "t"), (2, D(2024, 1, 11), 7, False, "EVENT", "/p/7", "t"),
+        (2, D(2024, 1, 11), None, None, "PAGE", "/p/9", "u")],
+        "customer_id long, ga_sessions_date date, product_id long, is_click boolean, type string, "
+        "page_path string, page_title string")
+    inp = Inputs(order_line=ol, orders=None, product=None, ga_sessions=None, hits_products=None,
+                 hits_union=hits, ato_orders=None, fraud_orders=None)
+    ol.createOrReplaceTempView("t_ol")
+    hits.createOrReplaceTempView("t_hits")
+    one = "NOT order_auto_reorder_flag AND order_status = 'D'"
+    want_o = spark.sql(f"""SELECT customer_id AS CUSTOMER_ID, to_date(order_placed_dttm) AS GA_SESSIONS_DATE,
+        count(DISTINCT order_id) AS TOTAL_NUM_ORDERS,
+        count(DISTINCT CASE WHEN {one} THEN order_id END) AS NUM_ONETIME_ORDERS,
+        count(DISTINCT product_id) AS DISTINCT_PRODUCT_ORDERED,
+        count(DISTINCT CASE WHEN {one} THEN product_id END) AS DISTINCT_PRODUCT_ONETIME_ORDERED,
+        CAST(sum(CASE WHEN {one} THEN order_line_quantity ELSE 0 END) AS DOUBLE) AS ONETIME_ORDER_QUANTITY,
+        CAST(sum(CASE WHEN order_status = 'D' THEN order_line_quantity ELSE 0 END) AS DOUBLE) AS TOTAL_ORDER_QUANTITY,
+        CAST(sum(CASE WHEN order_status = 'D' THEN order_line_total_price ELSE 0 END) AS DOUBLE) AS TOTAL_ORDER_PRICE,
+        CAST(sum(CASE WHEN {one} THEN order_line_total_price ELSE 0 END) AS DOUBLE) AS ONETIME_ORDER_PRICE
+        FROM t_ol GROUP BY 1, 2""")
+    got_o = basic.order_totals(inp, D(2024, 1, 1), D(2024, 1, 30), p)
+    assert sorted(got_o.collect(), key=repr) == sorted(want_o.select(*got_o.columns).collect(), key=repr)
+    want_h = spark.sql("""SELECT customer_id AS CUSTOMER_ID, ga_sessions_date AS GA_SESSIONS_DATE,
+        count(DISTINCT product_id) AS DISTINCT_PRODUCT_HIT, count(product_id) AS TOTAL_PRODUCT_HIT,
+        count(DISTINCT CASE WHEN is_click THEN product_id END) AS DISTINCT_PRODUCT_CLICKED,
+        count(CASE WHEN is_click THEN product_id END) AS TOTAL_PRODUCT_CLICKED,
+        CAST(sum(CASE type WHEN 'PAGE' THEN 1 END) AS BIGINT) AS TOTAL_PAGES_VIEWED,
+        count(DISTINCT CASE type WHEN 'PAGE' THEN concat(page_path, ',', page_title) END) AS DISTINCT_PAGES_VIEWED
+        FROM t_hits GROUP BY 1, 2""")
+    got_h = basic.hit_totals(inp, D(2024, 1, 1), D(2024, 1, 30), p)
+    assert sorted(got_h.collect(), key=repr) == sorted(want_h.select(*got_h.columns).collect(), key=repr)
