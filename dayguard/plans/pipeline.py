@@ -80,6 +80,10 @@ def prepare(inp: Inputs, p: Params, ft: DataFrame | None = None,
     """
     ft = ft if ft is not None else assemble.feature_table(inp, p)
     lab = labelled_days(inp, p)
+    if materialise:
+        # fraud days are read six times below (semi and anti joins); write them once
+        ato_d, all_d = cut_lineage(lab.ato_days), cut_lineage(lab.all_days)
+        lab = Labelled(ato_d, all_d, labels.day_keys(ato_d), labels.day_keys(all_d))
     split = split_normal(ft, lab, p)
     ato, allf = fraud_sets(ft, lab)
     if materialise:
