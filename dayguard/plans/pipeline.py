@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dayguard.operators import assemble, labels, prep
 from dayguard.operators.evaluate import mean_square_score
@@ -98,3 +99,42 @@ def prepare(inp: Inputs, p: Params, ft: DataFrame | None = None,
 
 def with_baseline_score(df: DataFrame) -> DataFrame:
     return df.withColumn("score", mean_square_score(FEATURES))
+
+
+def export_job(inp: Inputs, p: Params, out_dir: str, max_records_per_file: int = 5_000_000) -> dict:
+    """The feature job's exports, as the original job writes them.
+
+    * ``features/``: the feature table as CSV (header, NULL as ``NaN``), split by
+      ``month=yyyy-MM`` directories so a monthly reader prunes to its period,
+      files capped at ``max_records_per_file`` rows;
+    * ``ato_rows/`` and ``fraud_rows/``: the labelled sets, one file each.
+
+    The feature table is computed once (checkpoint) and read by all three writes.
+    """
+    from dayguard.sources.csvio import write_csv
+
+    ft = cut_lineage(assemble.feature_table(inp, p))
+    lab = labelled_days(inp, p)
+    base = out_dir.rstrip("/")
+    # no shuffle by month (a month would land in one task): every task writes
+    # its own capped files into each month directory it holds rows for
+    (ft.withColumn("month", F.date_format(KEY_COLS[1], "yyyy-MM"))
+       .write.mode("overwrite").partitionBy("month")
+       .option("header", True).option("nullValue", "NaN").option("dateFormat", "yyyy-MM-dd")
+       .option("maxRecordsPerFile", int(max_records_per_file))
+       .csv(f"{base}/features"))
+    write_csv(labels.labelled_rows(ft, lab.ato_days), f"{base}/ato_rows", single_file=True)
+    write_csv(labels.labelled_rows(ft, lab.all_days), f"{base}/fraud_rows", single_file=True)
+    return {"features": f"{base}/features", "ato_rows": f"{base}/ato_rows",
+            "fraud_rows": f"{base}/fraud_rows"}
+
+
+def read_feature_months(spark, path: str, months: list[str] | None = None) -> DataFrame:
+    """Read exported features (declared schema); ``months`` prunes directories."""
+    from dayguard.sources.csvio import FEATURE_SCHEMA
+    schema = T.StructType(FEATURE_SCHEMA.fields + [T.StructField("month", T.StringType())])
+    df = (spark.read.schema(schema).option("header", True).option("nullValue", "NaN")
+          .option("dateFormat", "yyyy-MM-dd").csv(path))
+    if months:
+        df = df.where(F.col("month").isin(months))
+    return df.drop("month")

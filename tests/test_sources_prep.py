@@ -164,3 +164,21 @@ def test_daily_totals_match_distinct_count_form(spark):
         FROM t_hits GROUP BY 1, 2""")
     got_h = basic.hit_totals(inp, D(2024, 1, 1), D(2024, 1, 30), p)
     assert sorted(got_h.collect(), key=repr) == sorted(want_h.select(*got_h.columns).collect(), key=repr)
+
+
+def test_export_job_roundtrip_and_month_pruning(spark):
+    from dayguard.operators import assemble
+    from dayguard.plans import pipeline
+    from dayguard.sources.testdata import load_inputs
+    p = Params.testdata()
+    inp = load_inputs(spark, "/root/testdata/sf0.001")
+    out = pipeline.export_job(inp, p, _path(spark, "export"), max_records_per_file=100)
+    back = pipeline.read_feature_months(spark, out["features"])
+    ft = assemble.feature_table(inp, p)
+    assert back.count() == 258 and back.exceptAll(ft).count() == 0
+    assert pipeline.read_feature_months(spark, out["features"], ["2023-12"]).count() == 0
+    ato = csvio.read_csv(spark, out["ato_rows"], csvio.FEATURE_SCHEMA)
+    assert ato.count() == 13
+    plan = pipeline.read_feature_months(spark, out["features"], ["2024-01"])._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "PartitionFilters" in plan and "2024-01" in plan
