@@ -3,7 +3,8 @@
 Method
   1. Token log-odds of toxic against clean training texts with an informative
      Dirichlet prior (prior mass spread like the corpus); every distinct training
-     text counts once, a token once per text.
+     text counts once, a token once per text. Words that inflect share their stem's
+     odds: a word without odds of its own takes those of its first five, then four letters.
   2. A linear scan (all maximal scoring segments, Ruzzo and Tompa) over the token
      scores less a drift finds every toxic passage.
   3. Extreme-value statistics: lambda solves sum p0(t) exp(lambda s(t)) = 1 on the
@@ -80,15 +81,35 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, float(r - left)) for a, b, left, r in found]
 
 
-def text_segments(text: str | None, weights: dict[str, float], drift: float):
+def units(word: str) -> tuple[str, ...]:
+    """What a word is counted as, the most particular first."""
+    if len(word) > 5:
+        return word, word[:5] + "*", word[:4] + "*"
+    return (word, word[:4] + "*") if len(word) > 4 else (word,)
+
+
+class Scorer(dict):
+    """word -> log-odds less the drift; made on first use, a bounded number is kept."""
+
+    def __init__(self, weights: dict[str, float], drift: float, most: int = 300_000):
+        super().__init__()
+        self.weights, self.drift, self.most = weights, drift, most
+
+    def __missing__(self, word: str) -> float:
+        s = next((self.weights[u] for u in units(word) if u in self.weights), 0.0) - self.drift
+        if len(self) >= self.most:
+            self.clear()
+        self[word] = s
+        return s
+
+
+def text_segments(text: str | None, scorer: Scorer):
     """(number of tokens, [(start, end, score)] in code points) of one whole text."""
     if not text:
         return 0, []
     low = folded(text)
     tokens = TOKEN.findall(low)
-    if weights.keys().isdisjoint(tokens):
-        return len(tokens), []
-    scores = np.array([weights.get(t, 0.0) for t in tokens]) - drift
+    scores = np.fromiter(map(scorer.__getitem__, tokens), float, len(tokens))
     segments = maximal_segments(scores)
     if not segments:
         return len(tokens), []
@@ -98,17 +119,15 @@ def text_segments(text: str | None, weights: dict[str, float], drift: float):
 
 def segments_column(text: Column, model: ToxicModel) -> Column:
     """struct(n_tokens, segments) of every text."""
-    weights, drift = {t: w for t, w in model.weights.items() if w > 0}, model.drift
-    negative = {t: w for t, w in model.weights.items() if w <= 0}
+    weights, drift = model.weights, model.drift
 
     @F.pandas_udf(SEGMENTS)
     def scan(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        both = weights | negative
+        scorer = Scorer(weights, drift)
         for batch in texts:
             n, found = [], []
             for t in batch:
-                # a text without any token of positive weight has no segment
-                k, s = text_segments(t, both, drift)
+                k, s = text_segments(t, scorer)
                 n.append(k)
                 found.append([{"start": a, "end": b, "score": x} for a, b, x in s])
             yield pd.DataFrame({"n_tokens": n, "segments": found})
@@ -143,7 +162,7 @@ def _count_tokens(batches):
 
     for pdf in batches:
         for text, label in zip(pdf["text"], pdf["toxic"]):
-            seen = set(TOKEN.findall(folded(text or "")))
+            seen = {u for w in set(TOKEN.findall(folded(text or ""))) for u in units(w)}
             counts.update(seen)
             if label >= 0.5:
                 toxic.update(seen)
@@ -184,9 +203,13 @@ def _fit_logistic(x: np.ndarray, n: np.ndarray, y: np.ndarray) -> tuple[float, f
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", alpha0: float = 10_000.0, z_min: float = 3.0,
+        label_col: str = "toxic", prior: float = 0.01, test_prior: float = 0.1, z_min: float = 2.5,
         drift: float = math.log(4.0), max_tokens: int = 20_000) -> ToxicModel:
-    """Learn from the labelled rows given (callers leave held-out rows out)."""
+    """Learn from the labelled rows given (callers leave held-out rows out).
+
+    ``prior``: mass of the Dirichlet prior as a share of all counts; the z scores that
+    choose tokens use the heavier ``test_prior``, which asks for about a dozen texts.
+    """
     lab = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("double").alias("y"))
            .where("doc_id IS NOT NULL AND y IS NOT NULL").groupBy("doc_id")
            .agg(F.max("y").alias("y")))
@@ -205,14 +228,16 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     n, n1 = float(tot["n"] or 0), float(tot["y1"] or 0)
     n0 = n - n1
     if n1 > 0 and n0 > 0:
-        prior = F.lit(alpha0 / n) * F.col("n")
-        odds = lambda y, of: F.log((y + F.col("a")) / (F.lit(of + alpha0) - y - F.col("a")))
-        strong = (counts.withColumn("a", prior).withColumn("y0", F.col("n") - F.col("y1"))
-                  .withColumn("d", odds(F.col("y1"), n1) - odds(F.col("y0"), n0))
-                  .withColumn("z", F.col("d") / F.sqrt(1 / (F.col("y1") + F.col("a")) + 1 / (F.col("y0") + F.col("a"))))
-                  .where(F.abs("z") >= z_min).orderBy(F.abs("z").desc(), "token").limit(max_tokens)
-                  .select("token", "d", ((F.col("y0") + F.col("a")) / F.lit(n0 + alpha0)).alias("p0"))
-                  .toPandas())
+        def odds(share: float):
+            """(log-odds, their variance, clean probability) under a prior of that share."""
+            a, mass = F.lit(share) * F.col("n"), share * n
+            y1, y0 = F.col("y1") + a, F.col("n") - F.col("y1") + a
+            return (F.log(y1 / (F.lit(n1 + mass) - y1)) - F.log(y0 / (F.lit(n0 + mass) - y0)), 1 / y1 + 1 / y0, y0 / F.lit(n0 + mass))
+
+        test, var, _ = odds(test_prior)
+        d, _, p0 = odds(prior)
+        strong = (counts.withColumn("z", F.abs(test) / F.sqrt(var)).where(F.col("z") >= z_min)
+                  .orderBy(F.desc("z"), "token").limit(max_tokens).select("token", d.alias("d"), p0.alias("p0")).toPandas())
         model.weights = dict(zip(strong["token"], strong["d"]))
         s = np.append(strong["d"].to_numpy() - drift, -drift)
         p = np.append(strong["p0"].to_numpy(), max(1e-9, 1 - strong["p0"].sum()))
