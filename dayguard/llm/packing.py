@@ -32,6 +32,7 @@ from dayguard.llm.common import slices, spool
 
 CAPACITY, END_ID = 4096, 1
 BINS, MAX_DOCS = 128, 3
+SHARES = (1.0, 0.9, 0.75, 0.5)  # of the fitted repeat counts; the plan with the fewest sequences is taken
 CACHE = 700_000  # chunks a worker keeps
 _MARKS = frozenset(".,!?;:")
 _ENCODERS: dict[str, ChunkIds] = {}
@@ -169,8 +170,9 @@ def patterns(bins: int, most: int) -> list[tuple[int, ...]]:
 class Plan:
     """Runs (length, first rank, count, first sequence, offset) of a packing."""
 
-    def __init__(self, histogram: dict[int, int], capacity: int = CAPACITY, bins: int = BINS, most: int = MAX_DOCS):
-        self.capacity = capacity
+    def __init__(self, histogram: dict[int, int], capacity: int = CAPACITY, bins: int = BINS, most: int = MAX_DOCS,
+                 share: float = 1.0):
+        self.capacity, self.share = capacity, share
         self.left = {n: c for n, c in histogram.items() if c > 0}
         self.used: dict[int, int] = dict.fromkeys(self.left, 0)
         self.groups: list[tuple[int, list[tuple[int, int]]]] = []  # sequences, [(length, first rank)]
@@ -199,7 +201,7 @@ class Plan:
                 a[b - 1, j] += 1
         x = nnls(a, np.array([count.get(b, 0) for b in range(1, total + 1)], float))
         for j in np.argsort(-x, kind="stable").tolist():
-            times = int(round(float(x[j])))
+            times = int(round(self.share * float(x[j])))
             need = {b: shapes[j].count(b) for b in shapes[j]}
             times = min([times, *(count[b] // k for b, k in need.items())])
             if times <= 0:
@@ -284,6 +286,11 @@ class Plan:
         return sum(c for c, _ in self.groups)
 
 
+def best_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
+    """The plan with the fewest sequences among those that leave part of the fitted counts to best fit."""
+    return min((Plan(histogram, capacity, share=s) for s in SHARES), key=lambda p: p.sequences)
+
+
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Pieces (doc_id, piece, length, ...) with their sequence_id and offset."""
     salts = max(8, int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -291,7 +298,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     per = spool(cut.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")))
     # at most ``capacity`` lengths, whatever the data
     histogram = {r["length"]: r["n"] for r in per.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    runs = Plan(histogram, capacity).runs()
+    runs = best_plan(histogram, capacity).runs()
     keys = (runs[:, 0] << 44) + runs[:, 1]
     from pyspark.sql import Window
     before = per.withColumn("before", F.sum("n").over(

@@ -1,0 +1,46 @@
+"""The corpus pipeline, stage by stage, on a small corpus."""
+
+import random
+
+import pytest
+
+import corpus_pipeline as C
+from tests_llm_data import corpus
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    d = str(tmp_path_factory.mktemp("corpus"))
+    docs, labels = corpus(random.Random(1))
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    return d
+
+
+def test_stages(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns, kept = docs.columns, []
+    for name, stage in C.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        assert docs.columns == columns
+        kept.append({r["doc_id"] for r in docs.collect()} - {None})
+    toxic, quality, near, personal = kept
+    assert not any(500 <= i < 600 for i in toxic) and all(i in toxic for i in range(300))
+    assert 600 not in quality and 601 not in quality and 602 not in quality
+    assert all(i in quality for i in range(300))
+    assert {i for i in near if 700 <= i < 720} == {700} and all(i in near for i in range(300))
+    assert personal == near
+    text = docs.where("doc_id = 7").first()
+    assert "<EMAIL>" in text["text"] and "@" not in text["text"] and text["n_chars"] == len(text["text"])
+
+
+def test_run_packs_what_is_kept(spark, folder):
+    rows = C.run(spark, folder).collect()
+    assert {r["doc_id"] for r in rows} >= set(range(300))
+    assert len({(r["doc_id"], r["piece"]) for r in rows}) == len(rows)
+
+
+def test_empty(spark, folder, tmp_path):
+    for t in ("documents", "labels"):
+        spark.read.parquet(f"{folder}/{t}.parquet").where("false").write.parquet(f"{tmp_path}/{t}.parquet")
+    assert C.run(spark, str(tmp_path)).count() == 0
