@@ -1,46 +1,53 @@
 """Exact quantile (numpy 'linear' rule) without sorting the table in one task.
 
-Approximate quantiles bracket the wanted rank; one count gives the rank of the
-bracket's lower end and only the values inside the bracket (a bounded number,
-about ``4 * err * n``) are fetched and sorted.  Too narrow a bracket is widened.
+Values are grouped first, so ties cost nothing; approximate quantiles of the distinct
+values cut them into buckets, and a running count inside each bucket on top of the
+buckets' totals gives every value its ranks. Only the one or two values at the wanted
+ranks are fetched.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_FETCH = 200_000
+from dayguard.session import cut_lineage
 
 
-def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
-    d = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull()
-                                                              & ~F.isnan("v"))
-    n = d.count()
-    if n == 0:
-        return None
+def exact_quantiles(df: DataFrame, col: str, qs: list[float]) -> list[float | None]:
+    """The quantiles of the non-null, non-NaN values, from one grouping of the table."""
+    d = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    g = cut_lineage(d.groupBy("v").agg(F.count(F.lit(1)).alias("n")))
+    buckets = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cuts = sorted(set(g.approxQuantile("v", [i / buckets for i in range(1, buckets)], 0.25 / buckets)))
+    at = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda x: x < F.col("v"))) if cuts else F.lit(0)
+    g = g.withColumn("bucket", at)
+    totals = {r["bucket"]: r["n"] for r in g.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}  # one row per bucket
+    n = sum(totals.values())
+    if not n:
+        return [None] * len(qs)
+    before, run = [], 0
+    for b in range(len(cuts) + 1):
+        before.append(run)
+        run += totals.get(b, 0)
+    upto = F.sum("n").over(Window.partitionBy("bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = g.withColumn("end", upto + F.element_at(F.array(*map(F.lit, before)), F.col("bucket") + 1))
+    ranks = sorted({r for q in qs for r in _ranks(n, q)[:2]})
+    hit = F.lit(False)
+    for r in ranks:
+        hit = hit | ((F.col("end") > r) & (F.col("end") - F.col("n") <= r))
+    rows = ranked.where(hit).select("v", "n", "end").collect()  # at most two values a quantile
+    value = {r: next(x["v"] for x in rows if x["end"] - x["n"] <= r < x["end"]) for r in ranks}
+    return [value[lo] + (value[hi] - value[lo]) * part for lo, hi, part in (_ranks(n, q) for q in qs)]
+
+
+def _ranks(n: int, q: float) -> tuple[int, int, float]:
     pos = (n - 1) * q
-    lo_rank = int(math.floor(pos))
-    hi_rank = min(lo_rank + 1, n - 1)
-    frac = pos - lo_rank
-    err = max(1e-6, min(1e-3, 10_000 / n))
-    while True:
-        qa, qb = max(0.0, q - 2 * err), min(1.0, q + 2 * err)
-        a, b = d.approxQuantile("v", [qa, qb], err)
-        if qa == 0.0:
-            a = float("-inf")
-        if qb == 1.0:
-            b = float("inf")
-        stats = d.agg(F.count_if(F.col("v") < a).alias("below"),
-                      F.count_if((F.col("v") >= a) & (F.col("v") <= b)).alias("inside")).first()
-        below, inside = stats["below"], stats["inside"]
-        if below <= lo_rank and below + inside > hi_rank and inside <= MAX_FETCH:
-            vals = sorted(r[0] for r in d.where((F.col("v") >= a) & (F.col("v") <= b)).collect())
-            x0, x1 = vals[lo_rank - below], vals[hi_rank - below]
-            return x0 + (x1 - x0) * frac
-        if inside > MAX_FETCH:
-            err = err / 4
-        else:
-            err = err * 4
+    lo = int(math.floor(pos))
+    return lo, min(lo + 1, n - 1), pos - lo
+
+
+def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
+    return exact_quantiles(df, col, [q])[0]

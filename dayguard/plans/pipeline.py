@@ -49,17 +49,23 @@ def normal_rows(ft: DataFrame, lab: Labelled, p: Params,
     return prep.remove_labelled(sampled, lab.all_keys, lab.ato_keys)
 
 
-def split_normal(ft: DataFrame, lab: Labelled, p: Params) -> DataFrame:
-    return prep.with_split(normal_rows(ft, lab, p), VAL_FRAC)
+def split_normal(ft: DataFrame, lab: Labelled, p: Params, frac: float = SAMPLE_FRAC,
+                 val_frac: float = VAL_FRAC) -> DataFrame:
+    return prep.with_split(normal_rows(ft, lab, p, frac), val_frac)
 
 
 def fraud_sets(ft: DataFrame, lab: Labelled) -> tuple[DataFrame, DataFrame]:
-    """(ATO rows, all-fraud rows), filled; ATO rows de-duplicated on full rows."""
+    """(ATO rows, all-fraud rows), filled; rows that repeat with their keys count once."""
     ato = prep.fill_nulls(labels.labelled_rows(ft, lab.ato_days)).dropDuplicates()
     allf = prep.fill_nulls(labels.labelled_rows(ft, lab.all_days))
     return ato, allf
 
 
+def distinct_features(rows: DataFrame) -> DataFrame:
+    """Feature rows with the keys dropped, each once: the set as preparation scores it."""
+    return rows.drop(*KEY_COLS).dropDuplicates()
+
+
 @dataclass
 class Prepared:
     scaler: prep.Scaler
@@ -71,8 +77,8 @@ class Prepared:
 
 
 def prepare(inp: Inputs, p: Params, ft: DataFrame | None = None,
-            materialise: bool = True) -> Prepared:
-    """Fill, sample, remove labelled days, split, fit the scaler, standardise.
+            materialise: bool = True, frac: float = SAMPLE_FRAC, val_frac: float = VAL_FRAC) -> Prepared:
+    """Fill, sample (``frac`` 1.0 trains on every row), remove labelled days, split, fit the scaler, standardise.
 
     The split normal rows and the two fraud sets are written once to the shared
     checkpoint folder (``materialise``): they are re-read by the scaler fit,
@@ -85,7 +91,7 @@ def prepare(inp: Inputs, p: Params, ft: DataFrame | None = None,
         # fraud days are read six times below (semi and anti joins); write them once
         ato_d, all_d = cut_lineage(lab.ato_days), cut_lineage(lab.all_days)
         lab = Labelled(ato_d, all_d, labels.day_keys(ato_d), labels.day_keys(all_d))
-    split = split_normal(ft, lab, p)
+    split = split_normal(ft, lab, p, frac, val_frac)
     ato, allf = fraud_sets(ft, lab)
     if materialise:
         split, ato, allf = cut_lineage(split), cut_lineage(ato), cut_lineage(allf)
@@ -134,7 +140,7 @@ def read_feature_months(spark, path: str, months: list[str] | None = None) -> Da
     from dayguard.sources.csvio import FEATURE_SCHEMA
     schema = T.StructType(FEATURE_SCHEMA.fields + [T.StructField("month", T.StringType())])
     df = (spark.read.schema(schema).option("header", True).option("nullValue", "NaN")
-          .option("dateFormat", "yyyy-MM-dd").csv(path))
+          .option("mode", "FAILFAST").option("dateFormat", "yyyy-MM-dd").csv(path))
     if months:
         df = df.where(F.col("month").isin(months))
     return df.drop("month")

@@ -158,7 +158,7 @@ def dedup_rows(spark, sf) -> DataFrame:
     """ATO rows, filled, keys dropped, duplicates removed (preparation order)."""
     ft = materialised_features(spark, sf)
     ato = prep.fill_nulls(labels.labelled_rows(ft, _lab(spark, sf).ato_days))
-    return ato.drop(*KEY_COLS).dropDuplicates()
+    return pipeline.distinct_features(ato)
 
 
 @register
@@ -194,8 +194,10 @@ def scaler_params(spark, sf) -> DataFrame:
 
 @register
 def standardize(spark, sf) -> DataFrame:
-    v = _prepared(spark, sf).val
-    return v.select(*KEY_COLS, *[_r(c) for c in FEATURES])
+    """All five standardised sets: train, validation, ATO, all-fraud and test rows."""
+    pr = _prepared(spark, sf)
+    sets = (("train", pr.train), ("val", pr.val), ("ato", pr.ato), ("all", pr.allf), ("test", pr.test_normal))
+    return prep.union_periods([df.select(F.lit(n).alias("dataset"), *KEY_COLS, *[_r(c) for c in FEATURES]) for n, df in sets])
 
 
 def _scored(spark, sf) -> DataFrame:
@@ -382,7 +384,7 @@ def tsv_labels(spark, sf) -> DataFrame:
     """ATO label file written as TSV (one file) and read with the tolerant reader."""
     lab = _inp(spark, sf).ato_orders
     path = csvio.write_csv(lab, _scratch(spark, "ato_orders"), single_file=True, sep="\t")
-    return csvio.read_csv(spark, path, csvio.ATO_LABEL_SCHEMA, sep="\t")
+    return csvio.read_csv(spark, path, csvio.ATO_LABEL_SCHEMA, sep="\t", tolerant=True)
 
 
 # --- models ---------------------------------------------------------------------

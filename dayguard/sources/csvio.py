@@ -37,11 +37,11 @@ def write_csv(df: DataFrame, path: str, *, single_file: bool = False,
               sep: str = ",", compression: str | None = None) -> str:
     """Export with a header; NULL is written as ``null_value``.
 
-    ``single_file`` funnels the rows through one task (``coalesce(1)``): use it
-    only for small labelled sets.  Large exports stay parallel, one or more
+    ``single_file`` sends the result rows (and only them) to one writing task by an
+    exchange, so the plan below stays parallel: use it only for small labelled sets.  Large exports stay parallel, one or more
     files per task, capped at ``max_records_per_file`` rows each.
     """
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df
     w = (out.write.mode("overwrite").option("header", True).option("nullValue", null_value)
          .option("sep", sep).option("dateFormat", "yyyy-MM-dd"))
     if max_records_per_file:
@@ -53,12 +53,14 @@ def write_csv(df: DataFrame, path: str, *, single_file: bool = False,
 
 
 def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType, *,
-             sep: str = ",", header: bool = True, null_value: str = "NaN") -> DataFrame:
+             sep: str = ",", header: bool = True, null_value: str = "NaN",
+             tolerant: bool = False) -> DataFrame:
     """Declared-schema read of one or many files (gzip is read transparently).
 
-    PERMISSIVE mode: a row with too many fields keeps the first ones, a row with
-    too few gets NULLs, as a column-count-tolerant warehouse load does.
+    A malformed row stops the read, as it would otherwise turn into NULLs and then zeros.
+    ``tolerant`` (label files): a row with too many fields keeps the first ones, a row
+    with too few gets NULLs, as a column-count-tolerant warehouse load does.
     """
     return (spark.read.schema(schema).option("header", header).option("sep", sep)
-            .option("nullValue", null_value).option("mode", "PERMISSIVE")
+            .option("nullValue", null_value).option("mode", "PERMISSIVE" if tolerant else "FAILFAST")
             .option("dateFormat", "yyyy-MM-dd").csv(paths))

@@ -11,17 +11,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, base: str, name: str, spread: bool = True) -> DataFrame:
-    """Parquet scan.  A table that arrives in fewer scan partitions than the
-    session has cores (one large row group, a few big files) is spread
-    round-robin once, so the joins and partial aggregations fused into the scan
-    stage run on every core; a table already split wider is left untouched."""
-    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-    return df
+def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """Parquet scan; ``spark.sql.files.maxPartitionBytes`` of the session decides how it is split."""
+    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
 @dataclass

@@ -57,7 +57,7 @@ def _event_action() -> Column:
 def load_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     lineitem = read_table(spark, sf_dir, "lineitem")
     orders = read_table(spark, sf_dir, "orders")
-    part = read_table(spark, sf_dir, "part", spread=False)  # dimension: joined by broadcast
+    part = read_table(spark, sf_dir, "part")  # dimension: joined by broadcast
     events = read_table(spark, sf_dir, "events")
 
     o = orders.select("o_orderkey", "o_custkey",
