@@ -4,8 +4,9 @@ error.
 
 Training runs as Spark jobs: per epoch every partition takes the broadcast
 weights and Adam state, runs shuffled minibatch Adam over its own rows in
-numpy, and returns its weights; the driver averages them by row count
-(parameter averaging).  Validation loss, plateau learning-rate decay and the
+numpy, and hands on its weights times its row count; Spark sums them by
+parameter (parameter averaging), so the driver gets one row per parameter
+whatever the number of partitions.  Validation loss, plateau learning-rate decay and the
 best-epoch weights are handled on the driver.  Scoring is a pandas UDF over
 Arrow batches.
 """
@@ -120,16 +121,10 @@ def weights_frame(spark, params: list[np.ndarray]) -> DataFrame:
 
 
 def params_from_frame(df: DataFrame, dims: tuple) -> list[np.ndarray]:
-    like = init_params(dims)
-    vals = {(r["tensor"], r["row"], r["col"]): r["value"] for r in df.collect()}
-    out = []
-    for t, p in enumerate(like):
-        m = np.zeros((p.shape[0], 1 if p.ndim == 1 else p.shape[1]))
-        for (tt, i, j), v in vals.items():
-            if tt == t:
-                m[i, j] = v
-        out.append(m.reshape(p.shape))
-    return out
+    out = [np.zeros((p.shape[0], 1 if p.ndim == 1 else p.shape[1])) for p in init_params(dims)]
+    for r in df.collect():  # as many rows as the shape has parameters
+        out[r["tensor"]][r["row"], r["col"]] = r["value"]
+    return [m.reshape(p.shape) for m, p in zip(out, init_params(dims))]
 
 
 # --- training -----------------------------------------------------------------
@@ -141,91 +136,82 @@ class TrainResult:
     best_epoch: int = -1
 
 
-def _epoch_fn(dims, flat, m, v, t0, lr, batch, seed, epoch, nparams):
+N_TRAIN, TRAIN_SUM, N_VAL, VAL_SUM, STEPS = -1, -2, -3, -4, -5  # keys of the counts beside the parameters
+
+
+def _epoch_fn(dims, flat, m, v, t0, lr, batch, seed, epoch, learn):
     def run(it):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
         like = init_params(dims)
-        frames = list(it)
-        if frames:
-            pdf = pd.concat(frames, ignore_index=True)
-        else:
-            pdf = pd.DataFrame({"x": [], "is_val": []})
-        xs = np.stack(pdf["x"].to_numpy()) if len(pdf) else np.zeros((0, dims[0]))
-        is_val = pdf["is_val"].to_numpy(dtype=bool) if len(pdf) else np.zeros(0, bool)
-        params = _unflatten(np.array(flat), like)
+        frames = [f for f in it if len(f)]
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True)
+        xs = np.stack(pdf["x"].to_numpy())
+        is_val = pdf["is_val"].to_numpy(dtype=bool)
         xv, xt = xs[is_val], xs[~is_val]
-        val_sum = float(row_loss(params, dims, xv).sum()) if len(xv) else 0.0
-        mm, vv = np.array(m), np.array(v)
-        p = np.array(flat)
-        rng = np.random.default_rng([seed, epoch, pid])
-        order = rng.permutation(len(xt))
+        val_sum = float(row_loss(_unflatten(np.array(flat), like), dims, xv).sum()) if len(xv) else 0.0
+        mm, vv, p = np.array(m), np.array(v), np.array(flat)
         loss_sum, t = 0.0, t0
-        b1, b2, eps = 0.9, 0.999, 1e-8
-        for s in range(0, len(order), batch):
-            xb = xt[order[s:s + batch]]
-            loss, g = _grads(_unflatten(p, like), dims, xb)
-            g = _flatten(g)
-            t += 1
-            mm = b1 * mm + (1 - b1) * g
-            vv = b2 * vv + (1 - b2) * g * g
-            p = p - lr * (mm / (1 - b1 ** t)) / (np.sqrt(vv / (1 - b2 ** t)) + eps)
-            loss_sum += loss * len(xb)
-        yield pd.DataFrame({"n_train": [len(xt)], "train_sum": [loss_sum],
-                            "n_val": [len(xv)], "val_sum": [val_sum], "steps": [t - t0],
-                            "p": [p.tolist()], "m": [mm.tolist()], "v": [vv.tolist()]})
+        if learn:
+            order = np.random.default_rng([seed, epoch, pid]).permutation(len(xt))
+            for s in range(0, len(order), batch):
+                p, mm, vv, t, loss = adam_step(p, mm, vv, t, xt[order[s:s + batch]], dims, like, lr)
+                loss_sum += loss * min(batch, len(order) - s)
+        keys = [N_TRAIN, TRAIN_SUM, N_VAL, VAL_SUM, STEPS]
+        vals = [len(xt), loss_sum, len(xv), val_sum, t - t0]
+        if learn:
+            keys, vals = [*keys, *range(3 * len(p))], np.concatenate((vals, len(xt) * np.concatenate((p, mm, vv))))
+        yield pd.DataFrame({"k": keys, "v": vals})
     return run
 
 
-_EPOCH_SCHEMA = ("n_train long, train_sum double, n_val long, val_sum double, steps long, "
-                 "p array<double>, m array<double>, v array<double>")
-
-
-ROWS_PER_PARTITION = 50_000  # 36 doubles a row: about 15 MB of minibatch data per task
+def adam_step(p, m, v, t, x, dims, like, lr, b1=0.9, b2=0.999, eps=1e-8):
+    """One Adam step on a minibatch: (weights, first and second moments, step, loss)."""
+    loss, g = _grads(_unflatten(p, like), dims, x)
+    g = _flatten(g)
+    t += 1
+    m = b1 * m + (1 - b1) * g
+    v = b2 * v + (1 - b2) * g * g
+    return p - lr * (m / (1 - b1 ** t)) / (np.sqrt(v / (1 - b2 ** t)) + eps), m, v, t, loss
 
 
 def training_frame(train: DataFrame, val: DataFrame, cols: list[str] = FEATURES,
-                   partitions: int | None = None) -> DataFrame:
-    """Rows as (x array, is_val), hash-partitioned by key, sorted within each
-    partition, written once to the checkpoint folder (read every epoch).
-
-    The partition count follows the row count (``ROWS_PER_PARTITION``): each
-    task then runs many minibatches between two averaging steps.
-    """
+                   partitions: int = 4) -> DataFrame:
+    """Rows as (x array, is_val) in ``partitions`` parts by key, sorted within each,
+    written once to the checkpoint folder (read every epoch)."""
     def pack(df, flag):
         return df.select(*KEY_COLS, F.array(*[F.col(c).cast("double") for c in cols]).alias("x"),
                          F.lit(flag).alias("is_val"))
     both = pack(train, False).unionByName(pack(val, True))
-    n = partitions or max(1, -(-both.count() // ROWS_PER_PARTITION))
-    both = both.repartition(n, *KEY_COLS).sortWithinPartitions(*KEY_COLS)
+    both = both.repartition(partitions, *KEY_COLS).sortWithinPartitions(*KEY_COLS)
     return cut_lineage(both.select("x", "is_val"))
 
 
 def train(train: DataFrame, val: DataFrame, dims: tuple = SHAPE_LARGE, epochs: int = 50,
           batch: int = 2048, lr: float = 1e-3, patience: int = 5, factor: float = 0.2,
-          seed: int = 42, cols: list[str] = FEATURES,
+          seed: int = 42, cols: list[str] = FEATURES, partitions: int = 4,
           frame: DataFrame | None = None) -> TrainResult:
-    frame = frame if frame is not None else training_frame(train, val, cols)
-    params = init_params(dims, seed)
-    flat = _flatten(params)
-    m = np.zeros_like(flat)
-    v = np.zeros_like(flat)
-    t = 0
+    """``partitions`` and ``batch`` are part of the model's definition: weights are averaged
+    over the partitions after every epoch; one partition is plain sequential Adam. Size
+    ``partitions`` so that a part fits a task (36 doubles a row)."""
+    frame = frame if frame is not None else training_frame(train, val, cols, partitions)
+    flat = _flatten(init_params(dims, seed))
+    m, v, t = np.zeros_like(flat), np.zeros_like(flat), 0
     best, best_epoch, best_flat = float("inf"), -1, flat.copy()
     plateau_best, bad = float("inf"), 0
     history = []
     prev_train = None
-
-    def run_epoch(e, flat, m, v, t, lr):
-        fn = _epoch_fn(tuple(dims), flat.tolist(), m.tolist(), v.tolist(), t, lr, batch,
-                       seed, e, flat.size)
-        return frame.mapInPandas(fn, _EPOCH_SCHEMA).collect()
-
     for e in range(epochs + 1):
-        train_now = e < epochs
-        rows = run_epoch(e, flat, m, v, t, lr if train_now else 0.0)
-        n_val = sum(r["n_val"] for r in rows)
-        val_loss = sum(r["val_sum"] for r in rows) / n_val if n_val else float("nan")
+        learn = e < epochs  # the last pass only reads the validation loss
+        fn = _epoch_fn(tuple(dims), flat.tolist(), m.tolist(), v.tolist(), t, lr, batch, seed, e, learn)
+        # one row per parameter, summed by Spark
+        total = (frame.mapInPandas(fn, "k int, v double").groupBy("k")
+                 .agg(F.sum("v").alias("s"), F.max("v").alias("m")).toPandas().set_index("k"))
+        get = lambda k: float(total["s"].get(k, 0.0))  # noqa: E731,B023
+        n_val, n_tr = get(N_VAL), get(N_TRAIN)
+        val_loss = get(VAL_SUM) / n_val if n_val else float("nan")
         if e > 0:
             # val_loss was measured with the weights after epoch e-1
             history.append((e, prev_train, val_loss, lr))
@@ -237,17 +223,24 @@ def train(train: DataFrame, val: DataFrame, dims: tuple = SHAPE_LARGE, epochs: i
                 bad += 1
                 if bad > patience:
                     lr, bad = lr * factor, 0
-        if not train_now:
+        if not learn or not n_tr:
             break
-        n_tr = sum(r["n_train"] for r in rows)
-        wsum = max(n_tr, 1)
-        flat = sum(np.array(r["p"]) * r["n_train"] for r in rows) / wsum if n_tr else flat
-        m = sum(np.array(r["m"]) * r["n_train"] for r in rows) / wsum if n_tr else m
-        v = sum(np.array(r["v"]) * r["n_train"] for r in rows) / wsum if n_tr else v
-        t += max([r["steps"] for r in rows] + [0])
-        prev_train = sum(r["train_sum"] for r in rows) / wsum
-    like = init_params(dims)
-    return TrainResult(tuple(dims), _unflatten(best_flat, like), history, best_epoch)
+        n = len(flat)
+        mean = total["s"].loc[range(3 * n)].to_numpy() / n_tr
+        flat, m, v = mean[:n], mean[n:2 * n], mean[2 * n:]
+        t += int(total["m"][STEPS])
+        prev_train = get(TRAIN_SUM) / n_tr
+    return TrainResult(tuple(dims), _unflatten(best_flat, init_params(dims)), history, best_epoch)
+
+
+def save(spark, path: str, params: list[np.ndarray]) -> str:
+    """Write the weights as Parquet into a shared folder."""
+    weights_frame(spark, params).write.mode("overwrite").parquet(path)
+    return path
+
+
+def load(spark, path: str, dims: tuple) -> list[np.ndarray]:
+    return params_from_frame(spark.read.parquet(path), dims)
 
 
 def history_frame(spark, res: TrainResult) -> DataFrame:

@@ -8,7 +8,7 @@ b ~ U(0, 2 pi); the one-class objective (Schoelkopf et al. 2001)
     min 1/2 |w|^2 - rho + 1/(nu n) sum_i max(0, rho - w.z(x_i))
 
 is then linear in z and is solved by minibatch subgradient steps inside each
-partition, averaged by row count on the driver after every epoch (start: the
+partition, averaged by row count (sums by Spark) after every epoch (start: the
 kernel mean, the nu = 1 solution).  Finally rho is set to the exact nu-quantile
 of w.z over the training rows, so the training outlier share is nu.
 Labels will not equal an exact solver's row by row.
@@ -28,7 +28,6 @@ from pyspark.sql import types as T
 from dayguard.functions.quantile import exact_quantile
 from dayguard.operators.autoencoder import training_frame
 from dayguard.schema import FEATURES
-from dayguard.session import cut_lineage
 
 N_COMPONENTS = 128
 
@@ -85,7 +84,7 @@ def _partial_fn(wm, bm, coef, rho, nu, lr, batch, seed, epoch, mode):
         z = fourier_features(np.stack(pdf["x"].to_numpy()), np.array(wm), np.array(bm))
         c, r = np.array(coef), float(rho)
         if mode == "mean":
-            yield pd.DataFrame({"n": [len(z)], "coef": [z.sum(axis=0).tolist()], "rho": [0.0]})
+            yield _weighted(len(z), z.mean(axis=0), 0.0)
             return
         rng = np.random.default_rng([seed, epoch, pid])
         order = rng.permutation(len(z))
@@ -95,38 +94,33 @@ def _partial_fn(wm, bm, coef, rho, nu, lr, batch, seed, epoch, mode):
             gc = c - zb[viol].sum(axis=0) / (nu * len(zb))
             gr = -1.0 + viol.sum() / (nu * len(zb))
             c, r = c - lr * gc, r - lr * gr
-        yield pd.DataFrame({"n": [len(z)], "coef": [c.tolist()], "rho": [r]})
+        yield _weighted(len(z), c, r)
     return run
 
 
-_SCHEMA = "n long, coef array<double>, rho double"
+def _weighted(n: int, coef: np.ndarray, rho: float) -> pd.DataFrame:
+    """(-1, rows), (0, rho x rows), (1 + i, coefficient i x rows)."""
+    return pd.DataFrame({"k": range(-1, len(coef) + 1), "v": np.concatenate(([n, n * rho], n * coef))})
 
 
 def fit(train: DataFrame, nu: float, gamma: float = 0.1, n_components: int = N_COMPONENTS,
         epochs: int = 5, batch: int = 2048, lr: float = 0.05, seed: int = 42,
-        cols: list[str] = FEATURES, frame: DataFrame | None = None) -> OneClassModel:
-    empty = train.where(F.lit(False))
-    frame = frame if frame is not None else training_frame(train, empty, cols)
+        cols: list[str] = FEATURES, partitions: int = 4, frame: DataFrame | None = None) -> OneClassModel:
+    """``partitions`` and ``batch`` are part of the model's definition (averaging after every epoch)."""
+    frame = frame if frame is not None else training_frame(train, train.where(F.lit(False)), cols, partitions)
     wm, bm = fourier_map(len(cols), gamma, n_components, seed)
 
     def job(coef, rho, e, mode):
         fn = _partial_fn(wm.tolist(), bm.tolist(), coef.tolist(), rho, nu, lr / math.sqrt(e + 1),
                          batch, seed, e, mode)
-        rows = frame.mapInPandas(fn, _SCHEMA).collect()
-        n = sum(r["n"] for r in rows)
-        if mode == "mean":
-            return sum(np.array(r["coef"]) for r in rows) / max(n, 1), 0.0
-        return (sum(np.array(r["coef"]) * r["n"] for r in rows) / max(n, 1),
-                sum(r["rho"] * r["n"] for r in rows) / max(n, 1))
+        sums = frame.mapInPandas(fn, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).toPandas().set_index("k")["v"]
+        n = max(float(sums.get(-1, 0.0)), 1.0)
+        return np.array([sums.get(i + 1, 0.0) for i in range(n_components)]) / n, float(sums.get(0, 0.0)) / n
 
+    # the kernel mean (the nu = 1 solution); with epochs = 0 it is the model
     coef, rho = job(np.zeros(n_components), 0.0, 0, "mean")
-    if epochs == 0:
-        # the kernel-mean model (the nu = 1 solution), offset set below
-        rho = 0.0
     for e in range(epochs):
         coef, rho = job(coef, rho, e, "sgd")
     model = OneClassModel(wm, bm, coef, 0.0, nu, gamma)
-    # training decision values written once: the exact quantile reads them several times
-    scores = cut_lineage(train.select(decision_column(model, cols).alias("d")))
-    model.rho = exact_quantile(scores, "d", nu)
+    model.rho = exact_quantile(train.select(decision_column(model, cols).alias("d")), "d", nu)
     return model

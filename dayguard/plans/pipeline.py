@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -12,7 +13,7 @@ from dayguard.operators import assemble, labels, prep
 from dayguard.operators.evaluate import mean_square_score
 from dayguard.params import Params
 from dayguard.schema import FEATURES, KEY_COLS
-from dayguard.session import cut_lineage
+from dayguard.session import cut_lineage, ensure_checkpoint_dir
 from dayguard.sources.tables import Inputs
 
 SAMPLE_FRAC = 0.2
@@ -103,6 +104,15 @@ def prepare(inp: Inputs, p: Params, ft: DataFrame | None = None,
     return Prepared(scaler, t(train), t(val), t(ato), t(allf), t(test))
 
 
+def written(ft: DataFrame) -> DataFrame:
+    """The feature table as Parquet by month in the shared folder, read with directory and
+    column pruning and the day filter pushed to the files."""
+    path = f"{ensure_checkpoint_dir(ft.sparkSession).rstrip('/')}/features-{uuid.uuid4().hex}"
+    month = F.date_format(KEY_COLS[1], "yyyy-MM")
+    ft.withColumn("month", month).write.partitionBy("month").parquet(path)
+    return ft.sparkSession.read.parquet(path).drop("month")
+
+
 def with_baseline_score(df: DataFrame) -> DataFrame:
     return df.withColumn("score", mean_square_score(FEATURES))
 
@@ -119,7 +129,7 @@ def export_job(inp: Inputs, p: Params, out_dir: str, max_records_per_file: int =
     """
     from dayguard.sources.csvio import write_csv
 
-    ft = cut_lineage(assemble.feature_table(inp, p))
+    ft = written(assemble.feature_table(inp, p))
     lab = labelled_days(inp, p)
     base = out_dir.rstrip("/")
     # no shuffle by month (a month would land in one task): every task writes

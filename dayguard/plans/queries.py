@@ -92,11 +92,11 @@ def _r(c, name=None):
 
 
 def materialised_features(spark, sf) -> DataFrame:
-    """The feature table written once to the shared checkpoint folder; later
-    stages (preparation, models, evaluation) read it like the exported table."""
+    """The feature table written once as Parquet to the shared checkpoint folder; later
+    stages (preparation, models, evaluation) read the columns and days they need."""
     key = ("ft", _sid(spark), sf)
     if key not in _CACHE:
-        _CACHE[key] = cut_lineage(assemble.feature_table(_inp(spark, sf), P))
+        _CACHE[key] = pipeline.written(assemble.feature_table(_inp(spark, sf), P))
     return _CACHE[key]
 
 
@@ -212,7 +212,10 @@ def scored_labels(spark, sf) -> DataFrame:
 
 
 def _cum(spark, sf) -> DataFrame:
-    return curves.cumulative_counts(_scored(spark, sf))
+    key = ("cum", _sid(spark), sf)
+    if key not in _CACHE:
+        _CACHE[key] = curves.cumulative_counts(_scored(spark, sf))
+    return _CACHE[key]
 
 
 @register
@@ -387,31 +390,101 @@ def tsv_labels(spark, sf) -> DataFrame:
     return csvio.read_csv(spark, path, csvio.ATO_LABEL_SCHEMA, sep="\t", tolerant=True)
 
 
+@register
+def ato_export(spark, sf) -> DataFrame:
+    """ATO rows exported as one CSV file and read back."""
+    path = csvio.write_csv(ato_rows(spark, sf), _scratch(spark, "ato_rows"), single_file=True)
+    return csvio.read_csv(spark, path, csvio.FEATURE_SCHEMA)
+
+
+@register
+def fraud_export(spark, sf) -> DataFrame:
+    """All-fraud rows exported as one CSV file and read back."""
+    path = csvio.write_csv(fraud_rows(spark, sf), _scratch(spark, "fraud_rows"), single_file=True)
+    return csvio.read_csv(spark, path, csvio.FEATURE_SCHEMA)
+
+
 # --- models ---------------------------------------------------------------------
 from dayguard.operators import autoencoder as ae  # noqa: E402
 
 AE_EPOCHS = 50
+AE_BATCH, PARTITIONS = 64, 4  # part of the models' definition
 
 
-def _normal_z(spark, sf) -> DataFrame:
+def _all_z(spark, sf) -> DataFrame:
     pr = _prepared(spark, sf)
-    return pr.train.unionByName(pr.val)
+    sets = (("train", pr.train), ("val", pr.val), ("ato", pr.ato), ("all", pr.allf), ("test", pr.test_normal))
+    return prep.union_periods([df.withColumn("dataset", F.lit(n)) for n, df in sets])
+
+
+def _ae_scores(spark, sf, params) -> DataFrame:
+    return _all_z(spark, sf).select("dataset", *KEY_COLS, _r(ae.score_column(params, ae.SHAPE_SMALL), "score"))
 
 
 @register
 def ae_score_fixed(spark, sf) -> DataFrame:
     """Reconstruction loss of the small autoencoder with seeded, fixed weights
-    on the standardised normal rows."""
-    params = ae.init_params(ae.SHAPE_SMALL, seed=42)
-    z = _normal_z(spark, sf)
-    return z.select(*KEY_COLS, F.round(ae.score_column(params, ae.SHAPE_SMALL), 6).alias("score"))
+    on the standardised train, validation, ATO, all-fraud and test rows."""
+    return _ae_scores(spark, sf, ae.init_params(ae.SHAPE_SMALL, seed=42))
+
+
+@register
+def ae_saved_score(spark, sf) -> DataFrame:
+    """The same losses with the weights written to the shared folder and read back."""
+    path = ae.save(spark, _scratch(spark, "weights"), ae.init_params(ae.SHAPE_SMALL, seed=42))
+    return _ae_scores(spark, sf, ae.load(spark, path, ae.SHAPE_SMALL))
+
+
+def _ae_scored(spark, sf) -> DataFrame:
+    """Validation rows (label 0) and ATO rows (label 1) with the fixed autoencoder's loss."""
+    pr = _prepared(spark, sf)
+    loss = F.round(ae.score_column(ae.init_params(ae.SHAPE_SMALL, seed=42), ae.SHAPE_SMALL), 6)
+    return evaluate.scored_labels(pr.val.withColumn("score", loss), pr.ato.withColumn("score", loss))
+
+
+def _ae_cum(spark, sf) -> DataFrame:
+    key = ("ae_cum", _sid(spark), sf)
+    if key not in _CACHE:
+        _CACHE[key] = curves.cumulative_counts(_ae_scored(spark, sf))
+    return _CACHE[key]
+
+
+@register
+def ae_scored_labels(spark, sf) -> DataFrame:
+    return _ae_scored(spark, sf).select(*KEY_COLS, _r("score"), "label")
+
+
+@register
+def ae_roc_curve(spark, sf) -> DataFrame:
+    return curves.roc_curve(_ae_cum(spark, sf)).select(_r("threshold"), _r("fpr"), _r("tpr"))
+
+
+@register
+def ae_auc(spark, sf) -> DataFrame:
+    return curves.auc(_ae_cum(spark, sf)).select(_r("auc"))
+
+
+@register
+def ae_pr_curve(spark, sf) -> DataFrame:
+    return curves.pr_curve(_ae_cum(spark, sf)).select(_r("threshold"), _r("precision"), _r("recall"))
+
+
+@register
+def ae_f1_curve(spark, sf) -> DataFrame:
+    return curves.f1_curve(_ae_cum(spark, sf)).select(_r("threshold"), _r("f1"))
+
+
+@register
+def ae_average_precision(spark, sf) -> DataFrame:
+    return curves.average_precision(_ae_cum(spark, sf)).select(_r("average_precision"))
 
 
 def _ae_trained(spark, sf) -> ae.TrainResult:
     key = ("ae", _sid(spark), sf)
     if key not in _CACHE:
         pr = _prepared(spark, sf)
-        _CACHE[key] = ae.train(pr.train, pr.val, ae.SHAPE_LARGE, epochs=AE_EPOCHS)
+        _CACHE[key] = ae.train(pr.train, pr.val, ae.SHAPE_LARGE, epochs=AE_EPOCHS, batch=AE_BATCH,
+                               partitions=PARTITIONS)
     return _CACHE[key]
 
 
@@ -429,14 +502,14 @@ def ae_history(spark, sf) -> DataFrame:
 
 from dayguard.operators import iforest  # noqa: E402
 
-IFOREST_CONTAMINATION = 0.1
+IFOREST_CONTAMINATIONS = [0.1, 0.05, 0.01]
 
 
 def _forest(spark, sf):
     key = ("if", _sid(spark), sf)
     if key not in _CACHE:
         _CACHE[key] = iforest.fit(_prepared(spark, sf).train, n_trees=100, max_samples=100,
-                                  contamination=IFOREST_CONTAMINATION, seed=42)
+                                  contamination=IFOREST_CONTAMINATIONS, seed=42)
     return _CACHE[key]
 
 
@@ -453,43 +526,46 @@ def iforest_train(spark, sf) -> DataFrame:
 
 
 @register
-def iforest_score_fixed(spark, sf) -> DataFrame:
-    """Anomaly score and -1/+1 label of validation, ATO and all-fraud rows."""
+def iforest_score(spark, sf) -> DataFrame:
+    """Anomaly score and -1/+1 label (one per contamination) of validation, ATO and
+    all-fraud rows under the fitted forest."""
     forest = _forest(spark, sf)[0]
-    return _eval_sets(spark, sf).select(
-        *KEY_COLS, "dataset", F.round(iforest.score_column(forest), 6).alias("score"),
-        iforest.predict_column(forest).alias("pred"))
+    scored = _eval_sets(spark, sf).select(*KEY_COLS, "dataset", iforest.score_column(forest).alias("s"))
+    return scored.select(*KEY_COLS, "dataset", _r("s", "score"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("contamination"), F.when(-F.col("s") < F.lit(o), -1).otherwise(1).alias("pred"))
+        for c, o in forest.offsets.items()])).alias("p")).select("*", "p.contamination", "p.pred").drop("p")
 
 
 from dayguard.operators import ocsvm  # noqa: E402
 
 SVM_NU = 0.01
+SVM_NUS = [0.1, 0.01, 0.001]
 SVM_GAMMA = 0.1
 
 
-def _svm(spark, sf) -> ocsvm.OneClassModel:
+def _svms(spark, sf) -> list[ocsvm.OneClassModel]:
     key = ("svm", _sid(spark), sf)
     if key not in _CACHE:
-        _CACHE[key] = ocsvm.fit(_prepared(spark, sf).train, nu=SVM_NU, gamma=SVM_GAMMA)
+        train = _prepared(spark, sf).train
+        frame = ae.training_frame(train, train.where(F.lit(False)), partitions=PARTITIONS)
+        _CACHE[key] = [ocsvm.fit(train, nu=nu, gamma=SVM_GAMMA, batch=AE_BATCH, frame=frame) for nu in SVM_NUS]
     return _CACHE[key]
 
 
 @register
 def ocsvm_train(spark, sf) -> DataFrame:
-    """Fitted one-class model: coefficient per Fourier component, and rho."""
-    m = _svm(spark, sf)
-    rows = [(i, float(c)) for i, c in enumerate(m.coef)] + [(-1, float(m.rho))]
-    return spark.createDataFrame(rows, "component int, value double")
+    """Fitted one-class models: coefficient per Fourier component, and rho (component -1), per nu."""
+    rows = [(m.nu, i, float(c)) for m in _svms(spark, sf) for i, c in [*enumerate(m.coef), (-1, m.rho)]]
+    return spark.createDataFrame(rows, "nu double, component int, value double")
 
 
 @register
 def ocsvm_score(spark, sf) -> DataFrame:
-    """Decision value and -1/+1 label of validation, ATO and all-fraud rows
-    (SGD-trained one-class model)."""
-    m = _svm(spark, sf)
-    return _eval_sets(spark, sf).select(
-        *KEY_COLS, "dataset", F.round(ocsvm.decision_column(m), 6).alias("decision"),
-        ocsvm.predict_column(m).alias("pred"))
+    """Decision value and -1/+1 label of validation, ATO and all-fraud rows per nu
+    (SGD-trained one-class models)."""
+    z = _eval_sets(spark, sf)
+    return prep.union_periods([z.select(*KEY_COLS, "dataset", F.lit(m.nu).alias("nu"), _r(ocsvm.decision_column(m), "decision"),
+                                        ocsvm.predict_column(m).alias("pred")) for m in _svms(spark, sf)])
 
 
 @register
@@ -524,18 +600,24 @@ def ae_train_small(spark, sf) -> DataFrame:
     key = ("ae_small", _sid(spark), sf)
     if key not in _CACHE:
         pr = _prepared(spark, sf)
-        _CACHE[key] = ae.train(pr.train, pr.val, ae.SHAPE_SMALL, epochs=AE_EPOCHS)
+        _CACHE[key] = ae.train(pr.train, pr.val, ae.SHAPE_SMALL, epochs=AE_EPOCHS, batch=AE_BATCH,
+                               partitions=PARTITIONS)
     return ae.weights_frame(spark, _CACHE[key].params)
 
 
 @register
 def iforest_rates(spark, sf) -> DataFrame:
-    """Forest outliers per dataset: false positives on validation, true
+    """Forest outliers per contamination and dataset: false positives on validation, true
     positives on ATO and all-fraud rows, with their rates."""
-    return evaluate.outlier_rates(iforest_score_fixed(spark, sf))
+    return _rates(iforest_score(spark, sf), "contamination")
+
+
+def _rates(scored: DataFrame, by: str) -> DataFrame:
+    both = scored.withColumn("dataset", F.struct("dataset", by))
+    return evaluate.outlier_rates(both).select("dataset.*", "n_rows", "n_outliers", "outlier_rate")
 
 
 @register
 def ocsvm_rates(spark, sf) -> DataFrame:
-    """One-class SVM: false positive rate on validation, ATO and all-fraud recall."""
-    return evaluate.outlier_rates(ocsvm_score(spark, sf))
+    """One-class SVM per nu: false positive rate on validation, ATO and all-fraud recall."""
+    return _rates(ocsvm_score(spark, sf), "nu")

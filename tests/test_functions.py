@@ -48,3 +48,12 @@ def test_midnight_rule(spark):
     s, e = dt.date(2024, 1, 1), dt.date(2024, 1, 5)
     assert df.where(ts_in_days("ts", s, e)).count() == 2
     assert df.where(ts_in_days("ts", s, e, end_inclusive_midnight=True)).count() == 1
+
+
+def test_exact_quantile_ends_on_ties(spark):
+    for n in (300_000, 1_000_000):
+        df = spark.range(n).select(F.when(F.col("id") % 100 == 0, F.col("id").cast("double")).otherwise(7.0).alias("v"))
+        v = np.where(np.arange(n) % 100 == 0, np.arange(n), 7.0)
+        for q in (0.001, 0.1, 0.995):
+            assert exact_quantile(df, "v", q) == float(np.percentile(v, 100 * q))
+    assert exact_quantile(spark.range(3).select(F.lit(None).cast("double").alias("v")), "v", 0.5) is None

@@ -93,3 +93,40 @@ def test_autoencoder_weights_roundtrip(spark):
     assert all(np.array_equal(a, b) for a, b in zip(params, back))
     assert sum(p.size for p in params) == 1400
     assert sum(p.size for p in ae.init_params(ae.SHAPE_LARGE)) == 3039
+
+
+def test_epoch_weights_are_the_weighted_average_of_the_partitions(spark):
+    dims = (6, 4, 2, 4, 6)
+    x = np.random.default_rng(8).normal(size=(203, 6))
+    df = _frame(spark, x)
+    tr, va = df.where(F.col("CUSTOMER_ID") % 10 != 0), df.where(F.col("CUSTOMER_ID") % 10 == 0)
+    frame = ae.training_frame(tr, va, COLS, partitions=4)
+    assert frame.rdd.getNumPartitions() == 4
+    parts = [[r for r in p if not r["is_val"]] for p in frame.rdd.glom().collect()]
+    assert sum(bool(p) for p in parts) == 4
+    like = ae.init_params(dims, 42)
+    flat = ae._flatten(like)
+    want, n = np.zeros_like(flat), 0
+    for pid, rows in enumerate(parts):
+        xs = np.array([r["x"] for r in rows])
+        p, m, v, t = flat, np.zeros_like(flat), np.zeros_like(flat), 0
+        order = np.random.default_rng([42, 0, pid]).permutation(len(xs))
+        for s in range(0, len(xs), 16):
+            p, m, v, t, _ = ae.adam_step(p, m, v, t, xs[order[s:s + 16]], dims, like, 0.01)
+        want, n = want + len(xs) * p, n + len(xs)
+    got = ae.train(tr, va, dims, epochs=1, batch=16, lr=0.01, cols=COLS, frame=frame)
+    assert np.allclose(ae._flatten(got.params), want / n)
+    one = ae.train(tr, va, dims, epochs=12, batch=16, lr=0.01, cols=COLS, partitions=1)
+    four = ae.train(tr, va, dims, epochs=12, batch=16, lr=0.01, cols=COLS, frame=frame)
+    assert all(r.history[-1][2] < 0.97 * r.history[0][2] for r in (one, four))
+
+
+def test_forest_and_weights_survive_the_shared_folder(spark, tmp_path):
+    df = _frame(spark, np.random.default_rng(2).normal(size=(300, 6)))
+    forest, nodes = iforest.fit(df, n_trees=10, max_samples=32, contamination=[0.1, 0.01], cols=COLS)
+    back = iforest.load(spark, iforest.save(nodes, forest, str(tmp_path / "forest")))
+    x = np.random.default_rng(3).normal(size=(50, 6))
+    assert np.array_equal(iforest.anomaly_score(forest, x), iforest.anomaly_score(back, x)) and back.offsets == forest.offsets
+    params = ae.init_params(ae.SHAPE_SMALL, seed=3)
+    again = ae.load(spark, ae.save(spark, str(tmp_path / "w"), params), ae.SHAPE_SMALL)
+    assert all(np.array_equal(a, b) for a, b in zip(params, again))

@@ -182,3 +182,29 @@ def test_export_job_roundtrip_and_month_pruning(spark):
     plan = pipeline.read_feature_months(spark, out["features"], ["2024-01"])._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PartitionFilters" in plan and "2024-01" in plan
+
+
+def test_malformed_feature_rows_stop_the_read(spark, tmp_path):
+    import pytest
+    (tmp_path / "f.csv").write_text("order_id,customer_id\n1,2\nx,3\n")
+    with pytest.raises(Exception, match="(?i)malformed|NumberFormat|FAILFAST|FAILED_READ"):
+        csvio.read_csv(spark, str(tmp_path / "f.csv"), csvio.ATO_LABEL_SCHEMA).collect()
+    assert csvio.read_csv(spark, str(tmp_path / "f.csv"), csvio.ATO_LABEL_SCHEMA, tolerant=True).count() == 2
+
+
+def test_single_file_keeps_the_plan_parallel(spark, tmp_path):
+    a = spark.range(100).withColumnRenamed("id", "k")
+    j = a.repartition(4).join(a.repartition(4).hint("merge"), "k", "left_semi")
+    path = csvio.write_csv(j, str(tmp_path / "one"), single_file=True)
+    import glob
+    assert len(glob.glob(f"{path}/*.csv")) == 1
+    plan = j.repartition(1)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("RoundRobinPartitioning(1)") < plan.index("Join") if "RoundRobinPartitioning(1)" in plan else "SinglePartition" in plan
+
+
+def test_equal_feature_rows_count_once(spark):
+    from dayguard.plans.pipeline import distinct_features
+    from dayguard.schema import FEATURES, KEY_COLS
+    rows = spark.range(3).select(F.col("id").alias(KEY_COLS[0]), F.lit("2024-01-01").cast("date").alias(KEY_COLS[1]),
+                                 *[F.when(F.col("id") < 2, 1).otherwise(2).alias(c) for c in FEATURES])
+    assert rows.dropDuplicates().count() == 3 and distinct_features(rows).count() == 2
