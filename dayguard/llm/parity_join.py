@@ -11,9 +11,12 @@ Method
      tasks; neighbours with the same sketch become candidate pairs.
   4. Candidates must pass the size bound and a one-bit-per-token parity sketch whose
      Hamming distance is a lower bound of |A xor B|, then are verified on whole sets.
-  5. Components of the verified links. Sketches whose rows still span several
-     components then give every cross-component pair, verified the same way, so no
-     link between components is lost; pairs inside a component are never expanded.
+  5. Components of the verified links. Texts in sketches that still span several
+     components may have links across them. Such a pair also shares a member among the
+     first |A| - ceil(t |A|) + 1 of each set in any common order; in the order of rising
+     frequency those are rare, so pairs that only share a frequent passage never meet.
+     These pairs are verified the same way: no link between components is lost, and
+     pairs inside a component are never expanded.
 
 Defined cases: null or wordless texts have an empty set and link with nothing; a text
 with fewer words than a shingle is one shingle; rows with a null id are left out;
@@ -222,6 +225,46 @@ def _sets(width: int):
     return sets
 
 
+ORDER_BITS = 16  # counters that order members by frequency; any common order keeps the join exact
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(1 << ORDER_BITS, np.int64)
+    for batch in batches:
+        for raw in batch.column(1).to_pylist():
+            total += np.bincount((np.frombuffer(raw, np.uint64) >> np.uint64(64 - ORDER_BITS)).astype(np.int64), minlength=len(total))
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["slot", "n"])
+
+
+def _prefixes(spec: JoinSpec, count: np.ndarray):
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                x = np.frombuffer(raw, np.uint64)
+                order = np.lexsort((x, count[(x >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]))
+                first = x[order[:len(x) - spec.smallest(len(x)) + 1]].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), doc), pa.int64()), pa.array(
+                    np.full(len(first), len(x)), pa.int64()), pa.array(first)], names=["doc", "n", "member"])
+
+    return prefixes
+
+
+def _across(rows: DataFrame, docs: DataFrame, spec: JoinSpec) -> tuple[DataFrame, DataFrame]:
+    """(pairs that may link different roots among rows (doc, root), sets of those docs)."""
+    sets = spool(docs.select(F.col("doc_id").alias("doc"), "text").join(rows.select("doc"), "doc", "left_semi")
+                 .mapInArrow(_sets(spec.width), "doc bigint, members binary"))
+    count = np.zeros(1 << ORDER_BITS, np.int64)
+    seen = sets.mapInArrow(_frequencies, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    count[seen["slot"].to_numpy(int)] = seen["n"].to_numpy(int)  # at most 2 ** ORDER_BITS rows
+    first = spool(sets.mapInArrow(_prefixes(spec, count), "doc long, n long, member long").join(rows, "doc"))
+    side = lambda c: first.select("member", F.col("doc").alias(c), F.col("n").alias(f"n_{c}"), F.col("root").alias(f"root_{c}"))
+    a, b = side("a").alias("l"), side("b").alias("r")
+    pairs = a.join(b, (F.col("l.member") == F.col("r.member")) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
+                   & (spec.den * F.least("n_a", "n_b") >= spec.num * F.greatest("n_a", "n_b")))
+    return pairs.select("a", "b").distinct(), sets
+
+
 def _linked(spec: JoinSpec):
     @F.pandas_udf("boolean")
     def linked(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -246,10 +289,13 @@ def _promising(pairs: DataFrame, summary: DataFrame, spec: JoinSpec) -> DataFram
             .select("a", "b"))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, spec: JoinSpec) -> DataFrame:
+def _sets_of(pairs: DataFrame, docs: DataFrame, spec: JoinSpec) -> DataFrame:
     need = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     texts = docs.select(F.col("doc_id").alias("doc"), "text").join(need, "doc", "left_semi")
-    sets = spool(texts.mapInArrow(_sets(spec.width), "doc bigint, members binary"))
+    return spool(texts.mapInArrow(_sets(spec.width), "doc bigint, members binary"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, spec: JoinSpec) -> DataFrame:
     return (pairs.join(sets.select(F.col("doc").alias("a"), F.col("members").alias("s_a")), "a")
             .join(sets.select(F.col("doc").alias("b"), F.col("members").alias("s_b")), "b")
             .where(_linked(spec)("s_a", "s_b")).select("a", "b"))
@@ -306,20 +352,21 @@ def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id"
     summary = summary.select("doc_id", "n", "parity")
     near = met.where("before IS NOT NULL AND before <> doc").select(
         F.least("before", "doc").alias("a"), F.greatest("before", "doc").alias("b")).distinct()
-    links = spool(_verified(spool(_promising(near, summary, spec)), docs, spec))
+    close = spool(_promising(near, summary, spec))
+    links = spool(_verified(close, _sets_of(close, docs, spec), spec))
     roots = components(links)
-    # sketches that still hold several components: every pair across components
+    # sketches that still hold several components: their texts may have links across
     rows = met.select("cell", "doc").distinct().join(roots.withColumnRenamed("node", "doc"), "doc", "left").select(
         "cell", "doc", F.coalesce("root", "doc").alias("root"))
     rows = spool(rows)
     mixed = rows.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("cell")
-    rows = spool(rows.join(mixed, "cell", "left_semi"))
-    side = lambda c: rows.select("cell", F.col("doc").alias(c), F.col("root").alias(f"root_{c}"))
-    cross = side("a").join(side("b"), "cell").where("a < b AND root_a <> root_b").select("a", "b").distinct()
-    cross = spool(_promising(cross.join(near, ["a", "b"], "left_anti"), summary, spec))
-    if not cross.isEmpty():
-        links = spool(links.union(_verified(cross, docs, spec)))
-        roots = components(links)
+    rows = spool(rows.join(mixed, "cell", "left_semi").select("doc", "root").distinct())
+    if not rows.isEmpty():
+        pairs, sets = _across(rows, docs, spec)
+        cross = spool(_promising(pairs.join(near, ["a", "b"], "left_anti"), summary, spec))
+        if not cross.isEmpty():
+            links = spool(links.union(_verified(cross, sets, spec)))
+            roots = components(links)
     members = (info.where("n > 0").join(reps, ["n", "x", "y"])
                .select("doc_id", F.col("n").alias("n_shingles"), "class_id", "copies")
                .join(roots.withColumnRenamed("node", "class_id"), "class_id", "left")
