@@ -250,19 +250,26 @@ def _prefixes(spec: JoinSpec, count: np.ndarray):
     return prefixes
 
 
-def _across(rows: DataFrame, docs: DataFrame, spec: JoinSpec) -> tuple[DataFrame, DataFrame]:
-    """(pairs that may link different roots among rows (doc, root), sets of those docs)."""
+def _across(rows: DataFrame, docs: DataFrame, summary: DataFrame, spec: JoinSpec) -> tuple[DataFrame, DataFrame]:
+    """(pairs that may link different roots among rows (doc, root), sets of those docs).
+
+    The size and Hamming bounds are part of the join's condition: in a group of copies just
+    below the threshold only pairs that pass both leave the join.
+    """
     sets = spool(docs.select(F.col("doc_id").alias("doc"), "text").join(rows.select("doc"), "doc", "left_semi")
                  .mapInArrow(_sets(spec.width), "doc bigint, members binary"))
     count = np.zeros(1 << ORDER_BITS, np.int64)
     seen = sets.mapInArrow(_frequencies, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     count[seen["slot"].to_numpy(int)] = seen["n"].to_numpy(int)  # at most 2 ** ORDER_BITS rows
-    first = spool(sets.mapInArrow(_prefixes(spec, count), "doc long, n long, member long").join(rows, "doc"))
-    side = lambda c: first.select("member", F.col("doc").alias(c), F.col("n").alias(f"n_{c}"), F.col("root").alias(f"root_{c}"))
-    a, b = side("a").alias("l"), side("b").alias("r")
-    pairs = a.join(b, (F.col("l.member") == F.col("r.member")) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
-                   & (spec.den * F.least("n_a", "n_b") >= spec.num * F.greatest("n_a", "n_b")))
-    return pairs.select("a", "b").distinct(), sets
+    bits = [f"p{i}" for i in range(PARITY_WORDS)]
+    known = summary.select(F.col("doc_id").alias("doc"), *[F.col("parity")[i].alias(p) for i, p in enumerate(bits)])
+    first = spool(sets.mapInArrow(_prefixes(spec, count), "doc long, n long, member long").join(rows.join(known, "doc"), "doc"))
+    l, r = first.alias("l"), first.select(*[F.col(c).alias(f"{c}_") for c in first.columns])
+    far = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"{p}_"))) for p in bits), F.lit(0))
+    pairs = l.join(r, (F.col("member") == F.col("member_")) & (F.col("doc") < F.col("doc_")) & (F.col("root") != F.col("root_"))
+                   & (spec.den * F.least("n", "n_") >= spec.num * F.greatest("n", "n_"))
+                   & ((spec.den + spec.num) * far <= (spec.den - spec.num) * (F.col("n") + F.col("n_"))))
+    return pairs.select(F.col("doc").alias("a"), F.col("doc_").alias("b")).distinct(), sets
 
 
 def _linked(spec: JoinSpec):
@@ -362,8 +369,8 @@ def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id"
     mixed = rows.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("cell")
     rows = spool(rows.join(mixed, "cell", "left_semi").select("doc", "root").distinct())
     if not rows.isEmpty():
-        pairs, sets = _across(rows, docs, spec)
-        cross = spool(_promising(pairs.join(near, ["a", "b"], "left_anti"), summary, spec))
+        pairs, sets = _across(rows, docs, summary, spec)
+        cross = spool(pairs.join(near, ["a", "b"], "left_anti"))
         if not cross.isEmpty():
             links = spool(links.union(_verified(cross, sets, spec)))
             roots = components(links)
