@@ -341,6 +341,25 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return roots
 
 
+def _settled(pairs: DataFrame, sets: DataFrame, links: DataFrame | None, spec: JoinSpec) -> tuple[DataFrame, DataFrame]:
+    """(links, roots) after the pairs are verified as far as they matter.
+
+    First each document's pair with its smallest partner, so a set moves about once however
+    many partners it has; then the pairs whose ends are still in different components.
+    """
+    first = spool(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    found = _verified(first, sets, spec)
+    links = spool(found if links is None else links.union(found))
+    roots = components(links)
+    ra, rb = (roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b"))
+    rest = spool(pairs.join(first, ["a", "b"], "left_anti").join(ra, "a", "left").join(rb, "b", "left")
+                 .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"))
+    if not rest.isEmpty():
+        links = spool(links.union(_verified(rest, sets, spec)))
+        roots = components(links)
+    return links, roots
+
+
 def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id", text_col: str = "text"):
     """(members, links): members has doc_id, n_shingles, class_id, component_id for every
     document; links the verified pairs (a < b) between class representatives that join components."""
@@ -360,8 +379,7 @@ def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id"
     near = met.where("before IS NOT NULL AND before <> doc").select(
         F.least("before", "doc").alias("a"), F.greatest("before", "doc").alias("b")).distinct()
     close = spool(_promising(near, summary, spec))
-    links = spool(_verified(close, _sets_of(close, docs, spec), spec))
-    roots = components(links)
+    links, roots = _settled(close, _sets_of(close, docs, spec), None, spec)
     # sketches that still hold several components: their texts may have links across
     rows = met.select("cell", "doc").distinct().join(roots.withColumnRenamed("node", "doc"), "doc", "left").select(
         "cell", "doc", F.coalesce("root", "doc").alias("root"))
@@ -372,8 +390,7 @@ def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id"
         pairs, sets = _across(rows, docs, summary, spec)
         cross = spool(pairs.join(near, ["a", "b"], "left_anti"))
         if not cross.isEmpty():
-            links = spool(links.union(_verified(cross, sets, spec)))
-            roots = components(links)
+            links, roots = _settled(cross, sets, links, spec)
     members = (info.where("n > 0").join(reps, ["n", "x", "y"])
                .select("doc_id", F.col("n").alias("n_shingles"), "class_id", "copies")
                .join(roots.withColumnRenamed("node", "class_id"), "class_id", "left")
