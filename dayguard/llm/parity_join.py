@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from dayguard.llm.common import mix64, ragged, slices, spool
 
 BAND = 1.5
-PARITY_WORDS = 16      # 1,024 bits
+PARITY_WORDS = 16      # 64-bit words of the smallest parity sketch; larger sets have two bits a member
 CACHE = 400_000        # word hashes a task keeps
 A_TO_Z = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _FULL = 1 << 64
@@ -142,13 +142,25 @@ def sketches(x: np.ndarray, sizes: np.ndarray, spec: JoinSpec) -> tuple[np.ndarr
     return mix64(out ^ mix64(label)).view(np.int64), made
 
 
-def parities(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """For each set a row of bits, one of which every member flips."""
-    bits = PARITY_WORDS * 64
-    bit = (mix64(x ^ np.uint64(0x5bd1e995)) % np.uint64(bits)).astype(np.int64)
+def parity_words(n: int) -> int:
+    """Words of a set's sketch, a power of two so that sketches fold onto smaller ones."""
+    return max(PARITY_WORDS, 1 << max(0, (n // 32 - 1)).bit_length())
+
+
+def parities(x: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each set a row of bits, one of which every member flips: (all rows' words one after
+    the other, words of each, the rows folded to PARITY_WORDS words)."""
+    words = np.array([parity_words(n) for n in sizes.tolist()], np.int64)
+    begin = np.cumsum(words) - words
     doc = np.repeat(np.arange(len(sizes)), sizes)
-    odd = (np.bincount(doc * bits + bit, minlength=len(sizes) * bits) & 1).astype(np.uint8)
-    return np.packbits(odd.reshape(len(sizes), bits), axis=1, bitorder="little").view(np.int64)
+    place = mix64(x ^ np.uint64(0x5bd1e995)) % (words[doc] * 64).astype(np.uint64)
+    flat = np.bincount(begin[doc] * 64 + place.astype(np.int64), minlength=int(words.sum()) * 64) & 1
+    rows = np.packbits(flat.astype(np.uint8), bitorder="little").view(np.int64)
+    low = np.zeros((len(sizes), PARITY_WORDS), np.int64)
+    if len(rows):
+        col = (np.arange(len(rows)) - np.repeat(begin, words)) % PARITY_WORDS
+        np.bitwise_xor.at(low, (np.repeat(np.arange(len(sizes)), words), col), rows)
+    return rows, words, low
 
 
 def _lists(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -167,10 +179,11 @@ def _summaries(spec: JoinSpec):
                 fx[some] = np.bitwise_xor.reduceat(x, begin)
                 fy[some] = np.add.reduceat(mix64(x ^ np.uint64(77)), begin)
             cells, made = sketches(x, sizes, spec)
+            rows, words, low = parities(x, sizes)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(sizes, pa.int64()), pa.array(fx.view(np.int64)), pa.array(fy.view(np.int64)),
-                 _lists(parities(x, sizes).reshape(-1), np.full(n, PARITY_WORDS)), _lists(cells, made)],
-                names=["doc_id", "n", "x", "y", "parity", "cells"])
+                 _lists(rows, words), _lists(low.reshape(-1), np.full(n, PARITY_WORDS)), _lists(cells, made)],
+                names=["doc_id", "n", "x", "y", "parity", "low", "cells"])
 
     return summarise
 
@@ -262,7 +275,7 @@ def _across(rows: DataFrame, docs: DataFrame, summary: DataFrame, spec: JoinSpec
     seen = sets.mapInArrow(_frequencies, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     count[seen["slot"].to_numpy(int)] = seen["n"].to_numpy(int)  # at most 2 ** ORDER_BITS rows
     bits = [f"p{i}" for i in range(PARITY_WORDS)]
-    known = summary.select(F.col("doc_id").alias("doc"), *[F.col("parity")[i].alias(p) for i, p in enumerate(bits)])
+    known = summary.select(F.col("doc_id").alias("doc"), *[F.col("low")[i].alias(p) for i, p in enumerate(bits)])
     first = spool(sets.mapInArrow(_prefixes(spec, count), "doc long, n long, member long").join(rows.join(known, "doc"), "doc"))
     l, r = first.alias("l"), first.select(*[F.col(c).alias(f"{c}_") for c in first.columns])
     far = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"{p}_"))) for p in bits), F.lit(0))
@@ -289,10 +302,14 @@ def _promising(pairs: DataFrame, summary: DataFrame, spec: JoinSpec) -> DataFram
     """Pairs (a < b) that pass the size bound and the Hamming bound."""
     side = lambda c: summary.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"),
                                     F.col("parity").alias(f"p_{c}"))
-    far = F.aggregate(F.zip_with("p_a", "p_b", lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, v: s + v)
+    half = lambda c: F.zip_with(F.slice(c, F.lit(1), (F.size(c) / 2).cast("int")),
+                                F.slice(c, (F.size(c) / 2).cast("int") + 1, (F.size(c) / 2).cast("int")), lambda u, v: u.bitwiseXOR(v))
+    even = lambda c, d: F.when(F.size(c) > F.size(d), half(c)).otherwise(F.col(c))
+    # sizes within the bound differ by less than a factor of two, so one fold makes sketches equally long
+    far = F.aggregate(F.zip_with(even("p_a", "p_b"), even("p_b", "p_a"), lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, v: s + v)
     return (pairs.join(side("a"), "a").join(side("b"), "b")
-            .where((spec.den * F.least("n_a", "n_b") >= spec.num * F.greatest("n_a", "n_b"))
-                   & ((spec.den + spec.num) * far <= (spec.den - spec.num) * (F.col("n_a") + F.col("n_b"))))
+            .where(spec.den * F.least("n_a", "n_b") >= spec.num * F.greatest("n_a", "n_b"))
+            .where(((spec.den + spec.num) * far <= (spec.den - spec.num) * (F.col("n_a") + F.col("n_b"))))
             .select("a", "b"))
 
 
@@ -365,17 +382,17 @@ def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id"
     document; links the verified pairs (a < b) between class representatives that join components."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL")
-    wide = spool(docs.mapInArrow(_summaries(spec), "doc_id long, n long, x long, y long, parity array<long>, cells array<long>"))
+    wide = spool(docs.mapInArrow(_summaries(spec), "doc_id long, n long, x long, y long, parity array<long>, low array<long>, cells array<long>"))
     info = wide.select("doc_id", "n", "x", "y")
     reps = spool(info.where("n > 0").groupBy("n", "x", "y").agg(F.min("doc_id").alias("class_id"),
                                                                 F.count(F.lit(1)).alias("copies")))
     only = reps.select(F.col("class_id").alias("doc_id"))
-    summary = spool(wide.where("n > 0").join(only, "doc_id", "left_semi").select("doc_id", "n", "parity", "cells"))
+    summary = spool(wide.where("n > 0").join(only, "doc_id", "left_semi").select("doc_id", "n", "parity", "low", "cells"))
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     met = spool(summary.select(F.explode("cells").alias("cell"), F.col("doc_id").alias("doc"))
                 .repartitionByRange(parts, "cell", "doc").sortWithinPartitions("cell", "doc")
                 .mapInArrow(_neighbours, "cell long, doc long, before long"))
-    summary = summary.select("doc_id", "n", "parity")
+    summary = summary.select("doc_id", "n", "parity", "low")
     near = met.where("before IS NOT NULL AND before <> doc").select(
         F.least("before", "doc").alias("a"), F.greatest("before", "doc").alias("b")).distinct()
     close = spool(_promising(near, summary, spec))
@@ -388,7 +405,7 @@ def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id"
     rows = spool(rows.join(mixed, "cell", "left_semi").select("doc", "root").distinct())
     if not rows.isEmpty():
         pairs, sets = _across(rows, docs, summary, spec)
-        cross = spool(pairs.join(near, ["a", "b"], "left_anti"))
+        cross = spool(_promising(pairs.join(near, ["a", "b"], "left_anti"), summary, spec))
         if not cross.isEmpty():
             links, roots = _settled(cross, sets, links, spec)
     members = (info.where("n > 0").join(reps, ["n", "x", "y"])
