@@ -33,7 +33,7 @@ from dayguard.llm.common import slices, spool
 CAPACITY, END_ID = 4096, 1
 BINS, MAX_DOCS = 128, 3
 SHARES = (1.0, 0.9, 0.75, 0.5)  # of the fitted repeat counts; the plan with the fewest sequences is taken
-CACHE = 700_000  # chunks a worker keeps
+CACHE = 250_000  # chunks a worker keeps
 _MARKS = frozenset(".,!?;:")
 _ENCODERS: dict[str, ChunkIds] = {}
 

@@ -41,7 +41,7 @@ from dayguard.llm.common import mix64, ragged, slices, spool
 
 BAND = 1.5
 PARITY_WORDS = 16      # 64-bit words of the smallest parity sketch; larger sets have two bits a member
-CACHE = 400_000        # word hashes a task keeps
+CACHE = 150_000        # word hashes a task keeps
 A_TO_Z = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _FULL = 1 << 64
 

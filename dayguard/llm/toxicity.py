@@ -91,7 +91,7 @@ def units(word: str) -> tuple[str, ...]:
 class Scorer(dict):
     """word -> log-odds less the drift; made on first use, a bounded number is kept."""
 
-    def __init__(self, weights: dict[str, float], drift: float, most: int = 300_000):
+    def __init__(self, weights: dict[str, float], drift: float, most: int = 100_000):
         super().__init__()
         self.weights, self.drift, self.most = weights, drift, most
 
