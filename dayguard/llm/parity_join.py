@@ -329,9 +329,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root): the smallest node that each node of the edges reaches.
 
     Every round points each node at its smallest neighbour, shortens the pointers and
-    contracts the edges to the roots; only edges between different roots go on.
+    contracts the edges to the roots; only edges between different roots go on. Repeated
+    edges are left in: they never outnumber the given ones and the minimum is partial.
     """
-    left = spool(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct())
+    left = spool(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b"))
     roots: DataFrame | None = None
     while not left.isEmpty():
         both = left.union(left.select("b", "a"))
@@ -352,28 +353,39 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         ra = point.select(F.col("node").alias("a"), F.col("root").alias("ra"))
         rb = point.select(F.col("node").alias("b"), F.col("root").alias("rb"))
         left = spool(left.join(ra, "a").join(rb, "b").where("ra <> rb")
-                     .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
+                     .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")))
     if roots is None:
         return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots
 
 
-def _settled(pairs: DataFrame, sets: DataFrame, links: DataFrame | None, spec: JoinSpec) -> tuple[DataFrame, DataFrame]:
-    """(links, roots) after the pairs are verified as far as they matter.
+def merged(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """``roots`` (node, root) after further edges (a, b): only the edges' roots are joined anew."""
+    ra, rb = (roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b"))
+    upper = components(edges.join(ra, "a", "left").join(rb, "b", "left")
+                       .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+    top = upper.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    new = upper.join(roots.select("node"), "node", "left_anti")
+    return spool(roots.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root")).union(new))
+
+
+def _settled(pairs: DataFrame, sets: DataFrame, known: tuple[DataFrame, DataFrame] | None,
+             spec: JoinSpec) -> tuple[DataFrame, DataFrame]:
+    """(links, roots), on top of those known, after the pairs are verified as far as they matter.
 
     First each document's pair with its smallest partner, so a set moves about once however
     many partners it has; then the pairs whose ends are still in different components.
     """
     first = spool(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    found = _verified(first, sets, spec)
-    links = spool(found if links is None else links.union(found))
-    roots = components(links)
+    found = spool(_verified(first, sets, spec))
+    links = known[0].union(found) if known else found
+    roots = merged(known[1], found) if known else components(found)
     ra, rb = (roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b"))
     rest = spool(pairs.join(first, ["a", "b"], "left_anti").join(ra, "a", "left").join(rb, "b", "left")
                  .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"))
     if not rest.isEmpty():
-        links = spool(links.union(_verified(rest, sets, spec)))
-        roots = components(links)
+        found = spool(_verified(rest, sets, spec))
+        links, roots = links.union(found), merged(roots, found)
     return links, roots
 
 
@@ -407,7 +419,7 @@ def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id"
         pairs, sets = _across(rows, docs, summary, spec)
         cross = spool(_promising(pairs.join(near, ["a", "b"], "left_anti"), summary, spec))
         if not cross.isEmpty():
-            links, roots = _settled(cross, sets, links, spec)
+            links, roots = _settled(cross, sets, (links, roots), spec)
     members = (info.where("n > 0").join(reps, ["n", "x", "y"])
                .select("doc_id", F.col("n").alias("n_shingles"), "class_id", "copies")
                .join(roots.withColumnRenamed("node", "class_id"), "class_id", "left")
