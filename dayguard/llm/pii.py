@@ -387,8 +387,10 @@ def fit(docs: DataFrame, text_col: str = "text", *, sample: int = 400, windows:
     """Train on the rules' spans in at most ``sample`` texts, chosen by hash among texts of at
     most ``most_chars`` characters that hold a digit or '@' (documented bounds of the training set)."""
     t = F.col(text_col)
-    rows = (docs.where(t.rlike("[0-9@]") & (F.length(t) <= most_chars)).select(t.alias("text"))
-            .orderBy(F.xxhash64("text", F.lit(seed)), "text").limit(sample).collect())
+    fit_for = docs.where(t.rlike("[0-9@]") & (F.length(t) <= most_chars)).select(t.alias("text"), F.xxhash64(t, F.lit(seed)).alias("h"))
+    # the hashes alone first, so that no task sends ``sample`` texts to the driver
+    last = fit_for.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    rows = fit_for.where(F.col("h") <= F.lit(last)).orderBy("h", "text").limit(sample).collect()
     ids, tags = training_windows([r["text"] for r in rows], windows, seed)
     return train(ids, tags, seed=seed) if (tags > 0).any() else None
 
