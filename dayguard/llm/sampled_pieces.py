@@ -38,7 +38,7 @@ from dayguard.llm.common import slices
 
 SPACE = "▁"
 _CHUNK = re.compile("▁*[^▁\n]+|▁+|\n")
-CACHE = 200_000
+CACHE = 25_000  # chunk lattices a worker keeps, a few KB each
 _MODELS: dict[str, PieceLattices] = {}
 SAMPLE = "sample int, n_pieces int, ids array<int>, log_prob double, perturbed double, inclusion double"
 
