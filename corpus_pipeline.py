@@ -37,7 +37,7 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies (five-word shingles, Jaccard 0.8 or more)."""
-    members, _ = parity_join.join(docs, parity_join.JoinSpec(5, 80, 100))
+    members, _ = parity_join.component_join(docs, parity_join.JoinSpec(5, 80, 100))
     gone = members.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     twice = spool(kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"))

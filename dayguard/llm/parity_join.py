@@ -18,6 +18,12 @@ Method
      These pairs are verified the same way: no link between components is lost, and
      pairs inside a component are never expanded.
 
+Steps 1 to 5 are ``component_join``, which finds the components and only the links that
+build them. ``join`` gives every link: from step 3 on all texts that share a sketch with
+another go through the join on rare members of step 5, whatever their component, and all
+pairs that pass the bounds are verified. Its links are the output, so a group of m
+different near copies costs m (m - 1) / 2 of them.
+
 Defined cases: null or wordless texts have an empty set and link with nothing; a text
 with fewer words than a shingle is one shingle; rows with a null id are left out;
 an id given twice stands for all its rows (its smallest text counts); long texts are taken whole.
@@ -389,9 +395,8 @@ def _settled(pairs: DataFrame, sets: DataFrame, known: tuple[DataFrame, DataFram
     return links, roots
 
 
-def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id", text_col: str = "text"):
-    """(members, links): members has doc_id, n_shingles, class_id, component_id for every
-    document; links the verified pairs (a < b) between class representatives that join components."""
+def _sketched(docs: DataFrame, spec: JoinSpec, id_col: str, text_col: str):
+    """Steps 1 to 3: (docs, info of all ids, classes, summaries of their representatives, rows that share a cell)."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL")
     wide = spool(docs.mapInArrow(_summaries(spec), "doc_id long, n long, x long, y long, parity array<long>, low array<long>, cells array<long>"))
@@ -404,7 +409,37 @@ def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id"
     met = spool(summary.select(F.explode("cells").alias("cell"), F.col("doc_id").alias("doc"))
                 .repartitionByRange(parts, "cell", "doc").sortWithinPartitions("cell", "doc")
                 .mapInArrow(_neighbours, "cell long, doc long, before long"))
-    summary = summary.select("doc_id", "n", "parity", "low")
+    return docs, info, reps, summary.select("doc_id", "n", "parity", "low"), met
+
+
+def _members(info: DataFrame, reps: DataFrame, roots: DataFrame) -> DataFrame:
+    return (info.where("n > 0").join(reps, ["n", "x", "y"])
+            .select("doc_id", F.col("n").alias("n_shingles"), "class_id", "copies")
+            .join(roots.withColumnRenamed("node", "class_id"), "class_id", "left")
+            .select("doc_id", "n_shingles", "class_id", F.coalesce("root", "class_id").alias("component_id"))
+            .union(info.where("n = 0").select("doc_id", F.lit(0).cast("long"), "doc_id", "doc_id")))
+
+
+def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id", text_col: str = "text"):
+    """(members, links): members has doc_id, n_shingles, class_id, component_id, n_links for every
+    document; links all pairs (a < b) of class representatives that reach the threshold.
+
+    ``n_links`` counts the different texts that a document's text links with.
+    """
+    docs, info, reps, summary, met = _sketched(docs, spec, id_col, text_col)
+    rows = spool(met.select("doc").distinct().withColumn("root", F.col("doc")))  # each its own root: no pair is left out
+    pairs, sets = _across(rows, docs, summary, spec)
+    links = spool(_verified(spool(_promising(pairs, summary, spec)), sets, spec))
+    n_links = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count(F.lit(1)).alias("n_links"))
+    members = _members(info, reps, components(links)).join(n_links, "class_id", "left").select(
+        "doc_id", "n_shingles", "class_id", "component_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    return members, links
+
+
+def component_join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id", text_col: str = "text"):
+    """(members, links): members has doc_id, n_shingles, class_id, component_id for every
+    document; links only the verified pairs (a < b) between class representatives that build components."""
+    docs, info, reps, summary, met = _sketched(docs, spec, id_col, text_col)
     near = met.where("before IS NOT NULL AND before <> doc").select(
         F.least("before", "doc").alias("a"), F.greatest("before", "doc").alias("b")).distinct()
     close = spool(_promising(near, summary, spec))
@@ -420,9 +455,4 @@ def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id"
         cross = spool(_promising(pairs.join(near, ["a", "b"], "left_anti"), summary, spec))
         if not cross.isEmpty():
             links, roots = _settled(cross, sets, (links, roots), spec)
-    members = (info.where("n > 0").join(reps, ["n", "x", "y"])
-               .select("doc_id", F.col("n").alias("n_shingles"), "class_id", "copies")
-               .join(roots.withColumnRenamed("node", "class_id"), "class_id", "left")
-               .select("doc_id", "n_shingles", "class_id", F.coalesce("root", "class_id").alias("component_id"))
-               .union(info.where("n = 0").select("doc_id", F.lit(0).cast("long"), "doc_id", "doc_id")))
-    return members, links
+    return _members(info, reps, roots), links

@@ -144,7 +144,7 @@ FROM j
 
 @register
 def op6_parity_join(spark, sf_dir: str) -> DataFrame:
-    members, _ = parity_join.join(read_table(spark, sf_dir, "documents"), parity_join.JoinSpec(3, 90, 100))
+    members, _ = parity_join.component_join(read_table(spark, sf_dir, "documents"), parity_join.JoinSpec(3, 90, 100))
     return members.select("doc_id", "n_shingles", "component_id")
 
 

@@ -255,6 +255,47 @@ def test_join_against_brute_force(spark, spec):
     assert links.where("a >= b").count() == 0
 
 
+@pytest.mark.parametrize("spec", [parity_join.JoinSpec(3, 90, 100), parity_join.JoinSpec(5, 80, 100)])
+def test_join_gives_every_link(spark, spec):
+    r = random.Random(21)
+    rows = [(1, None), (2, "one two"), (3, "one TWO")]
+    base = prose(77, 300, 900).split()
+    for k in range(30):  # one group of near copies, most of whose links are inside one component
+        w = list(base)
+        for _ in range(k % 7):
+            w[r.randrange(300)] = f"n{r.randrange(999)}"
+        rows.append((r.randrange(10_000) * 100 + k, " ".join(w)))
+    rows += [(2_000_000, rows[5][1]), (2_000_001, rows[5][1].upper())]  # copies are no links of different texts
+    sets = {i: frozenset(zip(*(t.lower().split()[j:] for j in range(spec.width)))) for i, t in rows if i > 3}
+    first = {}
+    for i in sorted(sets):
+        first.setdefault(sets[i], i)
+    want = {(a, b) for a, b in itertools.combinations(sorted(first.values()), 2)
+            if spec.den * len(sets[a] & sets[b]) >= spec.num * len(sets[a] | sets[b])}
+    members, links = parity_join.join(docs_of(spark, rows), spec)
+    assert sorted(tuple(x) for x in links.select("a", "b").collect()) == sorted(want) and len(want) > 60
+    n = collections.Counter(itertools.chain(*want))
+    got = {x["doc_id"]: (x["n_links"], x["component_id"]) for x in members.collect()}
+    assert got == {i: (n[first[sets[i]]] if i in sets else 0, jaccard_components(rows, spec)[i][1]) for i, _ in rows}
+    some, fewer = parity_join.component_join(docs_of(spark, rows), spec)
+    assert {x["doc_id"]: x["component_id"] for x in some.collect()} == {i: c for i, (_, c) in got.items()}
+    assert {tuple(x) for x in fewer.select("a", "b").collect()} <= want
+
+
+def test_component_join_against_brute_force(spark):
+    spec, r = parity_join.JoinSpec(3, 90, 100), random.Random(9)
+    rows = [(1, None), (3, "One two"), (4, "one  TWO"), (6, prose(0, 3000, 900)), (None, "x")]
+    for g in range(8):
+        words = prose(g, r.choice([20, 60, 300])).split()
+        for k in range(12):
+            w = list(words)
+            for _ in range(k * len(w) // 100):
+                w[r.randrange(len(w))] = f"n{r.randrange(999)}"
+            rows.append((100 * (g + 1) + k, " ".join(w)))
+    members, _ = parity_join.component_join(docs_of(spark, rows), spec)
+    assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in members.collect()} == jaccard_components(rows, spec)
+
+
 def test_join_empty(spark):
     members, links = parity_join.join(spark.createDataFrame([], DOCS))
     assert members.count() == 0 and links.count() == 0
