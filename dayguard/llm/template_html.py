@@ -5,16 +5,20 @@ text tokens (a container path and a block's hash). Tokens of a host that share t
 occurrence vector (how often on which page; compared by a sum of hashes of (page, count))
 form an equivalence class. A class is valid if it is large enough in pages; classes nest
 by their paths into the host's template. Text tokens in a class with their own container
-are constant template text. The remaining slots hold the data: the slot with the article
-(by element, then by name, then by text) is the host's main slot and its blocks are the
-main text; containers that are menus, headers, footers, sidebars, notices, adverts, forms
+are constant template text, at their own path only. Pages of a host with the same blocks
+(mirrored articles, repeated rows, one article under many URLs) are one page here, so
+copies do not make an article look constant. The remaining slots hold the data: the slot
+with the article (by element, then by name, then by text) is the host's main slot and its
+blocks are the main text; inside an article, main or named content slot only boxes with a
+name of their own (a div or section with a class or id) can be template text, headings,
+paragraphs, lists, quotes and tables never are; containers that are menus, headers, footers, sidebars, notices, adverts, forms
 or reader comments by element, role or class never are.
 
-Counting is one partial aggregation by (host, token), so a host with most of the pages is
-spread over tasks; a host's model is one row, bounded by the blocks of one page.
+Counting is two partial aggregations, by (host, token, page content) and by (host, token),
+so a host with most of the pages is spread over tasks; a host's model is one row, bounded by the blocks of one page.
 
 Defined cases: null or empty html gives an empty text; a null url is a host of its own
-(empty name); hosts with fewer than ``MIN_PAGES`` pages have no constant text to deduce and each page's own
+(empty name); hosts with fewer than ``MIN_PAGES`` different pages have no constant text to deduce and each page's own
 slots are used; repeated rows are extracted each; unclosed or stray tags are mended as
 browsers do for paragraphs and list items, an unclosed comment or script hides the rest.
 """
@@ -173,30 +177,44 @@ def text_hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+def block_hash(path: str, text: str) -> int:
+    return text_hash(f"{path}\n{text}")
+
+
+def may_be_template(path: str, slot: str) -> bool:
+    """Whether a block at ``path`` inside the main slot can be template text at all."""
+    if rank(slot) > 2:  # the whole body: no element tells the article from its frame
+        return True
+    own = path.rpartition(">")[2].split(".")
+    return path != slot and own[0] in ("div", "section") and len(own) > 1 and not NAMED & set(own[1:])
+
+
 def extract(page: str | None, slot: str | None, constant: set[int]) -> str:
     found, _ = blocks(page)
     inside = [(p, t) for p, t in found if slot and (p == slot or p.startswith(slot + ">"))]
     if not inside:
-        own = best_slot(_below(found))
-        inside = [(p, t) for p, t in found if not own or p == own or p.startswith(own + ">")]
-    return "\n".join(t for _, t in inside if not constant or text_hash(t) not in constant)
+        slot = best_slot(_below(found))
+        inside = [(p, t) for p, t in found if not slot or p == slot or p.startswith(slot + ">")]
+    return "\n".join(t for p, t in inside if not constant or not may_be_template(p, slot) or block_hash(p, t) not in constant)
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, 2, most_rows=1_000):
+    for part in slices(batches, 1, most_rows=1_000):
         rows: list[tuple] = []
-        for host, key, page in zip(*(part.column(i).to_pylist() for i in range(3))):
+        for host, page in zip(*(part.column(i).to_pylist() for i in range(2))):
             found, seen = blocks(page)
+            content = text_hash("\n".join(x for block in found for x in block))
             chars, texts = _below(found), {}
             for path, text in found:
-                k = (path, text_hash(text))
+                k = (path, block_hash(path, text))
                 texts[k] = texts.get(k, 0) + 1
-            rows += [(host, key, p, None, n, chars.get(p, 0)) for p, n in seen.items()]
-            rows += [(host, key, p, h, n, 0) for (p, h), n in texts.items()]
+            rows.append((host, content, "", None, 1, 0))  # the page itself
+            rows += [(host, content, p, None, n, chars.get(p, 0)) for p, n in seen.items()]
+            rows += [(host, content, p, h, n, 0) for (p, h), n in texts.items()]
         cols = list(zip(*rows)) or [[]] * 6
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (
             pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()))],
-            names=["host", "page", "path", "text", "n", "chars"])
+            names=["host", "content", "path", "text", "n", "chars"])
 
 
 @F.pandas_udf(StringType())
@@ -205,14 +223,18 @@ def _slot_of(paths: pd.Series, chars: pd.Series) -> pd.Series:
 
 
 def templates(pages: DataFrame, *, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, pages, slot, constant): the deduced template of every host, from (host, page, html)."""
-    tokens = spool(pages.select("host", "page", "html").mapInArrow(
-        _tokens, "host string, page long, path string, text long, n long, chars long"))
-    per = spool(tokens.groupBy("host", "path", "text").agg(
+    """(host, pages, slot, constant): the deduced template of every host, from (host, html);
+    ``pages`` counts its different pages."""
+    tokens = pages.select("host", "html").mapInArrow(
+        _tokens, "host string, content long, path string, text long, n long, chars long")
+    # pages of equal blocks may differ in empty containers: the most of each counts
+    once = tokens.groupBy("host", "path", "text", "content").agg(F.max("n").alias("n"), F.max("chars").alias("chars"))
+    per = spool(once.groupBy("host", "path", "text").agg(
         F.count(F.lit(1)).alias("pages"), F.sum("chars").alias("chars"),
         # equal sums mean equal occurrence vectors
-        F.sum(F.xxhash64("page", "n").cast("decimal(20,0)")).alias("vector")))
-    of = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
+        F.sum(F.xxhash64("content", "n").cast("decimal(20,0)")).alias("vector")))
+    of = per.where("path = '' AND text IS NULL").select("host", F.col("pages").alias("all_pages"))
+    per = per.where("path <> ''")
     valid = per.join(of, "host").where(F.col("pages") >= F.greatest(F.lit(min_pages), F.lit(min_share) * F.col("all_pages")))
     tags = valid.where("text IS NULL")
     constant = (valid.where("text IS NOT NULL")
@@ -235,6 +257,6 @@ def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
     """(page_id, url, text) of every row."""
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                         host_of(F.col(url_col)).alias("host"))
-    model = templates(rows.select("host", F.xxhash64("page_id", "url").alias("page"), "html"))
+    model = templates(rows.select("host", "html"))
     return rows.join(model.select("host", "slot", "constant"), "host", "left").select(
         "page_id", "url", _extracted("html", "slot", "constant").alias("text"))

@@ -468,6 +468,26 @@ def test_main_text(spark):
     assert template_html.main_text(df.where("false")).count() == 0
 
 
+def test_main_text_of_hosts_with_copies(spark):
+    def at(host, i, head, body, menu=""):
+        return i, f"http://{host}/{i}", f"<html><body>{menu}<article><h1>{head}</h1><p>By Ann</p>{body}</article></body></html>"
+
+    rows = [at("mirror", i, "Head", "<p>one</p><div class=para>two</div>") for i in range(7)]
+    rows += [at("menus", 100 + i, "Head", "<p>one</p>", f"<nav>menu {i}</nav>") for i in range(7)]
+    rows += [at("shared", 200 + i, "Daily", f"<p>text {i}</p>") for i in range(8)]
+    rows += [at("near", 300 + i, "Head", f"<p>one</p><p>two</p><p>{i} views</p>") for i in range(6)]
+    note = "<div class=note>Read more</div>"
+    rows += [at("paths", 400 + i, f"Head {i}", f"<p>text {i}</p>{note}" + ("<div class=quote>Read more</div>" if i == 3 else "")) for i in range(8)]
+    rows += [(500 + i, f"http://one/{i}", "<article><p>only this</p></article>") for i in range(9)]
+    got = {r["page_id"]: r["text"] for r in template_html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == "Head\nBy Ann\none\ntwo" for i in range(7))
+    assert all(got[100 + i] == "Head\nBy Ann\none" for i in range(7))
+    assert all(got[200 + i] == f"Daily\nBy Ann\ntext {i}" for i in range(8))
+    assert all(got[300 + i] == f"Head\nBy Ann\none\ntwo\n{i} views" for i in range(6))
+    assert got[400] == "Head 0\nBy Ann\ntext 0" and got[403] == "Head 3\nBy Ann\ntext 3\nRead more"
+    assert all(got[500 + i] == "only this" for i in range(9))
+
+
 # all
 def test_registry_names():
     found = sorted(int(m[1]) for k in REGISTRY if (m := re.match(r"op(\d+)_", k)))
