@@ -1,13 +1,17 @@
 """Licence scan: sparse TF-IDF cosine to templates, then nearest-ancestor inheritance.
 
-Method (DataFrame functions only): every line of every whole text that speaks of a licence
-is a candidate header. Its term frequencies are weighted by smoothed inverse frequencies
-counted over all candidate lines; terms no template has weigh like the rarest. The cosine
-with every template line picks the best licence; at least ``MIN_COSINE`` counts. A file
-named LICENSE gives its licence to its directory; files without one of their own take the
-licence of the nearest ancestor directory that has one, found by joins of path prefixes.
-
-Only the template vectors (fixed) and the frequencies of their terms (as many rows as the
+Method (DataFrame functions only): every line of every whole text, and every run of two to
+``WRAP`` lines (a notice may be wrapped), is compared with one-notice templates. Term
+frequencies are weighted by smoothed inverse frequencies counted over the lines that speak
+of a licence; terms no template has weigh like the rarest. Lines whose
+shared terms cannot reach ``MIN_COSINE`` by an upper bound (see ``telling``) are passed over:
+no line of that cosine is left out. The best cosine picks the licence; at least
+``MIN_COSINE`` counts. Files with a licence file's name are compared as a whole with the
+full texts in ``licence_texts`` too (at least ``WHOLE_COSINE``), which goes before lines. Such
+a file gives its licence to its directory; files without one of their own take the licence
+of the nearest ancestor directory that has one, found by joins of path prefixes.
+
+Only the template vectors (fixed; the full texts' come from files beside this module) and the frequencies of their terms (as many rows as the
 templates have terms) are broadcast.
 
 Defined cases: null or empty text has no candidate line; ties of cosine go to the smaller
@@ -17,12 +21,15 @@ a null path has no directory and inherits nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dayguard.llm.common import spool
 
-MIN_COSINE = 0.6
+MIN_COSINE, WHOLE_COSINE, WRAP = 0.6, 0.8, 4
+LICENCE_FILE = r"(?i)(^|/)(un)?(licen[sc]e|copying)s?([-_][a-z0-9+-]+(\.[0-9]+)*|\.lesser|\.lib)?(\.(txt|md|markdown|rst|adoc|html?))?$"
 SPEAKS = "(?i)licen[sc]e|copyright|spdx|warranty|permission is hereby"
 # fixed values: common notice lines of public licences
 TEMPLATES = (
@@ -39,6 +46,18 @@ TEMPLATES = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
+# more notices: a list of their own, as the frequencies above are counted over the terms of TEMPLATES
+MORE_TEMPLATES = (
+    ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
+    ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty."),
+)
+TEXTS = Path(__file__).parent / "licence_texts"
 
 
 def terms(line: Column) -> Column:
@@ -46,35 +65,42 @@ def terms(line: Column) -> Column:
 
 
 def clean(terms_: Column) -> Column:
-    return F.transform(terms_, lambda t: F.regexp_replace(t, r"^\.+|\.+$", ""))
+    return F.transform(terms_, lambda t: F.btrim(t, F.lit(".")))
 
 
-def template_terms(spark: SparkSession) -> DataFrame:
-    rows = [(i, name, line) for i, (name, line) in enumerate(TEMPLATES)]
+def template_terms(spark: SparkSession, templates) -> DataFrame:
+    rows = [(i, name, line) for i, (name, line) in enumerate(templates)]
     t = spark.createDataFrame(rows, "template int, licence string, line string")
     return (t.select("template", "licence", F.explode(clean(terms(F.col("line")))).alias("term"))
             .groupBy("template", "licence", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def best_lines(texts: DataFrame) -> DataFrame:
-    """(key, licence, cosine) of the best candidate line of every text (key, text) that has one."""
-    spark = texts.sparkSession
-    lines = spool(texts.where(F.col("text").rlike(SPEAKS))
-                  .select("key", F.posexplode(F.filter(F.split("text", "\n"), lambda x: x.rlike(SPEAKS))).alias("line", "words"))
-                  .select("key", "line", clean(terms(F.col("words"))).alias("terms")))
-    n = lines.count()
-    # the fixed template table and its term counts: bounded by the templates
-    t = template_terms(spark)
-    vocab = t.select("term").distinct()
-    seen = (lines.select(F.explode(F.array_distinct("terms")).alias("term")).join(F.broadcast(vocab), "term")
-            .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    idf = vocab.join(seen, "term", "left").select(
-        "term", (F.log(F.lit(n + 1.0) / (F.coalesce("df", F.lit(0)) + 1)) + 1).alias("idf"))
-    idf = spool(idf)
-    rarest = F.log(F.lit(n + 1.0)) + 1
+def runs(text: Column) -> Column:
+    """Every line and every run of 2 to WRAP lines of a text."""
+    line = F.split(text, "\n")
+    every, out = line, line
+    for k in range(1, WRAP):
+        every = F.zip_with(every, F.slice(line, k + 1, 2**31 - 1), lambda a, b: F.concat_ws(" ", a, b))
+        out = F.concat(out, every)
+    return F.array_distinct(out)  # equal lines have equal cosines
+
+
+def spoken_lines(texts: DataFrame) -> DataFrame:
+    """The terms of every line that speaks of a licence."""
+    return spool(texts.where(F.col("text").rlike(SPEAKS))
+                 .select(F.explode(F.filter(F.split("text", "\n"), lambda x: x.rlike(SPEAKS))).alias("words"))
+                 .select(clean(terms(F.col("words"))).alias("terms")))
+
+
+def weighted(t: DataFrame, idf: DataFrame) -> DataFrame:
+    """(template, licence, term, tw, tn): the template vectors and their norms."""
     tv = t.join(F.broadcast(idf), "term").select("template", "licence", "term", (F.col("tf") * F.col("idf")).alias("tw"))
     norm = tv.groupBy("template").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tn"))
-    tv = spool(tv.join(F.broadcast(norm), "template"))
+    return spool(tv.join(F.broadcast(norm), "template"))
+
+
+def cosines(lines: DataFrame, tv: DataFrame, idf: DataFrame, rarest: Column, least: float) -> DataFrame:
+    """(key, licence, cosine) of the best of every key's candidates (key, line, terms) with ``least`` or more."""
     w = (lines.select("key", "line", F.explode("terms").alias("term")).groupBy("key", "line", "term")
          .agg(F.count(F.lit(1)).alias("tf")).join(F.broadcast(idf), "term", "left")
          .withColumn("w", F.col("tf") * F.coalesce("idf", rarest)))
@@ -82,11 +108,65 @@ def best_lines(texts: DataFrame) -> DataFrame:
     dots = (w.join(F.broadcast(tv), "term").groupBy("key", "line", "template", "licence", "tn")
             .agg(F.sum(F.col("w") * F.col("tw")).alias("dot")))
     cos = dots.join(ln, ["key", "line"]).withColumn("cosine", F.round(F.col("dot") / (F.col("tn") * F.col("ln")), 6))
-    best = cos.where(F.col("cosine") >= MIN_COSINE).groupBy("key").agg(
+    best = cos.where(F.col("cosine") >= least).groupBy("key").agg(
         F.min(F.struct((-F.col("cosine")).alias("c"), "licence")).alias("b"))
     return best.select("key", F.col("b.licence").alias("licence"), (-F.col("b.c")).alias("cosine"))
 
 
+def telling(tv: DataFrame):
+    """(pattern of terms, condition on a candidate's terms): every line of MIN_COSINE to a template meets both.
+
+    The pattern has the terms of each template but its lightest, whose norm stays under that share
+    of the template's. The condition is Cauchy-Schwarz over the shared terms: with Q their share of
+    the template's squared norm, D different terms that no template has and at most m places left
+    for the shared ones, none weighing more than the rarest, the cosine is at most
+    sqrt(Q m^2 / (m^2 + D)).
+    """
+    up = Window.partitionBy("template").orderBy("tw", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    least = (MIN_COSINE - 1e-4) ** 2
+    light = F.sum(F.col("tw") * F.col("tw")).over(up) < F.lit(least) * F.col("tn") * F.col("tn")
+    rows = tv.withColumn("light", light).collect()  # bounded by the templates
+    heavy = sorted({r["term"].replace(".", r"\.") for r in rows if not r["light"]})
+    vocab = F.array(*map(F.lit, sorted({r["term"] for r in rows})))
+    shares = F.array(*[F.create_map(*[F.lit(x) for r in rows if r["template"] == i for x in (r["term"], (r["tw"] / r["tn"]) ** 2)])
+                       for i in sorted({r["template"] for r in rows})])
+
+    def near(t: Column) -> Column:
+        shared = F.array_intersect(t, vocab)
+        other = (F.size(F.array_distinct(t)) - F.size(shared)).cast("double")
+        m2 = F.pow(F.size(t) - other, F.lit(2.0))
+        return F.exists(shares, lambda q: F.aggregate(shared, F.lit(0.0), lambda s, x: s + F.coalesce(F.try_element_at(q, x), F.lit(0.0)))
+                        * m2 >= F.lit(least) * (m2 + other))
+
+    return "(?<![a-z0-9])(?:" + "|".join(heavy) + ")(?![a-z0-9])", near
+
+
+def best_lines(texts: DataFrame, spoken: DataFrame, templates=TEMPLATES) -> DataFrame:
+    """(key, licence, cosine) of the best line or run of lines of every text (key, text) that has one."""
+    n = spoken.count()
+    # the fixed template table and its term counts: bounded by the templates
+    t = template_terms(texts.sparkSession, templates)
+    vocab = t.select("term").distinct()
+    seen = (spoken.select(F.explode(F.array_distinct("terms")).alias("term")).join(F.broadcast(vocab), "term")
+            .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    idf = spool(vocab.join(seen, "term", "left").select(
+        "term", (F.log(F.lit(n + 1.0) / (F.coalesce("df", F.lit(0)) + 1)) + 1).alias("idf")))
+    tv = weighted(t, idf)
+    tells, near = telling(tv)
+    some = F.transform(F.filter(runs(F.col("text")), lambda x: F.lower(x).rlike(tells)), lambda x: clean(terms(x)))
+    lines = spool(texts.where(F.lower("text").rlike(tells)).select("key", F.posexplode(F.filter(some, near)).alias("line", "terms")))
+    return cosines(lines, tv, idf, F.log(F.lit(n + 1.0)) + 1, MIN_COSINE)
+
+
+def whole_texts(files: DataFrame) -> DataFrame:
+    """(key, licence, cosine) of the files (key, path, text) that are a whole licence."""
+    full = [(p.stem, p.read_text(encoding="utf-8")) for p in sorted(TEXTS.glob("*.txt"))]
+    t = template_terms(files.sparkSession, full)
+    idf = spool(t.groupBy("term").agg((F.log(F.lit(len(full) + 1.0) / (F.count(F.lit(1)) + 1)) + 1).alias("idf")))
+    texts = files.where(F.col("path").rlike(LICENCE_FILE)).select("key", F.lit(0).alias("line"), clean(terms(F.col("text"))).alias("terms"))
+    return cosines(texts, weighted(t, idf), idf, F.log(F.lit(len(full) + 1.0)) + 1, WHOLE_COSINE)
+
+
 def parent(path: Column) -> Column:
     return F.regexp_extract(path, "^(.*)/[^/]*$", 1)
 
@@ -94,9 +174,14 @@ def parent(path: Column) -> Column:
 def scan(files: DataFrame) -> DataFrame:
     """(key, path, licence, cosine, how, from_dir) of every file (key, path, text); ``key``
     tells rows apart, ``how`` is own, inherited or none."""
-    best = best_lines(files.select("key", "text"))
+    texts = files.select("key", "text")
+    spoken = spoken_lines(texts)
+    found = (whole_texts(files).withColumn("rank", F.lit(0))
+             .union(best_lines(texts, spoken).union(best_lines(texts, spoken, MORE_TEMPLATES)).withColumn("rank", F.lit(1))))
+    best = found.groupBy("key").agg(F.min(F.struct("rank", (-F.col("cosine")).alias("c"), "licence")).alias("b")).select(
+        "key", F.col("b.licence").alias("licence"), (-F.col("b.c")).alias("cosine"))
     own = spool(files.select("key", "path", parent(F.col("path")).alias("dir")).join(best, "key", "left"))
-    given = (own.where(F.col("licence").isNotNull() & F.col("path").rlike("(^|/)LICENSE$")).groupBy("dir")
+    given = (own.where(F.col("licence").isNotNull() & F.col("path").rlike(LICENCE_FILE)).groupBy("dir")
              .agg(F.min(F.struct("path", "licence")).alias("b")).select("dir", F.col("b.licence").alias("licence")))
     part = F.split("dir", "/")
     ups = (own.where("licence IS NULL AND path IS NOT NULL").select("dir").distinct()

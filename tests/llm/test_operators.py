@@ -402,6 +402,18 @@ def test_licences(spark):
     assert licences.scan(files.drop("licence").where("false")).count() == 0
 
 
+def test_licences_without_a_gate_word_wrapped_and_whole(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    mit = (licences.TEXTS / "MIT.txt").read_text()
+    rows = [(1, "s/a/f.c", f"plain\n{bsd}\nplain"), (2, "s/b/f.c", "# This work is licensed under\n# the GNU General Public\n# License, version 3.\ncode"),
+            (3, "s/c/LICENSE.md", "Copyright 2020 Ann\n" + mit.replace("\n", " ")), (4, "s/c/d/f.c", "plain"),
+            (5, "s/e/LICENCE", "Released under the MIT License."), (6, "s/e/f.c", "plain"), (7, "s/g/COPYING", (licences.TEXTS / "GPL-3.0.txt").read_text()),
+            (8, "s/h/license.py", "Released under the MIT License."), (9, "s/h/f.c", "plain")]
+    got = {r["key"]: (r["licence"], r["how"]) for r in licences.scan(spark.createDataFrame(rows, "key long, path string, text string")).collect()}
+    assert got == {1: ("BSD", "own"), 2: ("GPL-3.0", "own"), 3: ("MIT", "own"), 4: ("MIT", "inherited"), 5: ("MIT", "own"),
+                   6: ("MIT", "inherited"), 7: ("GPL-3.0", "own"), 8: ("MIT", "own"), 9: (None, "none")}
+
+
 # 9
 def test_maximal_segments_by_definition():
     r = random.Random(3)
