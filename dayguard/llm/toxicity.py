@@ -13,8 +13,8 @@ Method
   4. A text's evidence is the sum of -ln E over its segments with E < 1; a logistic
      curve fitted on all training rows turns it into a probability.
 
-The vocabulary is a model parameter (``max_tokens`` strongest tokens by |z|); every
-other token has the neutral score. Counts and fits use all training rows.
+The vocabulary is every token with |z| >= ``z_min``, however many (the model holds them
+all in memory); every other token has the neutral score. Counts and fits use all training rows.
 
 Defined cases: null text scores like an empty one (the curve at no evidence); label
 rows with a null label, or whose text is missing, teach nothing; a doc_id with
@@ -204,7 +204,7 @@ def _fit_logistic(x: np.ndarray, n: np.ndarray, y: np.ndarray) -> tuple[float, f
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", prior: float = 0.01, test_prior: float = 0.1, z_min: float = 2.5,
-        drift: float = math.log(4.0), max_tokens: int = 20_000) -> ToxicModel:
+        drift: float = math.log(4.0)) -> ToxicModel:
     """Learn from the labelled rows given (callers leave held-out rows out).
 
     ``prior``: mass of the Dirichlet prior as a share of all counts; the z scores that
@@ -237,7 +237,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         test, var, _ = odds(test_prior)
         d, _, p0 = odds(prior)
         strong = (counts.withColumn("z", F.abs(test) / F.sqrt(var)).where(F.col("z") >= z_min)
-                  .orderBy(F.desc("z"), "token").limit(max_tokens).select("token", d.alias("d"), p0.alias("p0")).toPandas())
+                  .orderBy(F.desc("z"), "token").select("token", d.alias("d"), p0.alias("p0")).toPandas())
         model.weights = dict(zip(strong["token"], strong["d"]))
         s = np.append(strong["d"].to_numpy() - drift, -drift)
         p = np.append(strong["p0"].to_numpy(), max(1e-9, 1 - strong["p0"].sum()))

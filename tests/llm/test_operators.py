@@ -459,6 +459,15 @@ def test_toxicity_without_rows(spark):
     assert toxicity.score(docs_of(spark, EDGE), model).where("tox.score > 0.3").count() == 0
 
 
+def test_every_strong_token_has_a_weight(spark):
+    some = lambda letters: ["".join(w) for w in itertools.islice(itertools.product(letters, repeat=4), 21_000)]
+    clean, toxic = some("abcdefghijklm"), some("nopqrstuvwxyz")
+    rows = [(i, " ".join([*(clean if i % 2 else toxic), *(["zap"] if i < 32 and i % 2 == 0 else []), "y" * (i + 1)])) for i in range(64)]
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs_of(spark, rows), labels)
+    assert set(clean) | set(toxic) | {"zap"} <= set(model.weights) and model.weights["zap"] > model.drift
+
+
 # 10
 def page(i, body, extra=""):
     return (f"<html><head><title>t</title><style>p{{}}</style><script>var x='</p>';</script></head><body><nav><ul><li><a href=/a>menu {i}</a></ul></nav>"
