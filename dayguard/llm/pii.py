@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dayguard.llm.common import spool
+
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -369,7 +371,9 @@ def training_windows(texts: list[str], most: int, seed: int) -> tuple[np.ndarray
         for kind, s, e in spans:
             k = KINDS.index(kind)
             tag[s], tag[s + 1:e] = 2 * k + 1, 2 * k + 2
-        marks = sorted({m.start() // 24 for m in TRIGGER.finditer(text)})[:12]
+        marks = sorted({m.start() // 24 for m in TRIGGER.finditer(text)})
+        if len(marks) > 12:  # drawn from the whole text
+            marks = sorted(r.choice(marks, 12, replace=False).tolist())
         for w in (max(0, 24 * m - int(r.integers(24))) for m in marks):
             y = tag[w:w + TRAIN_WINDOW].copy()
             if y[0] and y[0] % 2 == 0:  # the rest of a span cut by the window's start
@@ -382,15 +386,38 @@ def training_windows(texts: list[str], most: int, seed: int) -> tuple[np.ndarray
     return np.stack(ids)[keep], np.stack(tags)[keep]
 
 
+def _excerpt(text: str, h: int, most: int) -> str:
+    """The text, or of a longer one ``most`` characters around a span (a mark if it has none) drawn by hash."""
+    if len(text) <= most:
+        return text
+    places = [s for _, s, _ in base_spans(text, checked=False)] or [m.start() for m in TRIGGER.finditer(text)] or [0]
+    at = max(0, places[h % len(places)] - most // 2)
+    cut = text[at:at + most]
+    return cut[cut.find(" ") + 1:] if at and " " in cut[:most // 4] else cut  # not from inside a word
+
+
 def fit(docs: DataFrame, text_col: str = "text", *, sample: int = 400, windows: int = 1_000,
         most_chars: int = 20_000, seed: int = 7) -> Tagger | None:
-    """Train on the rules' spans in at most ``sample`` texts, chosen by hash among texts of at
-    most ``most_chars`` characters that hold a digit or '@' (documented bounds of the training set)."""
+    """Train on the rules' spans in at most ``sample`` different texts that hold a digit or '@', chosen
+    by hash, at least half of them with a span if the table has as many; of texts longer than
+    ``most_chars`` an excerpt from any place is taken (documented bounds of the training set)."""
+    @F.pandas_udf("boolean")
+    def spans(texts: pd.Series) -> pd.Series:
+        return pd.Series([bool(base_spans(x, checked=False)) for x in texts], dtype=bool)
+
+    @F.pandas_udf("string")
+    def excerpt(texts: pd.Series, hashes: pd.Series) -> pd.Series:
+        return pd.Series([_excerpt(x, int(h), most_chars) for x, h in zip(texts, hashes)], dtype=object)
+
     t = F.col(text_col)
-    fit_for = docs.where(t.rlike("[0-9@]") & (F.length(t) <= most_chars)).select(t.alias("text"), F.xxhash64(t, F.lit(seed)).alias("h"))
-    # the hashes alone first, so that no task sends ``sample`` texts to the driver
-    last = fit_for.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    rows = fit_for.where(F.col("h") <= F.lit(last)).orderBy("h", "text").limit(sample).collect()
+    fit_for = docs.where(t.rlike("[0-9@]")).select(t.alias("text"), F.xxhash64(t, F.lit(seed)).alias("h"))
+    # the hashes alone first, each once, so that copies take one place and no task sends ``sample`` texts to the driver
+    seen = spool(fit_for.select("h", spans("text").alias("spans")).groupBy("h").agg(F.max("spans").alias("spans")))
+    half = [r["h"] for r in seen.where("spans").orderBy("h").limit(sample - sample // 2).collect()]
+    rest = [r["h"] for r in seen.orderBy("h").limit(sample).collect() if r["h"] not in set(half)]
+    chosen = half + rest[:sample - len(half)]
+    rows = (fit_for.where(F.col("h").isin(chosen)).select("h", excerpt("text", "h").alias("text"))
+            .groupBy("h").agg(F.min("text").alias("text")).orderBy("h").collect())
     ids, tags = training_windows([r["text"] for r in rows], windows, seed)
     return train(ids, tags, seed=seed) if (tags > 0).any() else None
 

@@ -383,6 +383,22 @@ def test_tagger_learns_held_out_spans_and_adds_variants(spark):
             assert not plain_spans(r["red"])
 
 
+def test_training_texts_are_different_whole_and_hold_spans(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(pii, "train", lambda ids, tags, seed: "model")
+    keep = pii.training_windows
+    monkeypatch.setattr(pii, "training_windows", lambda texts, most, seed: taken.append(texts) or keep(texts, most, seed))
+    hot = [(i, f"copy {c} of 1 text") for c in range(20) for i in range(30 * c, 30 * c + 30)]
+    assert pii.fit(docs_of(spark, [*hot, *((1000 + i, with_data(i)) for i in range(30))]), sample=40) == "model"
+    assert len(set(taken[0])) == len(taken[0]) == 40 and sum(bool(pii.base_spans(t)) for t in taken[0]) >= 20
+    long = ["word " * 9_000 + f"write to ann{i}@mail.example.org now " + "word " * 9_000 for i in range(3)]
+    assert pii.fit(docs_of(spark, list(enumerate(long)))) == "model"
+    assert all(len(t) <= 20_000 and "mail.example.org" in t for t in taken[1])
+    ids, _ = keep(["9 " + "a" * 30 + " " + " ".join(f"{i} {'b' * 40}" for i in range(40)) + " z" * 40 + " 7 end"] * 20, 1_000, 1)
+    first, _ = keep(["9 " + "a" * 30 + " " + " ".join(f"{i} {'b' * 40}" for i in range(12))] * 1, 1_000, 1)
+    assert len({x.tobytes() for x in ids}) > 2 * len(first)  # not only the first 12 marks
+
+
 def test_no_labelled_span(spark):
     df = docs_of(spark, [(1, "no data here"), (2, None)])
     assert pii.fit(df) is None and pii.find(df, None).where(F.size("pii") > 0).count() == 0
