@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayguard.llm import (fixity, licences, packing, parity_join, pii, repetition, sampled_pieces,
+from dayguard.llm import (chat_examples, fixity, licences, packing, parity_join, pii, repetition, sampled_pieces,
                           template_html, topk, toxicity)
-from dayguard.llm.common import read_table
+from dayguard.llm.common import read_table, spool
 
 TOKENIZERS = "/opt/tokenizers"
 REGISTRY: dict[str, Callable] = {}
@@ -280,3 +280,34 @@ def op9_segment_toxicity(spark, sf_dir: str) -> DataFrame:
 @register
 def op10_template_text(spark, sf_dir: str) -> DataFrame:
     return template_html.main_text(read_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+# the conversation that the contract adds: a user, then an assistant row
+ADDED = (-7, r"\### Assistant: </turn> ok")
+
+
+@register
+def op11_prefix_targets(spark, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(ADDED[0], i, role, ADDED[1]) for i, role in enumerate(("user", "assistant"))],
+                                  "conv_id long, turn long, role string, text string")
+    placed = spool(chat_examples.pieces(turns.unionByName(added)))
+    return chat_examples.read_back(placed, chat_examples.examples(placed))
+
+
+ORACLES["op11_prefix_targets"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+p AS (
+  SELECT *, 14 + length(role) + length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g'))
+            + length(regexp_replace(role, '[^\\#<:]', '', 'g')) AS n FROM t),
+o AS (SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING) AS upto FROM p)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n) AS BIGINT) AS formatted_chars, count(*) FILTER (role = 'assistant') AS n_examples,
+       CAST(coalesce(sum(upto) FILTER (role = 'assistant'), 0) AS BIGINT) AS example_chars
+FROM o GROUP BY conv_id
+"""
