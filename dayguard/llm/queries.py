@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayguard.llm import (chat_examples, fixity, licences, packing, parity_join, pii, repetition, sampled_pieces,
-                          template_html, topk, toxicity)
+from dayguard.llm import (chat_examples, fixity, licences, packing, parity_join, pii, prefix_trie, repetition,
+                          sampled_pieces, template_html, topk, toxicity)
 from dayguard.llm.common import read_table, spool
 
 TOKENIZERS = "/opt/tokenizers"
@@ -311,3 +311,43 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(coalesce(sum(upto) FILTER (role = 'assistant'), 0) AS BIGINT) AS example_chars
 FROM o GROUP BY conv_id
 """
+
+
+@register
+def op13_prefix_trie(spark, sf_dir: str) -> DataFrame:
+    seqs = prefix_trie.sequences(read_table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.shared_heads(seqs))
+
+
+ORACLES["op13_prefix_trie"] = """
+WITH t AS (
+  SELECT conv_id, turn, md5(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS g,
+         length(coalesce(text, '')) AS c FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list({'g': g, 'c': c} ORDER BY turn NULLS FIRST, g) AS s,
+         CAST(xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+              lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                  lambda v, z: xor(v >> 1, 3988292384 * (v & 1))), CAST(4294967295 AS BIGINT)), 4294967295) % 6 AS INTEGER) AS h
+  FROM t GROUP BY conv_id),
+seq AS (
+  SELECT a.conv_id, list_concat(coalesce(b.s[1:a.h], []), a.s[a.h + 1:]) AS s
+  FROM own a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+p AS (
+  SELECT conv_id, d, len(s) AS n, md5(array_to_string(list_transform(s[1:d], lambda x: x.g), ',')) AS k,
+         CASE WHEN d > 0 THEN md5(array_to_string(list_transform(s[1:d - 1], lambda x: x.g), ',')) END AS up,
+         CASE WHEN d > 0 THEN s[d].c ELSE 0 END AS c
+  FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM seq)),
+node AS (
+  SELECT d, k, min(conv_id) AS conv_id, min(up) AS up, count(*) AS n_convs, min(c) AS c,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+  FROM p GROUP BY d, k),
+kid AS (SELECT d, up, count(*) AS n FROM node WHERE d > 0 GROUP BY d, up),
+one AS (
+  SELECT node.*, coalesce(kid.n, 0) AS n_children FROM node LEFT JOIN kid ON kid.d = node.d + 1 AND kid.up = node.k),
+sub AS (
+  SELECT a.d, a.k, sum(CAST(one.n_children = 0 AS INTEGER)) AS n_leaves, sum((one.n_convs - 1) * one.c) AS saved_tokens
+  FROM one JOIN p a ON a.conv_id = one.conv_id AND a.d <= one.d GROUP BY a.d, a.k)
+SELECT one.conv_id, CAST(one.d AS BIGINT) AS depth, above.conv_id AS parent_conv_id, one.n_convs, one.n_children,
+       CAST(sub.n_leaves AS BIGINT) AS n_leaves, CAST(sub.saved_tokens AS BIGINT) AS saved_tokens, one.ends_sha256
+FROM one JOIN sub ON sub.d = one.d AND sub.k = one.k LEFT JOIN node above ON above.d = one.d - 1 AND above.k = one.up
+"""
