@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayguard.llm import (chat_examples, fixity, licences, packing, parity_join, pii, prefix_trie, repetition,
-                          sampled_pieces, template_html, topk, toxicity)
+from dayguard.llm import (chat_examples, fixity, licences, packing, pair_maxscore, parity_join, pii, prefix_trie,
+                          repetition, sampled_pieces, template_html, topk, toxicity)
 from dayguard.llm.common import read_table, spool
 
 TOKENIZERS = "/opt/tokenizers"
@@ -351,3 +351,32 @@ SELECT one.conv_id, CAST(one.d AS BIGINT) AS depth, above.conv_id AS parent_conv
        CAST(sub.n_leaves AS BIGINT) AS n_leaves, CAST(sub.saved_tokens AS BIGINT) AS saved_tokens, one.ends_sha256
 FROM one JOIN sub ON sub.d = one.d AND sub.k = one.k LEFT JOIN node above ON above.d = one.d - 1 AND above.k = one.up
 """
+
+
+@register
+def op12_pair_maxscore(spark, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pair_maxscore.search(docs, read_table(spark, sf_dir, "benchmark").select("item_id", "text"), k=10)
+
+
+ORACLES["op12_pair_maxscore"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[0-9a-z\x{80}-\x{10FFFF}]+')) AS t FROM benchmark),
+c AS (SELECT count(*) AS n_docs, sum(len(w)) AS n_words FROM d WHERE len(w) > 0),
+tf AS (SELECT k, t, count(*) AS tf FROM (SELECT k, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY k, t),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+wt AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w FROM df, c),
+m AS (SELECT k, doc_id, CAST(100 - 90 + (90 * len(w) * n_docs) // n_words AS BIGINT) AS m FROM d, c WHERE len(w) > 0),
+s AS (
+  SELECT q.item_id, k, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m.m))) AS score
+  FROM q JOIN tf USING (t) JOIN wt USING (t) JOIN m USING (k) GROUP BY q.item_id, k)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+      FROM s JOIN m USING (k) WHERE score > 0)
+WHERE rank <= 10
+"""
