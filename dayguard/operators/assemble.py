@@ -1,11 +1,10 @@
-"""Feature table: 22 tallied features + 14 daily totals per session day."""
+"""Feature table: 22 first-seen features and 14 daily totals per session day."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from dayguard.operators.basic import hit_totals, order_totals
-from dayguard.operators.families import new_feature_set
+from dayguard.operators.families import all_families, family_table
 from dayguard.params import Params
 from dayguard.schema import FEATURES, KEY_COLS
 from dayguard.sources.tables import Inputs
@@ -14,13 +13,10 @@ from dayguard.sources.tables import Inputs
 def feature_table(inp: Inputs, p: Params) -> DataFrame:
     """One row per (CUSTOMER_ID, GA_SESSIONS_DATE) session day, 36 features.
 
-    Equal to ``new features LEFT JOIN (orders FULL JOIN hits)``: both totals
-    are unique per key, so two left joins give the same rows while each side
-    keeps the hash partitioning of its own aggregation (no extra exchange for
-    the full join's coalesced keys).  Nulls are kept; preparation fills them.
+    Equal to ``new features LEFT JOIN (orders FULL JOIN hits)``, whose totals are unique
+    per key, but all of it is one tally pipeline that reads each input once: distinct
+    orders, products and pages of a day are per-day tallies whose rows carry the day's
+    sums, so no join is left but the product dimension's.  (Bitmaps would need one of 4 KB
+    per customer-day.)  Nulls are kept; preparation fills them.
     """
-    nf = new_feature_set(inp, p)
-    o = order_totals(inp, p.basic_start, p.basic_end, p, valid_only=True)
-    h = hit_totals(inp, p.basic_start, p.basic_end, p, valid_only=True)
-    return (nf.join(o, KEY_COLS, "left").join(h, KEY_COLS, "left")
-            .select(*KEY_COLS, *FEATURES))
+    return family_table(inp, p, all_families(inp, p)).select(*KEY_COLS, *FEATURES)

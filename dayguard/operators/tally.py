@@ -15,7 +15,9 @@ aggregations plus one window replace all those joins:
    row gives "distinct values seen before the day".
 
 A tag may instead be *per day* (its value includes the day) to count distinct
-values, or the presence of rows, on each day of a window.
+values, or the presence of rows, on each day of a window, and may sum measures
+per value.  Rows of step 1 merge associatively, which is what the incremental
+state (``state.py``) stores.
 """
 
 from __future__ import annotations
@@ -47,6 +49,12 @@ class Tally:
     per_day: False -> first-seen over the whole history;
              True  -> distinct per day, only for days inside ``window``
     where:   extra row condition (a NULL condition drops the row)
+    window:  days of a per-day tally, where they are not the common ones
+    keep_null: rows with a NULL value are kept for ``sums`` but not counted; output
+             ``<name>_rows`` counts the groups with them
+    sums:    long-valued expressions summed per value; output ``<name>_s<i>`` is the day's sum
+    doubles: the same for double-valued ones, output ``<name>_d<i>``
+    counts:  (name, condition on the sums v0, v1, ... of a value): values that meet it
     """
 
     name: str
@@ -54,23 +62,98 @@ class Tally:
     per_day: bool = False
     where: str | None = None
     longs: tuple = ()
+    window: tuple | None = None
+    keep_null: bool = False
+    sums: tuple = ()
+    doubles: tuple = ()
+    counts: tuple = ()
 
 
-def _item(tag: int, t: Tally, window: tuple[dt.date, dt.date], n_str: int, n_long: int) -> str:
-    """A fixed-width payload: (tag, day, long slots, string slots); unused slots NULL."""
-    conds = [f"({v}) IS NOT NULL" for v in (*t.values, *t.longs)]
+@dataclass(frozen=True)
+class Slots:
+    """Widths of the payload that all tallies of one pipeline share."""
+
+    strings: int
+    longs: int
+    sums: int
+    doubles: int
+
+    @staticmethod
+    def of(tallies: list[Tally]) -> "Slots":
+        most = lambda f: max([len(f(t)) for t in tallies] + [0])
+        return Slots(most(lambda t: t.values), most(lambda t: t.longs), most(lambda t: t.sums), most(lambda t: t.doubles))
+
+    @property
+    def measures(self) -> list[str]:
+        return [f"v{i}" for i in range(self.sums)] + [f"w{i}" for i in range(self.doubles)]
+
+
+def _fields(exprs: tuple, n: int, prefix: str, kind: str) -> list[str]:
+    return [f"'{prefix}{i}', CAST({exprs[i] if i < len(exprs) else 'NULL'} AS {kind})" for i in range(n)]
+
+
+def _item(tag: int, t: Tally, window: tuple[dt.date, dt.date], slots: Slots) -> str:
+    """A fixed-width payload: the value e (tag, day, long slots, string slots; unused slots
+    NULL) and the measures m to sum per value."""
+    conds = [] if t.keep_null else [f"({v}) IS NOT NULL" for v in (*t.values, *t.longs)]
     day = "CAST(NULL AS DATE)"
     if t.per_day:
         day = DAY
-        conds.append(f"{DAY} BETWEEN DATE'{window[0].isoformat()}' AND DATE'{window[1].isoformat()}'")
+        lo, hi = t.window or window
+        conds.append(f"{DAY} BETWEEN DATE'{lo.isoformat()}' AND DATE'{hi.isoformat()}'")
     if t.where is not None:
         conds.append(f"coalesce({t.where}, false)")
     cond = " AND ".join(conds) if conds else "true"
-    longs = [f"CAST({v} AS BIGINT)" for v in t.longs] + ["CAST(NULL AS BIGINT)"] * (n_long - len(t.longs))
-    strs = [f"CAST({v} AS STRING)" for v in t.values] + ["CAST(NULL AS STRING)"] * (n_str - len(t.values))
-    fields = [f"'t', {tag}", f"'d', {day}"] + [f"'l{i}', {x}" for i, x in enumerate(longs)] \
-        + [f"'s{i}', {x}" for i, x in enumerate(strs)]
-    return f"CASE WHEN {cond} THEN named_struct({', '.join(fields)}) END"
+    value = [f"'t', {tag}", f"'d', {day}", *_fields(t.longs, slots.longs, "l", "BIGINT"), *_fields(t.values, slots.strings, "s", "STRING")]
+    whole = f"'e', named_struct({', '.join(value)})"
+    if slots.measures:
+        m = _fields(t.sums, slots.sums, "v", "BIGINT") + _fields(t.doubles, slots.doubles, "w", "DOUBLE")
+        none = f"CAST(NULL AS STRUCT<{', '.join([f'v{i}: BIGINT' for i in range(slots.sums)] + [f'w{i}: DOUBLE' for i in range(slots.doubles)])}>)"
+        whole += f", 'm', {'named_struct(' + ', '.join(m) + ')' if t.sums or t.doubles else none}"
+    return f"CASE WHEN {cond} THEN named_struct({whole}) END"
+
+
+def merge_rows(rows: DataFrame, slots: Slots) -> DataFrame:
+    """One row per (customer, value): first day and summed measures. Merging is associative,
+    so rows of several batches may be merged in any order."""
+    return rows.groupBy(KEY, "e").agg(F.min(DAY).alias(DAY), *[F.sum(m).alias(m) for m in slots.measures])
+
+
+def first_rows(sources: list[tuple[DataFrame, list[Tally]]], window: tuple[dt.date, dt.date]) -> DataFrame:
+    """(customer_id, e, day, measures): every value of every tally with its first day."""
+    tallies = tallies_of(sources)
+    slots = Slots.of(tallies)
+    tag = {t.name: i for i, t in enumerate(tallies)}
+    exploded = None
+    for df, ts in sources:
+        items = "array(" + ", ".join(_item(tag[t.name], t, window, slots) for t in ts) + ")"
+        e = (df.select(KEY, DAY, F.explode(F.expr(items)).alias("x")).where("x IS NOT NULL")
+             .select(KEY, DAY, "x.e", *[f"x.m.{m}" for m in slots.measures]))
+        exploded = e if exploded is None else exploded.unionByName(e)
+    return merge_rows(exploded, slots)
+
+
+def tallies_of(sources: list[tuple[DataFrame, list[Tally]]]) -> list[Tally]:
+    out = [t for _, ts in sources for t in ts]
+    assert len({t.name for t in out}) == len(out), "tally names must be unique"
+    return out
+
+
+def day_counts(first: DataFrame, tallies: list[Tally]) -> DataFrame:
+    """Counts and sums per (customer_id, day) from the rows of ``first_rows``."""
+    out = []
+    for tag, t in enumerate(tallies):
+        mine = f"e.t = {tag}"
+        named = mine
+        if t.keep_null:
+            out.append(f"count_if({mine}) AS {t.name}_rows")
+            named += "".join(f" AND e.l{i} IS NOT NULL" for i in range(len(t.longs))) + "".join(
+                f" AND e.s{i} IS NOT NULL" for i in range(len(t.values)))
+        out.append(f"count_if({named}) AS {t.name}")
+        out += [f"count_if({named} AND {cond}) AS {name}" for name, cond in t.counts]
+        out += [f"sum(CASE WHEN {mine} THEN v{i} END) AS {t.name}_s{i}" for i in range(len(t.sums))]
+        out += [f"sum(CASE WHEN {mine} THEN w{i} END) AS {t.name}_d{i}" for i in range(len(t.doubles))]
+    return first.groupBy(KEY, DAY).agg(*[F.expr(x) for x in out])
 
 
 def tally_days(sources: list[tuple[DataFrame, list[Tally]]],
@@ -81,22 +164,7 @@ def tally_days(sources: list[tuple[DataFrame, list[Tally]]],
     its tallies reference.  Output: ``customer_id, day, <tally names...>``
     (bigint, 0 when nothing was counted), one row per day with any count.
     """
-    all_tallies = [t for _, ts in sources for t in ts]
-    names = [t.name for t in all_tallies]
-    assert len(names) == len(set(names)), "tally names must be unique"
-    n_str = max([len(t.values) for t in all_tallies] + [0])
-    n_long = max([len(t.longs) for t in all_tallies] + [0])
-    tag = {n: i for i, n in enumerate(names)}
-    exploded = None
-    for df, tallies in sources:
-        items = "array(" + ", ".join(_item(tag[t.name], t, window, n_str, n_long)
-                                     for t in tallies) + ")"
-        e = df.select(KEY, DAY, F.explode(F.expr(items)).alias("e")).where("e IS NOT NULL")
-        exploded = e if exploded is None else exploded.unionByName(e)
-    # first day of every (customer, tag, value); per-day tags carry the day in the value
-    first = exploded.groupBy(KEY, "e").agg(F.min(DAY).alias(DAY))
-    return first.groupBy(KEY, DAY).agg(
-        *[F.expr(f"count_if(e.t = {tag[n]})").alias(n) for n in names])
+    return day_counts(first_rows(sources, window), tallies_of(sources))
 
 
 def before_day(name: str) -> str:
