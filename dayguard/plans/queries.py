@@ -621,3 +621,32 @@ def _rates(scored: DataFrame, by: str) -> DataFrame:
 def ocsvm_rates(spark, sf) -> DataFrame:
     """One-class SVM per nu: false positive rate on validation, ATO and all-fraud recall."""
     return _rates(ocsvm_score(spark, sf), "nu")
+
+
+# --- incremental feature table --------------------------------------------------
+import dataclasses  # noqa: E402
+
+from dayguard.operators.state import FeatureState  # noqa: E402
+
+BATCH_DAYS = 10
+
+
+def batch_of(inp, number: int):
+    """The inputs' rows that arrive in batch 1, 2 or 3: ten days each, and every fifth
+    customer's rows of some early days only with the third batch."""
+    def part(df, day):
+        due = F.least(F.ceil(F.dayofmonth(day) / BATCH_DAYS), F.lit(3)).cast("int")
+        late = (F.col("customer_id") % 5 == 0) & F.dayofmonth(day).isin(6, 14, 15)
+        return df.where(F.coalesce(F.when(late, F.lit(3)).otherwise(due), F.lit(1)) == number)
+    return dataclasses.replace(
+        inp, order_line=part(inp.order_line, "order_placed_dttm"), ga_sessions=part(inp.ga_sessions, "ga_sessions_date"),
+        hits_products=part(inp.hits_products, "ga_sessions_date"), hits_union=part(inp.hits_union, "ga_sessions_date"))
+
+
+@register
+def feature_table_incremental(spark, sf) -> DataFrame:
+    """The feature table kept up to date over three batches with late rows."""
+    state = FeatureState.open(spark, _scratch(spark, "state"), P, buckets=8)
+    for number in (1, 2, 3):
+        state = state.append(f"batch {number}", batch_of(_inp(spark, sf), number))
+    return state.features()
