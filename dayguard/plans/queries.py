@@ -650,3 +650,26 @@ def feature_table_incremental(spark, sf) -> DataFrame:
     for number in (1, 2, 3):
         state = state.append(f"batch {number}", batch_of(_inp(spark, sf), number))
     return state.features()
+
+
+# --- synchronous training ---------------------------------------------------------
+from dayguard.operators import syncfit  # noqa: E402
+
+SYNC_EPOCHS, SYNC_BATCH = 10, 2048
+
+
+@register
+def ae_full_batch_step(spark, sf) -> DataFrame:
+    """Mean gradient over all training rows of the small autoencoder with seeded weights, and
+    the weights after one Adam step."""
+    g, w = syncfit.full_batch_step(_prepared(spark, sf).train, ae.SHAPE_SMALL, ae.init_params(ae.SHAPE_SMALL, seed=42))
+    both = ae.weights_frame(spark, g).withColumnRenamed("value", "gradient").join(ae.weights_frame(spark, w), ["tensor", "row", "col"])
+    return both.select("tensor", "row", "col", (_r("gradient") + F.lit(0.0)).alias("gradient"), _r("value"))
+
+
+@register
+def ae_train_sync(spark, sf) -> DataFrame:
+    """Loss per epoch of the large autoencoder trained step by step over one global shuffle."""
+    pr = _prepared(spark, sf)
+    res = syncfit.train(pr.train, pr.val, ae.SHAPE_LARGE, epochs=SYNC_EPOCHS, batch=SYNC_BATCH)
+    return ae.history_frame(spark, res)
