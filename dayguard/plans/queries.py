@@ -673,3 +673,32 @@ def ae_train_sync(spark, sf) -> DataFrame:
     pr = _prepared(spark, sf)
     res = syncfit.train(pr.train, pr.val, ae.SHAPE_LARGE, epochs=SYNC_EPOCHS, batch=SYNC_BATCH)
     return ae.history_frame(spark, res)
+
+
+# --- dual one-class SVM -----------------------------------------------------------
+from dayguard.operators import ocsvm_dual  # noqa: E402
+
+DUAL_LANDMARKS = 64
+
+
+def _duals(spark, sf) -> list[ocsvm_dual.DualModel]:
+    key = ("dual", _sid(spark), sf)
+    if key not in _CACHE:
+        _CACHE[key] = ocsvm_dual.fit(_prepared(spark, sf).train, SVM_NUS, gamma=SVM_GAMMA, landmarks=DUAL_LANDMARKS)
+    return _CACHE[key]
+
+
+@register
+def ocsvm_dual_train(spark, sf) -> DataFrame:
+    """Dual one-class models per nu: squared norm, offset, duality gap, rounds."""
+    rows = [(m.nu, float(m.w @ m.w), float(m.rho), m.gap, m.rounds) for m in _duals(spark, sf)]
+    return spark.createDataFrame(rows, "nu double, norm2 double, rho double, gap double, rounds int")
+
+
+@register
+def ocsvm_dual_rates(spark, sf) -> DataFrame:
+    """Dual one-class SVM per nu: outlier shares of training, validation, ATO and all-fraud rows."""
+    z = _eval_sets(spark, sf).unionByName(_prepared(spark, sf).train.withColumn("dataset", F.lit("train")))
+    scored = prep.union_periods([z.select("dataset", F.lit(m.nu).alias("nu"), ocsvm_dual.predict_column(m).alias("pred"))
+                                 for m in _duals(spark, sf)])
+    return _rates(scored, "nu")
