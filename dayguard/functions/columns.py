@@ -44,7 +44,7 @@ def ts_in_days(c: str | Column, start: dt.date, end: dt.date,
 # Spark and DuckDB evaluate identically, so the DuckDB oracle selects exactly
 # the rows Spark selects.  The first 32 bits give a uniform number in [0, 1).
 
-def _key_text(cols: list[str], seed: int, dialect: str) -> str:
+def key_text(cols: list[str], seed: int, dialect: str) -> str:
     cast = "string" if dialect == "spark" else "VARCHAR"
     parts = [f"'{int(seed)}'"] + [f"CAST({c} AS {cast})" for c in cols]
     return f"concat_ws('|', {', '.join(parts)})"
@@ -56,13 +56,13 @@ def hash_unit(long_cols: list[str], date_cols: list[str] = (), seed: int = 42) -
     Depends only on the row's key values, never on partitioning or task order,
     so a sample or split is the same after a retry, a repartition or a re-run.
     """
-    key = _key_text(list(long_cols) + list(date_cols), seed, "spark")
+    key = key_text(list(long_cols) + list(date_cols), seed, "spark")
     return F.expr(f"CAST(conv(substring(md5({key}), 1, 8), 16, 10) AS BIGINT) / 4294967296.0")
 
 
 def hash_unit_sql(long_cols: list[str], date_cols: list[str] = (), seed: int = 42) -> str:
     """The same number as :func:`hash_unit`, as DuckDB SQL text."""
-    key = _key_text(list(long_cols) + list(date_cols), seed, "duckdb")
+    key = key_text(list(long_cols) + list(date_cols), seed, "duckdb")
     return f"(CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) / 4294967296.0)"
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayguard.functions.columns import hash_unit
+from dayguard.functions.selection import mark_smallest, share_of
 from dayguard.schema import FEATURES, KEY_COLS
 
 SAMPLE_SEED = 42
@@ -31,12 +31,9 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, frac: float, seed: int = SAMPLE_SEED) -> DataFrame:
-    """Bernoulli sample of about ``frac`` of the rows, keyed by (customer, day).
-
-    The decision is a hash of the row key and the seed: independent of
-    partitioning and retries.  (A fixed-size sample would need a global rank.)
-    """
-    return df.where(hash_unit([KEY_COLS[0]], [KEY_COLS[1]], seed) < F.lit(frac))
+    """Exactly ceil(n x ``frac``) rows: those with the smallest hash of (customer, day) and
+    the seed, independent of partitioning and retries. Counts the rows when it is called."""
+    return mark_smallest(df, share_of(df.count(), frac), KEY_COLS, seed).where("picked").drop("picked")
 
 
 def remove_labelled(df: DataFrame, *day_keys: DataFrame) -> DataFrame:
@@ -47,9 +44,9 @@ def remove_labelled(df: DataFrame, *day_keys: DataFrame) -> DataFrame:
 
 
 def with_split(df: DataFrame, val_frac: float, seed: int = SPLIT_SEED) -> DataFrame:
-    """Adds ``split`` = 'val' for about ``val_frac`` of the rows, else 'train'."""
-    u = hash_unit([KEY_COLS[0]], [KEY_COLS[1]], seed)
-    return df.withColumn("split", F.when(u < F.lit(val_frac), "val").otherwise("train"))
+    """Adds ``split`` = 'val' for exactly ceil(n x ``val_frac``) of the rows, else 'train'."""
+    marked = mark_smallest(df, share_of(df.count(), val_frac), KEY_COLS, seed)
+    return marked.withColumn("split", F.when(F.col("picked"), "val").otherwise("train")).drop("picked")
 
 
 @dataclass(frozen=True)

@@ -18,7 +18,6 @@ over the touched customers. Nothing reads order lines, hits or sessions of earli
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -28,7 +27,7 @@ from dayguard.operators import families
 from dayguard.operators.tally import DAY, KEY, Slots, day_counts, first_rows, merge_rows, tallies_of
 from dayguard.params import Params
 from dayguard.schema import FEATURES, KEY_COLS
-from dayguard.session import ensure_checkpoint_dir
+from dayguard.session import stored
 from dayguard.sources.parts import Store, content_digest
 from dayguard.sources.tables import Inputs
 
@@ -39,13 +38,6 @@ def _month(day) -> F.Column:
     return F.date_format(day, "yyyy-MM")
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    """Written once in the shared folder and read back."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/batch-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 @dataclass
 class FeatureState:
     """A feature table and its tallies in a folder that all executors share."""
@@ -70,7 +62,7 @@ class FeatureState:
         window = (self.params.feature_start, self.params.feature_end)
         tallies = tallies_of(sources)
         slots = Slots.of(tallies)
-        rows = _stored(first_rows(sources, window))
+        rows = stored(first_rows(sources, window))
         digest = content_digest(rows)
         if self.store.known(batch, digest):
             return self
@@ -92,7 +84,7 @@ class FeatureState:
 
     def _features(self, schema, tallies, fams, since: DataFrame) -> DataFrame:
         """Feature rows of the customers in ``since`` from their day ``since`` on, out of the state."""
-        since = _stored(since)
+        since = stored(since)
         parts = [r[0] for r in since.select(self.bucket().alias("b")).distinct().collect()]
         first = self.store.read("seen", schema, parts).unionByName(self.store.read("daily", schema))
         mine = first.join(since.select(KEY), KEY, "left_semi").select(*schema.names)
@@ -102,7 +94,7 @@ class FeatureState:
 
     def _replaced(self, again: DataFrame) -> dict:
         """Months of the feature table with the rows of ``again`` in place of the old ones."""
-        new = _stored(again).withColumn("part", _month(KEY_COLS[1]))
+        new = stored(again).withColumn("part", _month(KEY_COLS[1]))
         touched = [r[0] for r in new.select("part").distinct().collect()]
         old = self.store.read("features", again.schema, touched)
         kept = old.join(new.select(*KEY_COLS), KEY_COLS, "left_anti").withColumn("part", _month(KEY_COLS[1]))

@@ -13,7 +13,7 @@ from dayguard.operators import assemble, labels, prep
 from dayguard.operators.evaluate import mean_square_score
 from dayguard.params import Params
 from dayguard.schema import FEATURES, KEY_COLS
-from dayguard.session import cut_lineage, ensure_checkpoint_dir
+from dayguard.session import ensure_checkpoint_dir, stored
 from dayguard.sources.tables import Inputs
 
 SAMPLE_FRAC = 0.2
@@ -52,7 +52,7 @@ def normal_rows(ft: DataFrame, lab: Labelled, p: Params,
 
 def split_normal(ft: DataFrame, lab: Labelled, p: Params, frac: float = SAMPLE_FRAC,
                  val_frac: float = VAL_FRAC) -> DataFrame:
-    return prep.with_split(normal_rows(ft, lab, p, frac), val_frac)
+    return prep.with_split(stored(normal_rows(ft, lab, p, frac), "normal"), val_frac)
 
 
 def fraud_sets(ft: DataFrame, lab: Labelled) -> tuple[DataFrame, DataFrame]:
@@ -81,21 +81,21 @@ def prepare(inp: Inputs, p: Params, ft: DataFrame | None = None,
             materialise: bool = True, frac: float = SAMPLE_FRAC, val_frac: float = VAL_FRAC) -> Prepared:
     """Fill, sample (``frac`` 1.0 trains on every row), remove labelled days, split, fit the scaler, standardise.
 
-    The split normal rows and the two fraud sets are written once to the shared
-    checkpoint folder (``materialise``): they are re-read by the scaler fit,
-    every training epoch and every model, and short plans keep the optimizer
+    The split normal rows and the two fraud sets are written once as Parquet in the
+    shared folder (``materialise``): the scaler fit, every model and every evaluation read
+    the columns they need of them, and short plans keep the optimizer
     cheap.  The test period stays lazy (scored once).
     """
     ft = ft if ft is not None else assemble.feature_table(inp, p)
     lab = labelled_days(inp, p)
     if materialise:
         # fraud days are read six times below (semi and anti joins); write them once
-        ato_d, all_d = cut_lineage(lab.ato_days), cut_lineage(lab.all_days)
+        ato_d, all_d = stored(lab.ato_days), stored(lab.all_days)
         lab = Labelled(ato_d, all_d, labels.day_keys(ato_d), labels.day_keys(all_d))
     split = split_normal(ft, lab, p, frac, val_frac)
     ato, allf = fraud_sets(ft, lab)
     if materialise:
-        split, ato, allf = cut_lineage(split), cut_lineage(ato), cut_lineage(allf)
+        split, ato, allf = stored(split), stored(ato), stored(allf)
     train = split.where(F.col("split") == "train").drop("split")
     val = split.where(F.col("split") == "val").drop("split")
     scaler = prep.Scaler.fit(train)
@@ -117,27 +117,27 @@ def with_baseline_score(df: DataFrame) -> DataFrame:
     return df.withColumn("score", mean_square_score(FEATURES))
 
 
-def export_job(inp: Inputs, p: Params, out_dir: str, max_records_per_file: int = 5_000_000) -> dict:
+def export_job(inp: Inputs, p: Params, out_dir: str, max_bytes_per_file: int | None = None) -> dict:
     """The feature job's exports, as the original job writes them.
 
     * ``features/``: the feature table as CSV (header, NULL as ``NaN``), split by
-      ``month=yyyy-MM`` directories so a monthly reader prunes to its period,
-      files capped at ``max_records_per_file`` rows;
+      ``month=yyyy-MM`` directories so a monthly reader prunes to its period, no file
+      over ``max_bytes_per_file`` bytes (the original job's limit by default);
     * ``ato_rows/`` and ``fraud_rows/``: the labelled sets, one file each.
 
     The feature table is computed once (checkpoint) and read by all three writes.
     """
-    from dayguard.sources.csvio import write_csv
+    from dayguard.sources.csvio import MAX_FILE_BYTES, numbered_files, write_csv
 
     ft = written(assemble.feature_table(inp, p))
     lab = labelled_days(inp, p)
     base = out_dir.rstrip("/")
     # no shuffle by month (a month would land in one task): every task writes
     # its own capped files into each month directory it holds rows for
-    (ft.withColumn("month", F.date_format(KEY_COLS[1], "yyyy-MM"))
-       .write.mode("overwrite").partitionBy("month")
+    (numbered_files(ft.select(*KEY_COLS, *FEATURES), max_bytes_per_file or MAX_FILE_BYTES)
+       .withColumn("month", F.date_format(KEY_COLS[1], "yyyy-MM"))
+       .write.mode("overwrite").partitionBy("month", "file")
        .option("header", True).option("nullValue", "NaN").option("dateFormat", "yyyy-MM-dd")
-       .option("maxRecordsPerFile", int(max_records_per_file))
        .csv(f"{base}/features"))
     write_csv(labels.labelled_rows(ft, lab.ato_days), f"{base}/ato_rows", single_file=True)
     write_csv(labels.labelled_rows(ft, lab.all_days), f"{base}/fraud_rows", single_file=True)
@@ -148,9 +148,9 @@ def export_job(inp: Inputs, p: Params, out_dir: str, max_records_per_file: int =
 def read_feature_months(spark, path: str, months: list[str] | None = None) -> DataFrame:
     """Read exported features (declared schema); ``months`` prunes directories."""
     from dayguard.sources.csvio import FEATURE_SCHEMA
-    schema = T.StructType(FEATURE_SCHEMA.fields + [T.StructField("month", T.StringType())])
+    schema = T.StructType(FEATURE_SCHEMA.fields + [T.StructField("month", T.StringType()), T.StructField("file", T.StringType())])
     df = (spark.read.schema(schema).option("header", True).option("nullValue", "NaN")
           .option("mode", "FAILFAST").option("dateFormat", "yyyy-MM-dd").csv(path))
     if months:
         df = df.where(F.col("month").isin(months))
-    return df.drop("month")
+    return df.drop("month", "file")

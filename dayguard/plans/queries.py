@@ -379,7 +379,7 @@ def union_periods(spark, sf) -> DataFrame:
     for name, part in (("p1", ft.where(F.col(KEY_COLS[1]) <= F.lit(mid))),
                        ("p2", ft.where(F.col(KEY_COLS[1]) > F.lit(mid)))):
         paths.append(csvio.write_csv(part, _scratch(spark, name), compression="gzip"))
-    return prep.union_periods([csvio.read_csv(spark, p_, csvio.FEATURE_SCHEMA) for p_ in paths])
+    return prep.union_periods([csvio.read_csv(spark, p_, csvio.FEATURE_SCHEMA, spread=True) for p_ in paths])
 
 
 @register
@@ -390,6 +390,30 @@ def tsv_labels(spark, sf) -> DataFrame:
     return csvio.read_csv(spark, path, csvio.ATO_LABEL_SCHEMA, sep="\t", tolerant=True)
 
 
+@register
+def csv_byte_capped(spark, sf) -> DataFrame:
+    """The feature table exported in files of at most 64 KB, header included, and read back."""
+    path = csvio.write_csv(materialised_features(spark, sf), _scratch(spark, "capped"), max_bytes_per_file=65_536)
+    return csvio.read_csv(spark, path, csvio.FEATURE_SCHEMA)
+
+
+@register
+def tsv_rejects(spark, sf) -> DataFrame:
+    """A label file with damaged lines: what the tolerant reader mends and drops, and the
+    kept rows (action 'kept'), which together with the dropped lines are all lines."""
+    o, c = F.col("order_id").cast("string"), F.col("customer_id").cast("string")
+    k = F.floor(F.col("order_id") / 7) % 10  # every tenth label has each kind of damage
+    line = (F.when(k == 1, o).when(k == 2, F.concat_ws("\t", o, c, F.lit("note"))).when(k == 3, F.concat_ws("\t", o, F.lit("n/a")))
+            .when(k == 4, F.concat(F.lit("\t"), c)).otherwise(F.concat_ws("\t", o, c)))
+    path = _scratch(spark, "damaged")
+    _inp(spark, sf).ato_orders.select(line.alias("value")).write.text(path)
+    rows, rejects = csvio.read_with_rejects(spark, path, csvio.ATO_LABEL_SCHEMA, header=False, required=("order_id",))
+    kept = rows.select(F.concat_ws("|", F.coalesce(F.col("order_id").cast("string"), F.lit("-")),
+                                   F.coalesce(F.col("customer_id").cast("string"), F.lit("-"))).alias("record"),
+                       F.lit(None).cast("string").alias("reason"), F.lit("kept").alias("action"))
+    return kept.unionByName(rejects.select(F.translate("record", "\t", "|").alias("record"), "reason", "action"))
+
+
 @register
 def ato_export(spark, sf) -> DataFrame:
     """ATO rows exported as one CSV file and read back."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +61,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back: cuts lineage like
+    ``checkpoint`` and keeps column pruning and filter pushdown for what reads it."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
