@@ -28,6 +28,21 @@ def spool(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Spooled tables that can be removed once everything made of them is spooled itself."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, f"{ensure_checkpoint_dir(spark)}/spool-{uuid.uuid4().hex}"
+
+    def spool(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def remove(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def runs_of(sizes: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
     """Cut consecutive items into runs whose sizes sum to about ``most`` (one item at least)."""
     begin, total = 0, 0

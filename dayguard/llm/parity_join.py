@@ -11,8 +11,10 @@ Method
      tasks; neighbours with the same sketch become candidate pairs.
   4. Candidates must pass the size bound and a one-bit-per-token parity sketch whose
      Hamming distance is a lower bound of |A xor B|, then are verified on whole sets.
-  5. Components of the verified links. Texts in sketches that still span several
-     components may have links across them. Such a pair also shares a member among the
+  5. Components of the verified links. Sketches that still span several components are
+     shuffled and their new neighbours compared, a few times over, so that most texts of a
+     group are together before any pair across is listed. Texts in sketches that span
+     several components even then may have links across them. Such a pair also shares a member among the
      first |A| - ceil(t |A|) + 1 of each set in any common order; in the order of rising
      frequency those are rare, so pairs that only share a frequent passage never meet.
      These pairs are verified the same way: no link between components is lost, and
@@ -43,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayguard.llm.common import mix64, ragged, slices, spool
+from dayguard.llm.common import Scratch, mix64, ragged, slices, spool
 
 BAND = 1.5
 PARITY_WORDS = 16      # 64-bit words of the smallest parity sketch; larger sets have two bits a member
@@ -399,17 +401,24 @@ def _sketched(docs: DataFrame, spec: JoinSpec, id_col: str, text_col: str):
     """Steps 1 to 3: (docs, info of all ids, classes, summaries of their representatives, rows that share a cell)."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL")
-    wide = spool(docs.mapInArrow(_summaries(spec), "doc_id long, n long, x long, y long, parity array<long>, low array<long>, cells array<long>"))
-    info = wide.select("doc_id", "n", "x", "y")
+    scratch = Scratch(spark)
+    wide = scratch.spool(docs.mapInArrow(_summaries(spec), "doc_id long, n long, x long, y long, parity array<long>, low array<long>, cells array<long>"), "wide")
+    info = spool(wide.select("doc_id", "n", "x", "y"))
     reps = spool(info.where("n > 0").groupBy("n", "x", "y").agg(F.min("doc_id").alias("class_id"),
                                                                 F.count(F.lit(1)).alias("copies")))
     only = reps.select(F.col("class_id").alias("doc_id"))
-    summary = spool(wide.where("n > 0").join(only, "doc_id", "left_semi").select("doc_id", "n", "parity", "low", "cells"))
+    summary = spool(wide.where("n > 0").select("doc_id", "n", "parity", "low").join(only, "doc_id", "left_semi"))
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    met = spool(summary.select(F.explode("cells").alias("cell"), F.col("doc_id").alias("doc"))
-                .repartitionByRange(parts, "cell", "doc").sortWithinPartitions("cell", "doc")
-                .mapInArrow(_neighbours, "cell long, doc long, before long"))
-    return docs, info, reps, summary.select("doc_id", "n", "parity", "low"), met
+    cells = wide.where("n > 0").select("doc_id", "cells").join(only, "doc_id", "left_semi")
+    met = spool(_met(cells.select(F.explode("cells").alias("cell"), F.col("doc_id").alias("doc")), parts, "doc"))
+    scratch.remove("wide")
+    return docs, info, reps, summary, met
+
+
+def _met(rows: DataFrame, parts: int, order) -> DataFrame:
+    """Rows (cell, doc) of cells seen twice or more, each with the doc before it in the order given."""
+    return (rows.repartitionByRange(parts, "cell", order).sortWithinPartitions("cell", order)
+            .select("cell", "doc").mapInArrow(_neighbours, "cell long, doc long, before long"))
 
 
 def _members(info: DataFrame, reps: DataFrame, roots: DataFrame) -> DataFrame:
@@ -436,6 +445,17 @@ def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id"
     return members, links
 
 
+SHUFFLES = 4  # further orders in which a cell's neighbours are compared
+
+
+def _mixed(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """(cell, doc, root) of the cells whose texts are still in several components."""
+    rows = spool(rows.distinct().join(roots.withColumnRenamed("node", "doc"), "doc", "left").select(
+        "cell", "doc", F.coalesce("root", "doc").alias("root")))
+    mixed = rows.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("cell")
+    return spool(rows.join(mixed, "cell", "left_semi"))
+
+
 def component_join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id", text_col: str = "text"):
     """(members, links): members has doc_id, n_shingles, class_id, component_id for every
     document; links only the verified pairs (a < b) between class representatives that build components."""
@@ -444,13 +464,25 @@ def component_join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str
         F.least("before", "doc").alias("a"), F.greatest("before", "doc").alias("b")).distinct()
     close = spool(_promising(near, summary, spec))
     links, roots = _settled(close, _sets_of(close, docs, spec), None, spec)
-    # sketches that still hold several components: their texts may have links across
-    rows = met.select("cell", "doc").distinct().join(roots.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "cell", "doc", F.coalesce("root", "doc").alias("root"))
-    rows = spool(rows)
-    mixed = rows.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("cell")
-    rows = spool(rows.join(mixed, "cell", "left_semi").select("doc", "root").distinct())
+    rows = _mixed(met.select("cell", "doc"), roots)
+    # other neighbours first: texts that link anyway are in one component before pairs are listed
+    parts = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    for salt in range(SHUFFLES):
+        if rows.isEmpty():
+            break
+        order = F.xxhash64("doc", F.lit(salt))
+        met = _met(rows.select("cell", "doc"), parts, order).where("before IS NOT NULL AND before <> doc")
+        ra, rb = (rows.select(F.col("doc").alias(c), F.col("root").alias(f"root_{c}")).distinct() for c in ("before", "doc"))
+        more = spool(met.join(ra, "before").join(rb, "doc").where("root_before <> root_doc").select(
+            F.least("before", "doc").alias("a"), F.greatest("before", "doc").alias("b")).distinct())
+        more = spool(_promising(more.join(near, ["a", "b"], "left_anti"), summary, spec))
+        if more.isEmpty():
+            break
+        links, roots = _settled(more, _sets_of(more, docs, spec), (links, roots), spec)
+        near = spool(near.union(more))
+        rows = _mixed(rows.select("cell", "doc"), roots)
     if not rows.isEmpty():
+        rows = spool(rows.select("doc", "root").distinct())
         pairs, sets = _across(rows, docs, summary, spec)
         cross = spool(_promising(pairs.join(near, ["a", "b"], "left_anti"), summary, spec))
         if not cross.isEmpty():
