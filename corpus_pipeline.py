@@ -3,9 +3,10 @@
 STAGES are (name, function(spark, docs, sf_dir) -> DataFrame); each works on all its
 predecessor kept, and all but the last return the columns of documents.
 
-Defined cases: null text is kept out by the quality rules (no words); a null doc_id is
-never a duplicate; rows of one doc_id share their near-duplicate group and repeated rows
-of a kept doc_id become one; an empty table passes through as empty. ORACLE_SQL is None:
+Defined cases: null text is kept out by the quality rules (no words); rows that share a
+doc_id (or have none) are documents of their own as long as their texts differ, and rows
+equal in both become one; columns may have any further names, those the stages use for
+themselves included; an empty table passes through as empty. ORACLE_SQL is None:
 trained models take part, so the stages are tested against brute force instead.
 """
 
@@ -24,34 +25,58 @@ TOXIC_FROM = 0.3
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays under TOXIC_FROM; learnt from all labelled rows."""
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs.withColumnRenamed("tox", "_tox") if "tox" in docs.columns else docs, model)
-    return scored.where(F.col("tox.score") < TOXIC_FROM).select(
-        *[F.col("_tox").alias("tox") if c == "tox" else F.col(c) for c in docs.columns])
+    aside = {c: _free(f"_{c}", docs.columns) for c in docs.columns if c.lower() == "tox"}
+    scored = toxicity.score(docs.withColumnsRenamed(aside), model)
+    return scored.where(F.col("tox.score") < TOXIC_FROM).select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the suffix-array limits keep."""
+    q = _free("_q", docs.columns)
     return docs.where(F.col("text").isNotNull()).withColumn(
-        "_q", repetition.stats_column(F.col("text"))).where(repetition.keeps(F.col("_q"))).select(*docs.columns)
+        q, repetition.stats_column(F.col("text"))).where(repetition.keeps(F.col(q))).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies (five-word shingles, Jaccard 0.8 or more)."""
-    members, _ = parity_join.component_join(docs, parity_join.JoinSpec(5, 80, 100))
-    gone = members.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    twice = spool(kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"))
+    """One document of every group of near copies (five-word shingles, Jaccard 0.8 or more).
+
+    A row's number is its doc_id; rows of a doc_id that occurs more than once, or is null, are
+    told apart by a hash of id and text, so each text of such an id is judged on its own.
+    Of rows equal in id and text the least by the other columns stays.
+    """
+    columns = docs.columns
+    row = _free("_row", columns)
+    twice = spool(docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(row)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(row))
+    by_text = F.xxhash64(F.col("doc_id"), F.col("text"))
     if twice.isEmpty():
-        return kept
-    return kept.join(twice, "doc_id", "left_anti").select(*docs.columns).union(
-        kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns))
+        numbered = docs.withColumn(row, F.coalesce(F.col("doc_id").cast("long"), by_text))
+    else:
+        again = twice.select(F.col(row).alias("doc_id"), F.lit(True).alias(row))
+        numbered = docs.join(again, "doc_id", "left").withColumn(
+            row, F.when(F.col("doc_id").isNull() | F.col(row), by_text).otherwise(F.col("doc_id").cast("long")))
+    numbered = numbered.select(*[F.col(c) for c in columns], row)
+    members, _ = parity_join.component_join(numbered, parity_join.JoinSpec(5, 80, 100), id_col=row)
+    gone = members.where("doc_id <> component_id").select(F.col("doc_id").alias(row)).distinct()
+    kept = numbered.join(gone, row, "left_anti")
+    alone = kept.where(F.col("doc_id").isNotNull() & (F.col(row) == F.col("doc_id")))
+    several = kept.where(F.col("doc_id").isNull() | (F.col(row) != F.col("doc_id")))
+    least = several.groupBy(row).agg(F.min(F.struct(*columns)).alias("x")).select("x.*")
+    return alone.select(*columns).unionByName(least.select(*columns))
+
+
+def _free(name: str, columns: list[str]) -> str:
+    """``name``, made longer until no column has it."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
 
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind; n_chars follows the new text."""
     spans = pii.spans_column(F.col("text"), pii.fit(docs))
-    new = docs.withColumn("_new", pii.redacted(F.col("text"), spans))
-    return new.select(*[F.col("_new").alias(c) if c == "text" else F.length("_new").cast(t).alias(c) if c == "n_chars"
+    name = _free("_new", docs.columns)
+    new = docs.withColumn(name, pii.redacted(F.col("text"), spans))
+    return new.select(*[F.col(name).alias(c) if c == "text" else F.length(name).cast(t).alias(c) if c == "n_chars"
                         else F.col(c) for c, t in docs.dtypes])
 
 
