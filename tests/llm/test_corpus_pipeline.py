@@ -44,3 +44,19 @@ def test_empty(spark, folder, tmp_path):
     for t in ("documents", "labels"):
         spark.read.parquet(f"{folder}/{t}.parquet").where("false").write.parquet(f"{tmp_path}/{t}.parquet")
     assert C.run(spark, str(tmp_path)).count() == 0
+
+
+def test_repeated_and_missing_ids_are_judged_by_their_texts(spark, folder):
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefghilmnop") for _ in range(6))
+    text = lambda: " ".join(word() for _ in range(80))
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(1, a, "x"), (5, a, "x"), (5, b, "x"), (5, c, "x"), (5, c, "w"), (None, d, "x"), (None, d, "x"), (None, b + " tail", "x"), (9, text(), "x")]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t), 1, 2, 3) for i, t, s in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, _row int, tox int, _q int")
+    kept = [(x["doc_id"], x["text"], x["source"]) for x in C.one_of_each_group(spark, docs, folder).collect()]
+    assert sorted(t for _, t, _ in kept if t not in (b, b + " tail")) == sorted([a, c, d, rows[-1][1]])
+    assert sum(t in (b, b + " tail") for _, t, _ in kept) == 1
+    assert len([k for k in kept if k[1] == a]) == 1 and (5, c, "w") in kept
+    for _, stage in C.STAGES[:-1]:
+        assert stage(spark, docs, folder).columns == docs.columns
