@@ -524,6 +524,7 @@ def ae_history(spark, sf) -> DataFrame:
     return ae.history_frame(spark, _ae_trained(spark, sf))
 
 
+from dayguard.functions.quantile import exact_quantile  # noqa: E402
 from dayguard.operators import iforest  # noqa: E402
 
 IFOREST_CONTAMINATIONS = [0.1, 0.05, 0.01]
@@ -560,6 +561,29 @@ def iforest_score(spark, sf) -> DataFrame:
         for c, o in forest.offsets.items()])).alias("p")).select("*", "p.contamination", "p.pred").drop("p")
 
 
+FIXED_TREES, FIXED_SAMPLES, FIXED_CONTAMINATION = 25, 64, 0.05
+
+
+def _fixed_scores(spark, sf) -> DataFrame:
+    """Scores of all five sets under a seeded forest that no data takes part in."""
+    boxes = iforest.leaf_boxes(iforest.fixed_forest(FIXED_TREES, FIXED_SAMPLES, len(FEATURES)))
+    return iforest.score_by_boxes(_all_z(spark, sf), boxes, FIXED_SAMPLES, ["dataset", *KEY_COLS])
+
+
+@register
+def iforest_score_fixed(spark, sf) -> DataFrame:
+    """Anomaly score of every row by a lookup in the fixed forest's leaf boxes."""
+    return _fixed_scores(spark, sf).select("dataset", *KEY_COLS, _r("score"))
+
+
+@register
+def iforest_rates_fixed(spark, sf) -> DataFrame:
+    """Outliers per set at the training scores' contamination quantile, fixed forest."""
+    s = _fixed_scores(spark, sf).withColumn("neg", -F.round("score", 9))
+    cut = exact_quantile(s.where("dataset = 'train'"), "neg", FIXED_CONTAMINATION)
+    return evaluate.outlier_rates(s.withColumn("pred", F.when(F.col("neg") < F.lit(cut), -1).otherwise(1)))
+
+
 from dayguard.operators import ocsvm  # noqa: E402
 
 SVM_NU = 0.01

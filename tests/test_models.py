@@ -130,3 +130,18 @@ def test_forest_and_weights_survive_the_shared_folder(spark, tmp_path):
     params = ae.init_params(ae.SHAPE_SMALL, seed=3)
     again = ae.load(spark, ae.save(spark, str(tmp_path / "w"), params), ae.SHAPE_SMALL)
     assert all(np.array_equal(a, b) for a, b in zip(params, again))
+
+
+def test_leaf_boxes_score_like_the_descent(spark):
+    nodes = iforest.fixed_forest(12, 32, len(COLS), seed=3)
+    forest = iforest.forest_from_nodes(nodes, 32)
+    x = np.random.default_rng(9).normal(size=(200, len(COLS)))
+    x[0, :], x[1, 0] = nodes["threshold"].iloc[0], np.nan_to_num(np.inf)  # on a threshold; very large
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "i long, " + ", ".join(f"{c} double" for c in COLS))
+    got = iforest.score_by_boxes(df, iforest.leaf_boxes(nodes), 32, ["i"], COLS).orderBy("i").toPandas()["score"].to_numpy()
+    assert np.allclose(got, iforest.anomaly_score(forest, x), atol=1e-12)
+    by_tree = {}
+    for t, leaf, path, *_ in iforest.leaf_boxes(nodes):
+        by_tree.setdefault(t, set()).add(leaf)
+    leaves = nodes[nodes["feature"] < 0].groupby("tree")["node"].agg(set).to_dict()
+    assert by_tree == leaves
