@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayguard.schema import FEATURES, KEY_COLS
+from dayguard.sources.parts import Store, content_digest
 
 
 def mean_square_score(cols: list[str] = FEATURES) -> Column:
@@ -40,6 +41,19 @@ def period_confusion(scored: DataFrame, threshold: float, period: str,
                  F.count_if(fraud & flagged).alias("tp")))
 
 
+def store_scores(store: Store, batch: str, scored: DataFrame, period: str, day: str = KEY_COLS[1]) -> Store:
+    """Put a batch of scored rows (whole periods) into the store, replacing those periods.
+
+    Each period is one part behind the store's manifest: a run that is killed leaves the old
+    scores, a batch that is in already changes nothing, and a period that is scored anew
+    under another batch name replaces its rows once."""
+    digest = content_digest(scored)
+    if store.known(batch, digest):
+        return store
+    parts = store.write("scores", scored.withColumn("part", period_of(day, period).cast("string")))
+    return store.commit(parts, batch, digest)
+
+
 def outlier_rates(predicted: DataFrame, dataset: str = "dataset",
                   pred: str = "pred") -> DataFrame:
     """Per dataset: rows, rows predicted -1 (outlier), and their share.

@@ -269,6 +269,22 @@ def outlier_rates(spark, sf) -> DataFrame:
     return evaluate.outlier_rates(pred)
 
 
+@register
+def period_confusion_stored(spark, sf) -> DataFrame:
+    """Weekly confusion counts read from a store of scores that is filled week by week: first
+    with scores of all test rows as if unlabelled, then once more, week by week, as they are."""
+    from dayguard.sources.parts import Store
+    pr = _prepared(spark, sf)
+    test_ato = pipeline.in_test(pr.ato, P)
+    scored = evaluate.scored_labels(pipeline.with_baseline_score(pr.test_normal), pipeline.with_baseline_score(test_ato))
+    path = _scratch(spark, "scores")
+    week = evaluate.period_of(KEY_COLS[1], P.period)
+    store = evaluate.store_scores(Store.open(spark, path), "draft", scored.withColumn("label", F.lit(0)), P.period)
+    for r in scored.select(week.alias("w")).distinct().orderBy("w").collect():  # periods
+        store = evaluate.store_scores(store, f"week {r['w']}", scored.where(week == F.lit(r["w"])), P.period)
+    return evaluate.period_confusion(Store.open(spark, path).read("scores", scored.schema), THRESHOLD, P.period)
+
+
 # --- staging tables and daily totals -----------------------------------------
 @register
 def interaction_events(spark, sf) -> DataFrame:
@@ -441,8 +457,8 @@ def _all_z(spark, sf) -> DataFrame:
     return prep.union_periods([df.withColumn("dataset", F.lit(n)) for n, df in sets])
 
 
-def _ae_scores(spark, sf, params) -> DataFrame:
-    return _all_z(spark, sf).select("dataset", *KEY_COLS, _r(ae.score_column(params, ae.SHAPE_SMALL), "score"))
+def _ae_scores(spark, sf, params, dims=ae.SHAPE_SMALL) -> DataFrame:
+    return _all_z(spark, sf).select("dataset", *KEY_COLS, _r(ae.score_column(params, dims), "score"))
 
 
 @register
@@ -459,17 +475,20 @@ def ae_saved_score(spark, sf) -> DataFrame:
     return _ae_scores(spark, sf, ae.load(spark, path, ae.SHAPE_SMALL))
 
 
-def _ae_scored(spark, sf) -> DataFrame:
-    """Validation rows (label 0) and ATO rows (label 1) with the fixed autoencoder's loss."""
-    pr = _prepared(spark, sf)
-    loss = F.round(ae.score_column(ae.init_params(ae.SHAPE_SMALL, seed=42), ae.SHAPE_SMALL), 6)
+def _fixed_loss(dims):
+    return F.round(ae.score_column(ae.init_params(dims, seed=42), dims), 6)
+
+
+def _ae_scored(spark, sf, dims=ae.SHAPE_SMALL) -> DataFrame:
+    """Validation rows (label 0) and ATO rows (label 1) with a fixed autoencoder's loss."""
+    pr, loss = _prepared(spark, sf), _fixed_loss(dims)
     return evaluate.scored_labels(pr.val.withColumn("score", loss), pr.ato.withColumn("score", loss))
 
 
-def _ae_cum(spark, sf) -> DataFrame:
-    key = ("ae_cum", _sid(spark), sf)
+def _ae_cum(spark, sf, dims=ae.SHAPE_SMALL) -> DataFrame:
+    key = ("ae_cum", dims, _sid(spark), sf)
     if key not in _CACHE:
-        _CACHE[key] = curves.cumulative_counts(_ae_scored(spark, sf))
+        _CACHE[key] = curves.cumulative_counts(_ae_scored(spark, sf, dims))
     return _CACHE[key]
 
 
@@ -503,6 +522,40 @@ def ae_average_precision(spark, sf) -> DataFrame:
     return curves.average_precision(_ae_cum(spark, sf)).select(_r("average_precision"))
 
 
+# the same evaluation on the large autoencoder, fixed weights
+@register
+def ae_large_score_fixed(spark, sf) -> DataFrame:
+    return _ae_scores(spark, sf, ae.init_params(ae.SHAPE_LARGE, seed=42), ae.SHAPE_LARGE)
+
+
+@register
+def ae_large_roc_curve(spark, sf) -> DataFrame:
+    return curves.roc_curve(_ae_cum(spark, sf, ae.SHAPE_LARGE)).select(_r("threshold"), _r("fpr"), _r("tpr"))
+
+
+@register
+def ae_large_auc(spark, sf) -> DataFrame:
+    return curves.auc(_ae_cum(spark, sf, ae.SHAPE_LARGE)).select(_r("auc"))
+
+
+@register
+def ae_large_pr_curve(spark, sf) -> DataFrame:
+    return curves.pr_curve(_ae_cum(spark, sf, ae.SHAPE_LARGE)).select(_r("threshold"), _r("precision"), _r("recall"))
+
+
+@register
+def ae_large_f1_curve(spark, sf) -> DataFrame:
+    return curves.f1_curve(_ae_cum(spark, sf, ae.SHAPE_LARGE)).select(_r("threshold"), _r("f1"))
+
+
+@register
+def ae_large_period_confusion(spark, sf) -> DataFrame:
+    """Weekly false and true positives at loss >= 4.3, large autoencoder with fixed weights."""
+    pr, loss = _prepared(spark, sf), _fixed_loss(ae.SHAPE_LARGE)
+    scored = evaluate.scored_labels(pr.test_normal.withColumn("score", loss), pipeline.in_test(pr.ato, P).withColumn("score", loss))
+    return evaluate.period_confusion(scored, THRESHOLD, P.period)
+
+
 def _ae_trained(spark, sf) -> ae.TrainResult:
     key = ("ae", _sid(spark), sf)
     if key not in _CACHE:
@@ -630,6 +683,12 @@ def ocsvm_score_fixed(spark, sf) -> DataFrame:
         ocsvm.predict_column(m).alias("pred"))
 
 
+@register
+def ocsvm_rates_fixed(spark, sf) -> DataFrame:
+    """Outlier rates of the fixed kernel-mean model per dataset."""
+    return evaluate.outlier_rates(ocsvm_score_fixed(spark, sf))
+
+
 @register
 def ae_period_confusion(spark, sf) -> DataFrame:
     """Weekly false / true positives at loss >= 4.3 with the trained large
