@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import bisect
 import itertools
+import re
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -25,15 +26,19 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayguard.llm.common import slices, spool
+from dayguard.llm.common import ragged, slices, spool
 
 CAPACITY, END_ID = 4096, 1
 BINS, MAX_DOCS = 128, 3
 SHARES = (1.0, 0.9, 0.75, 0.5)  # of the fitted repeat counts; the plan with the fewest sequences is taken
-CACHE = 250_000  # chunks a worker keeps
+CACHE = 400_000  # chunks a worker keeps
+# Latin letters that fold case one by one and are in composed form, then ASCII symbols (no apostrophe)
+_LETTER, _SYMBOL = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f])", "([!-&(-/:-@\\[-`{-~])"
+_LATIN = re.compile(f"({_LETTER[1:-1]}+)({_SYMBOL[1:-1]}*)")
 _MARKS = frozenset(".,!?;:")
 _ENCODERS: dict[str, ChunkIds] = {}
 
@@ -42,16 +47,25 @@ class ChunkIds(dict):
     """Ids (little-endian uint32 bytes) of the chunks between spaces and line ends.
 
     The tokenizer drops white space and never joins across it, so a text's ids are its
-    chunks' ids one after the other. For chunks of ASCII letters and digits a closing
-    mark is a token run of its own and case is folded, so few chunks need the tokenizer.
+    chunks' ids one after the other. It folds case, and a run of letters and a run of
+    symbols are tokenized each by itself, so a chunk of Latin letters with symbols after
+    them is two lookups and few chunks need the whole tokenizer.
     """
 
     def __init__(self, path: str):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.byte_level, self.spelled = ByteLevel(add_prefix_space=False, use_regex=False), {}
+
+    def letters(self, word: str) -> bytes:
+        """Ids of lower-case Latin letters: the merges of their bytes."""
+        for c in set(word) - self.spelled.keys():
+            self.spelled[c] = self.byte_level.pre_tokenize_str(c)[0][0]
+        return np.array([t.id for t in self.tokenizer.model.tokenize("".join(map(self.spelled.__getitem__, word)))], "<u4").tobytes()
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -59,12 +73,14 @@ class ChunkIds(dict):
     def __missing__(self, chunk: str) -> bytes:
         if chunk.isascii() and chunk[:-1].isalnum() and chunk[-1] in _MARKS:
             ids = self[chunk[:-1]] + self[chunk[-1]]
-        elif chunk.isascii() and chunk.isalpha():
-            low = chunk.lower()
-            if low != chunk:
+        elif m := _LATIN.fullmatch(chunk):
+            low = m[1].lower()
+            if m[2]:
+                ids = self[low] + self[m[2]]
+            elif low != chunk:
                 ids = self[low]
             else:
-                ids = np.array([t.id for t in self.tokenizer.model.tokenize(chunk)], "<u4").tobytes()
+                ids = self.letters(chunk)
         else:
             ids = self.whole(chunk)
         self[chunk] = ids
@@ -79,6 +95,27 @@ class ChunkIds(dict):
             self.clear()
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, ids of each); no text is null or holds ``<|``.
+
+        A-Z are folded and letters parted from the symbols after them, as the tokenizer does;
+        then chunks are dictionary-encoded, so each distinct one of the batch is looked up
+        once and its ids are gathered by number.
+        """
+        if len(self) > CACHE:
+            self.clear()
+        parted = pc.replace_substring_regex(pc.ascii_lower(pc.replace_substring(texts, "\n", " ")), _LETTER + _SYMBOL, r"\1 \2")
+        lists = pc.split_pattern(parted, " ")
+        coded = lists.flatten().dictionary_encode()
+        known = [self[c] for c in coded.dictionary.to_pylist()]
+        sizes = np.array([len(b) // 4 for b in known], np.int64)
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        each = sizes[at]
+        ids = np.frombuffer(b"".join(known), "<u4")[ragged((np.cumsum(sizes) - sizes)[at], each)]
+        upto = np.concatenate(([0], np.cumsum(each)))
+        edges = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
+        return ids, np.diff(upto[edges])
+
 
 def encoder(path: str) -> ChunkIds:
     if path not in _ENCODERS:
@@ -87,17 +124,26 @@ def encoder(path: str) -> ChunkIds:
 
 
 def _pieces(path: str, capacity: int, end_id: int):
-    end = np.array([end_id], "<u4").tobytes()
-
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = encoder(path if Path(path).exists() else _installed(path))
-        for part in slices(batches, 1, most_rows=2_000):
-            rows: list[tuple] = []
-            for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                raw = ids.text(text) + end
-                n = len(raw) // 4
-                for k, at in enumerate(range(0, n, capacity)):
-                    cut = raw[4 * at:4 * (at + capacity)]
+        for part in slices(batches, 1, most_bytes=8 << 20, most_rows=8_000):
+            docs, texts = part.column(0), part.column(1).fill_null("")
+            odd = pc.match_substring(texts, "<|")  # strings of special tokens are matched before anything is cut
+            plain = pc.invert(odd)
+            flat, sizes = ids.batch(texts.filter(plain))
+            whole = np.empty(len(flat) + len(sizes), "<u4")
+            ends = np.cumsum(sizes + 1)
+            last = np.zeros(len(whole), bool)
+            last[ends - 1] = True
+            whole[last], whole[~last] = end_id, flat
+            raw, rows = memoryview(whole.tobytes()), []
+            bounds = list(zip(docs.filter(plain).to_pylist(), (ends - sizes - 1).tolist(), ends.tolist()))
+            views = [(doc, raw[4 * lo:4 * hi]) for doc, lo, hi in bounds]
+            end = np.array([end_id], "<u4").tobytes()
+            views += [(doc, memoryview(ids.whole(t) + end)) for doc, t in zip(docs.filter(odd).to_pylist(), texts.filter(odd).to_pylist())]
+            for doc, v in views:
+                for k, at in enumerate(range(0, len(v) // 4, capacity)):
+                    cut = v[4 * at:4 * (at + capacity)]
                     rows.append((doc, k, at, len(cut) // 4, zlib.crc32(cut)))
             cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
