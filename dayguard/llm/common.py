@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow.compute as pc
@@ -28,6 +29,16 @@ def spool(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tokenizer_file(path: str) -> str:
+    """The public tokenizer file of this name where the executor has it, else ``path`` itself."""
+    try:
+        from public_tokenizers import path as installed
+        found = Path(str(installed(Path(path).name)))
+    except (ImportError, KeyError, ValueError, FileNotFoundError):
+        return path
+    return str(found) if found.exists() else path
+
+
 class Scratch:
     """Spooled tables that can be removed once everything made of them is spooled itself."""
 

@@ -21,7 +21,6 @@ import itertools
 import re
 import zlib
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -30,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayguard.llm.common import ragged, slices, spool
+from dayguard.llm.common import ragged, slices, spool, tokenizer_file
 
 CAPACITY, END_ID = 4096, 1
 BINS, MAX_DOCS = 128, 3
@@ -125,7 +124,7 @@ def encoder(path: str) -> ChunkIds:
 
 def _pieces(path: str, capacity: int, end_id: int):
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = encoder(path if Path(path).exists() else _installed(path))
+        ids = encoder(tokenizer_file(path))
         for part in slices(batches, 1, most_bytes=8 << 20, most_rows=8_000):
             docs, texts = part.column(0), part.column(1).fill_null("")
             odd = pc.match_substring(texts, "<|")  # strings of special tokens are matched before anything is cut
@@ -153,12 +152,6 @@ def _pieces(path: str, capacity: int, end_id: int):
     return pieces
 
 
-def _installed(path: str) -> str:
-    """The tokenizer of this name where the executor has it."""
-    import public_tokenizers
-    return str(public_tokenizers.path(Path(path).name))
-
-
 def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text",
            capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(

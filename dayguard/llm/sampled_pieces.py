@@ -25,7 +25,6 @@ import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -34,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayguard.llm.common import slices
+from dayguard.llm.common import slices, tokenizer_file
 
 SPACE = "▁"
 _CHUNK = re.compile("▁*[^▁\n]+|▁+|\n")
@@ -192,16 +191,11 @@ def sample(lattices: list, k: int, r) -> list[tuple[list[int], float, float, flo
 
 def model(path: str) -> PieceLattices:
     if path not in _MODELS:
-        found = path if Path(path).exists() else _installed(path)
+        found = tokenizer_file(path)
         _MODELS[path] = PieceLattices(found)
     return _MODELS[path]
 
 
-def _installed(path: str) -> str:
-    import public_tokenizers
-    return str(public_tokenizers.path(Path(path).name))
-
-
 def _encode(path: str, k: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
