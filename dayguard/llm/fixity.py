@@ -4,13 +4,18 @@ Method: every record's bytes are hashed. Records of a file are grouped by ranges
 ``LEAF`` bytes of their offset; a range's hash covers its records in offset order. Ranges
 join ``FAN`` by ``FAN`` into wider ones up to a file's root, and files (by number) into
 the archive's root. Two replicas are compared from the root: only children of differing
-nodes are read on, level by level, down to the records.
+nodes are read on, level by level, down to the records. Records of differing ranges are
+aligned by id and digest, so a replica in which a lost record let all later ones move up
+differs in that record alone.
 
 A leaf holds at most LEAF / (smallest record) records and an inner node FAN children, so
 no group grows with the archive. Nodes are written once per replica (shared folder).
 
 Defined cases: records at equal offsets are ordered by id and digest; a record in one
-replica only is 'missing' or 'extra'; equal replicas give no row; empty replicas too.
+replica only is 'missing' or 'extra'; records of one id (or without id) that differ are
+paired in the order of their offsets; a record that only moved is no damage; equal
+replicas give no row; empty replicas too. Ids may be negative or null (file -1); all
+files meet in one root.
 """
 
 from __future__ import annotations
@@ -43,6 +48,11 @@ def index(records: DataFrame, per_file: int) -> DataFrame:
     return rows.withColumn("offset", F.sum("length").over(w) - F.col("length"))
 
 
+def _above(child: Column, last: bool) -> Column:
+    """Number of the node that takes in ``child``; the last step takes in all that is left."""
+    return F.lit(0).cast("long") if last else F.floor(child / FAN).cast("long")
+
+
 def tree(idx: DataFrame, levels: tuple[int, int]) -> DataFrame:
     """Nodes (level, file_id, part, digest). Level 0 are offset ranges, then wider ranges to the
     file (``levels[0]`` steps), then files by FAN to the root (``levels[1]`` steps)."""
@@ -54,7 +64,7 @@ def tree(idx: DataFrame, levels: tuple[int, int]) -> DataFrame:
     for step in range(sum(levels)):
         in_file = step < levels[0]
         child = F.col("part") if in_file else F.col("file_id")
-        up = F.floor(child / FAN).cast("long")
+        up = _above(child, step == sum(levels) - 1)
         keys = [F.col("file_id"), up.alias("part")] if in_file else [up.alias("file_id"), F.lit(0).cast("long").alias("part")]
         out.append(spool(out[-1].groupBy(*keys).agg(F.sha2(F.concat_ws("|", F.transform(
             F.array_sort(F.collect_list(F.struct(child.alias("at"), "digest"))),
@@ -64,9 +74,30 @@ def tree(idx: DataFrame, levels: tuple[int, int]) -> DataFrame:
 
 def depth(idx: DataFrame) -> tuple[int, int]:
     """Steps from ranges to files and from files to the root."""
-    m = idx.agg(F.max("offset").alias("o"), F.max("file_id").alias("f")).first()
+    m = idx.agg(F.max("offset").alias("o"), F.max(F.abs("file_id")).alias("f")).first()
     steps = lambda n: next(k for k in range(64) if n < FAN ** k)
-    return steps((m["o"] or 0) // LEAF), steps(max(m["f"] or 0, 0)) + 1
+    return steps((m["o"] or 0) // LEAF), steps(m["f"] or 0) + 1
+
+
+def _aligned(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Differing records of two sets of records."""
+    def numbered(df, *by):
+        w = Window.partitionBy(*by).orderBy("offset", "length", "digest")
+        return df.withColumn("number", F.row_number().over(w))
+
+    def joined(by):
+        l, r = (numbered(x, *by).alias(n) for x, n in ((a, "l"), (b, "r")))
+        on = reduce(lambda x, y: x & y, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in (*by, "number")])
+        return l.join(r, on, "full")
+
+    alike = joined(("file_id", "record_id", "digest"))
+    cols = ["file_id", "offset", "length", "record_id", "digest"]
+    only = lambda one, other: alike.where(F.col(f"{other}.offset").isNull()).select(*[F.col(f"{one}.{c}") for c in cols])
+    a, b = spool(only("l", "r")), spool(only("r", "l"))
+    pairs = joined(("file_id", "record_id"))
+    status = F.when(F.col("r.offset").isNull(), "missing").when(F.col("l.offset").isNull(), "extra").otherwise("changed")
+    first = lambda c: F.when(F.col("l.offset").isNull(), F.col(f"r.{c}")).otherwise(F.col(f"l.{c}")).alias(c)
+    return pairs.select(*[first(c) for c in cols[:4]], status.alias("status"))
 
 
 def audit(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -81,22 +112,12 @@ def audit(a: DataFrame, b: DataFrame) -> DataFrame:
             n = t.where(F.col("level") == level).select("file_id", "part", F.col("digest").alias(name))
             if bad is not None:  # only children of differing nodes
                 in_file = level < deep[0]
-                up = F.floor((F.col("part") if in_file else F.col("file_id")) / FAN).cast("long")
+                up = _above(F.col("part") if in_file else F.col("file_id"), level == sum(deep) - 1)
                 n = n.withColumn("pf", F.col("file_id") if in_file else up).withColumn("pp", up if in_file else F.lit(0).cast("long"))
                 n = n.join(bad, ["pf", "pp"], "left_semi").drop("pf", "pp")
             sides.append(n)
         both = sides[0].join(sides[1], ["file_id", "part"], "full")
         bad = spool(both.where(~F.col("da").eqNullSafe(F.col("db"))).select(F.col("file_id").alias("pf"), F.col("part").alias("pp")))
-    keys = ["file_id", "offset", "record_id"]
-    rows = []
-    for t, name in ((a, "a"), (b, "b")):
-        n = t.withColumn("pf", F.col("file_id")).withColumn("pp", F.floor(F.col("offset") / LEAF).cast("long"))
-        rows.append(n.join(bad, ["pf", "pp"], "left_semi").groupBy(*keys).agg(
-            F.max("length").alias(f"l{name}"), F.sort_array(F.collect_list("digest")).alias(f"d{name}")).withColumn(
-                "record_key", F.coalesce("record_id", F.lit(-1))))
-    left, right = rows
-    both = left.join(right.drop("record_id"), ["file_id", "offset", "record_key"], "full")
-    status = F.when(F.col("db").isNull(), "missing").when(F.col("da").isNull(), "extra").otherwise("changed")
-    return both.where(~F.col("da").eqNullSafe(F.col("db"))).select(
-        "file_id", "offset", F.coalesce("la", "lb").alias("length"), F.when(F.col("record_key") >= 0, F.col("record_key")).alias("record_id"),
-        status.alias("status"))
+    sides = [t.withColumn("pf", F.col("file_id")).withColumn("pp", F.floor(F.col("offset") / LEAF).cast("long"))
+             .join(bad, ["pf", "pp"], "left_semi").drop("pf", "pp") for t in (a, b)]
+    return _aligned(*sides)

@@ -74,13 +74,14 @@ def op3_pattern_packing(spark, sf_dir: str) -> DataFrame:
 @register
 def op4_fixity_audit(spark, sf_dir: str, per_file: int = 512) -> DataFrame:
     """Audit of two replicas of the pages' archive. The second replica is derived: the first
-    byte of every 97th payload is overwritten and every 211th record is gone."""
+    byte of every 97th payload is overwritten and every 211th record is gone, so that all
+    later ones of its file have moved up."""
     p = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
     record = lambda body: fixity.warc_record(F.col("url"), F.col("page_id"), body)
     first = fixity.index(p.select(F.col("page_id").alias("record_id"), record(F.col("html")).alias("bytes")), per_file)
     hurt = F.when(F.col("page_id") % 97 == 13, F.expr("overlay(html placing '\\u0001' from 1 for 1)")).otherwise(F.col("html"))
-    second = fixity.index(p.select(F.col("page_id").alias("record_id"), record(hurt).alias("bytes")), per_file).where(
-        "record_id IS NULL OR record_id % 211 <> 5")
+    second = fixity.index(p.where("page_id IS NULL OR page_id % 211 <> 5").select(
+        F.col("page_id").alias("record_id"), record(hurt).alias("bytes")), per_file)
     return fixity.audit(first, second)
 
 

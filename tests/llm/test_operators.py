@@ -173,7 +173,9 @@ def test_fixity_audit(spark):
     assert fixity.audit(a, a).count() == 0
     b = idx(F.when(F.col("record_id").isin(5, 1999), F.lit("<html>").cast("string")).otherwise(F.col("html")))
     hurt = F.when(F.col("record_id") == 700, F.expr("overlay(html placing '!' from 1 for 1)")).otherwise(F.col("html"))
-    c = idx(hurt).where("record_id IS NULL OR record_id <> 1300")
+    whole, p = p, p.where("record_id IS NULL OR record_id <> 1300")  # lost: all later records of the file move up
+    c = idx(hurt)
+    p = whole
     got = {(r["record_id"], r["status"]) for r in fixity.audit(a, c).collect()}
     assert got == {(700, "changed"), (1300, "missing")}
     assert {r["status"] for r in fixity.audit(c, a).collect()} == {"changed", "extra"}
@@ -181,6 +183,21 @@ def test_fixity_audit(spark):
     assert fixity.audit(a.where("false"), a.where("false")).count() == 0
 
 
+def test_fixity_of_repeated_negative_and_missing_ids(spark):
+    def idx(rows):
+        return fixity.index(spark.createDataFrame([(i, t.encode(), 1, "x") for i, t in rows], "record_id long, bytes binary, part int, digest_ string"), 4)
+    rows = [(i, f"r{i}" * 9000) for i in range(40)] + [(-7, "minus"), (-700, "far"), (None, "n1"), (None, "n2"), (None, "n2"), (3, "again"), (3, "again")]
+    a = idx(rows)
+    lost = [r for r in rows if r != (None, "n1")]
+    lost.remove((3, "again"))
+    lost = [(i, t + "!") if i in (-700, 20) else (i, t) for i, t in lost] + [(50, "new")]
+    got = sorted(((r["record_id"], r["status"]) for r in fixity.audit(a, idx(lost)).collect()), key=repr)
+    assert got == sorted([(None, "missing"), (3, "missing"), (-700, "changed"), (20, "changed"), (50, "extra")], key=repr)
+    assert fixity.audit(a, idx(rows[::-1])).count() == 0
+    deep = fixity.depth(a)
+    assert fixity.tree(a, deep).where(F.col("level") == sum(deep)).count() == 1  # one root
+
+
 # 5
 def test_repetition_against_brute_force(spark):
     texts = [*EDGE, (20, "a b c d e f g h i j " * 30), (21, prose(4, 60) + "\n" + prose(4, 60) + "\n" + prose(5, 300)),
