@@ -136,6 +136,7 @@ class TrainResult:
     best_epoch: int = -1
 
 
+PART_ROWS = 1_000_000  # some 300 MB of doubles
 N_TRAIN, TRAIN_SUM, N_VAL, VAL_SUM, STEPS = -1, -2, -3, -4, -5  # keys of the counts beside the parameters
 
 
@@ -178,9 +179,12 @@ def adam_step(p, m, v, t, x, dims, like, lr, b1=0.9, b2=0.999, eps=1e-8):
 
 
 def training_frame(train: DataFrame, val: DataFrame, cols: list[str] = FEATURES,
-                   partitions: int = 4) -> DataFrame:
+                   partitions: int | None = None) -> DataFrame:
     """Rows as (x array, is_val) in ``partitions`` parts by key, sorted within each,
-    written once to the checkpoint folder (read every epoch)."""
+    written once to the checkpoint folder (read every epoch). By default four parts, or as
+    many as keep a part at ``PART_ROWS`` rows, which a task holds at once."""
+    if partitions is None:
+        partitions = max(4, math.ceil((train.count() + val.count()) / PART_ROWS))
     def pack(df, flag):
         return df.select(*KEY_COLS, F.array(*[F.col(c).cast("double") for c in cols]).alias("x"),
                          F.lit(flag).alias("is_val"))
@@ -191,7 +195,7 @@ def training_frame(train: DataFrame, val: DataFrame, cols: list[str] = FEATURES,
 
 def train(train: DataFrame, val: DataFrame, dims: tuple = SHAPE_LARGE, epochs: int = 50,
           batch: int = 2048, lr: float = 1e-3, patience: int = 5, factor: float = 0.2,
-          seed: int = 42, cols: list[str] = FEATURES, partitions: int = 4,
+          seed: int = 42, cols: list[str] = FEATURES, partitions: int | None = None,
           frame: DataFrame | None = None) -> TrainResult:
     """``partitions`` and ``batch`` are part of the model's definition: weights are averaged
     over the partitions after every epoch; one partition is plain sequential Adam. Size

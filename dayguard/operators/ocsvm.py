@@ -30,6 +30,7 @@ from dayguard.operators.autoencoder import training_frame
 from dayguard.schema import FEATURES
 
 N_COMPONENTS = 128
+BLOCK = 8192  # rows whose Fourier features are held at once
 
 
 def fourier_map(dim: int, gamma: float, n_components: int = N_COMPONENTS,
@@ -70,7 +71,8 @@ def predict_column(m: OneClassModel, cols: list[str] = FEATURES) -> Column:
     return F.when(decision_column(m, cols) < 0, -1).otherwise(1)
 
 
-def _partial_fn(wm, bm, coef, rho, nu, lr, batch, seed, epoch, mode):
+def _partial_fn(wm, bm, states, lr, batch, seed, epoch, mode):
+    """``states``: (nu, coefficients, rho) of every model; all are trained in one pass."""
     def run(it):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
@@ -81,46 +83,61 @@ def _partial_fn(wm, bm, coef, rho, nu, lr, batch, seed, epoch, mode):
         pdf = pdf[~pdf["is_val"].to_numpy(dtype=bool)]
         if not len(pdf):
             return
-        z = fourier_features(np.stack(pdf["x"].to_numpy()), np.array(wm), np.array(bm))
-        c, r = np.array(coef), float(rho)
+        x, w, b = np.stack(pdf["x"].to_numpy()), np.array(wm), np.array(bm)
+        n = len(x)
         if mode == "mean":
-            yield _weighted(len(z), z.mean(axis=0), 0.0)
+            total = sum(fourier_features(x[s:s + BLOCK], w, b).sum(axis=0) for s in range(0, n, BLOCK))
+            yield _weighted(0, n, total / n, 0.0)
             return
-        rng = np.random.default_rng([seed, epoch, pid])
-        order = rng.permutation(len(z))
-        for s in range(0, len(order), batch):
-            zb = z[order[s:s + batch]]
-            viol = (zb @ c) < r
-            gc = c - zb[viol].sum(axis=0) / (nu * len(zb))
-            gr = -1.0 + viol.sum() / (nu * len(zb))
-            c, r = c - lr * gc, r - lr * gr
-        yield _weighted(len(z), c, r)
+        now = [(nu, np.array(c), float(r)) for nu, c, r in states]
+        order = np.random.default_rng([seed, epoch, pid]).permutation(n)
+        for s in range(0, n, batch):
+            zb = fourier_features(x[order[s:s + batch]], w, b)
+            for i, (nu, c, r) in enumerate(now):
+                viol = (zb @ c) < r
+                gc = c - zb[viol].sum(axis=0) / (nu * len(zb))
+                gr = -1.0 + viol.sum() / (nu * len(zb))
+                now[i] = nu, c - lr * gc, r - lr * gr
+        for i, (_, c, r) in enumerate(now):
+            yield _weighted(i, n, c, r)
     return run
 
 
-def _weighted(n: int, coef: np.ndarray, rho: float) -> pd.DataFrame:
-    """(-1, rows), (0, rho x rows), (1 + i, coefficient i x rows)."""
-    return pd.DataFrame({"k": range(-1, len(coef) + 1), "v": np.concatenate(([n, n * rho], n * coef))})
+def _weighted(i: int, n: int, coef: np.ndarray, rho: float) -> pd.DataFrame:
+    """Model i: (-1, rows), (0, rho x rows), (1 + j, coefficient j x rows)."""
+    return pd.DataFrame({"i": i, "k": range(-1, len(coef) + 1), "v": np.concatenate(([n, n * rho], n * coef))})
 
 
-def fit(train: DataFrame, nu: float, gamma: float = 0.1, n_components: int = N_COMPONENTS,
-        epochs: int = 5, batch: int = 2048, lr: float = 0.05, seed: int = 42,
-        cols: list[str] = FEATURES, partitions: int = 4, frame: DataFrame | None = None) -> OneClassModel:
-    """``partitions`` and ``batch`` are part of the model's definition (averaging after every epoch)."""
+def fit_all(train: DataFrame, nus: list[float], gamma: float = 0.1, n_components: int = N_COMPONENTS,
+            epochs: int = 5, batch: int = 2048, lr: float = 0.05, seed: int = 42,
+            cols: list[str] = FEATURES, partitions: int | None = None, frame: DataFrame | None = None) -> list[OneClassModel]:
+    """One model per nu from the same passes over the rows. ``partitions`` and ``batch`` are
+    part of the models' definition (averaging after every epoch)."""
     frame = frame if frame is not None else training_frame(train, train.where(F.lit(False)), cols, partitions)
     wm, bm = fourier_map(len(cols), gamma, n_components, seed)
 
-    def job(coef, rho, e, mode):
-        fn = _partial_fn(wm.tolist(), bm.tolist(), coef.tolist(), rho, nu, lr / math.sqrt(e + 1),
-                         batch, seed, e, mode)
-        sums = frame.mapInPandas(fn, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).toPandas().set_index("k")["v"]
-        n = max(float(sums.get(-1, 0.0)), 1.0)
-        return np.array([sums.get(i + 1, 0.0) for i in range(n_components)]) / n, float(sums.get(0, 0.0)) / n
+    def job(states, e, mode):
+        fn = _partial_fn(wm.tolist(), bm.tolist(), [(nu, c.tolist(), r) for nu, c, r in states], lr / math.sqrt(e + 1), batch, seed, e, mode)
+        got = frame.mapInPandas(fn, "i int, k int, v double").groupBy("i", "k").agg(F.sum("v").alias("v")).toPandas().set_index(["i", "k"])["v"]
+        out = []
+        for i in range(1 if mode == "mean" else len(states)):
+            n = max(float(got.get((i, -1), 0.0)), 1.0)
+            out.append((np.array([got.get((i, j + 1), 0.0) for j in range(n_components)]) / n, float(got.get((i, 0), 0.0)) / n))
+        return out
 
     # the kernel mean (the nu = 1 solution); with epochs = 0 it is the model
-    coef, rho = job(np.zeros(n_components), 0.0, 0, "mean")
+    (mean, rho), = job([], 0, "mean")
+    states = [(nu, mean, rho) for nu in nus]
     for e in range(epochs):
-        coef, rho = job(coef, rho, e, "sgd")
-    model = OneClassModel(wm, bm, coef, 0.0, nu, gamma)
-    model.rho = exact_quantile(train.select(decision_column(model, cols).alias("d")), "d", nu)
-    return model
+        states = [(nu, c, r) for nu, (c, r) in zip(nus, job(states, e, "sgd"))]
+    out = []
+    for nu, coef, _ in states:
+        model = OneClassModel(wm, bm, coef, 0.0, nu, gamma)
+        model.rho = exact_quantile(train.select(decision_column(model, cols).alias("d")), "d", nu)
+        out.append(model)
+    return out
+
+
+def fit(train: DataFrame, nu: float, **kwargs) -> OneClassModel:
+    """One model; see :func:`fit_all`."""
+    return fit_all(train, [nu], **kwargs)[0]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dayguard.operators import assemble, basic, families, staging
 from dayguard.params import Params
 from dayguard.schema import CITY_FEATURES, CLICK_FEATURES, KEY_COLS, PURCHASE_FEATURES
+from dayguard.sources.tables import file_marks
 from dayguard.sources.testdata import load_inputs
 
 P = Params.testdata()
@@ -22,14 +23,15 @@ def register(fn):
 _INPUTS: dict = {}
 
 
-def _sid(spark: SparkSession) -> str:
-    """Identity of the running application (a restarted session never matches)."""
-    return spark.sparkContext.applicationId
+def _sid(spark: SparkSession, sf: str) -> str:
+    """Identity of the running application and of the input files (a restarted session or a
+    table that was written anew never matches)."""
+    return f"{spark.sparkContext.applicationId} {file_marks(spark, sf, ('events', 'orders', 'lineitem', 'part'))}"
 
 
 def _inp(spark: SparkSession, sf: str):
     """Lazy input frames, built once per session and folder."""
-    key = (_sid(spark), sf)
+    key = (_sid(spark, sf), sf)
     if key not in _INPUTS:
         _INPUTS[key] = load_inputs(spark, sf)
     return _INPUTS[key]
@@ -94,7 +96,7 @@ def _r(c, name=None):
 def materialised_features(spark, sf) -> DataFrame:
     """The feature table written once as Parquet to the shared checkpoint folder; later
     stages (preparation, models, evaluation) read the columns and days they need."""
-    key = ("ft", _sid(spark), sf)
+    key = ("ft", _sid(spark, sf), sf)
     if key not in _CACHE:
         _CACHE[key] = pipeline.written(assemble.feature_table(_inp(spark, sf), P))
     return _CACHE[key]
@@ -105,7 +107,7 @@ def _lab(spark, sf):
 
 
 def _prepared(spark, sf) -> pipeline.Prepared:
-    key = ("prep", _sid(spark), sf)
+    key = ("prep", _sid(spark, sf), sf)
     if key not in _CACHE:
         _CACHE[key] = pipeline.prepare(_inp(spark, sf), P, materialised_features(spark, sf))
     return _CACHE[key]
@@ -212,7 +214,7 @@ def scored_labels(spark, sf) -> DataFrame:
 
 
 def _cum(spark, sf) -> DataFrame:
-    key = ("cum", _sid(spark), sf)
+    key = ("cum", _sid(spark, sf), sf)
     if key not in _CACHE:
         _CACHE[key] = curves.cumulative_counts(_scored(spark, sf))
     return _CACHE[key]
@@ -486,7 +488,7 @@ def _ae_scored(spark, sf, dims=ae.SHAPE_SMALL) -> DataFrame:
 
 
 def _ae_cum(spark, sf, dims=ae.SHAPE_SMALL) -> DataFrame:
-    key = ("ae_cum", dims, _sid(spark), sf)
+    key = ("ae_cum", dims, _sid(spark, sf), sf)
     if key not in _CACHE:
         _CACHE[key] = curves.cumulative_counts(_ae_scored(spark, sf, dims))
     return _CACHE[key]
@@ -557,7 +559,7 @@ def ae_large_period_confusion(spark, sf) -> DataFrame:
 
 
 def _ae_trained(spark, sf) -> ae.TrainResult:
-    key = ("ae", _sid(spark), sf)
+    key = ("ae", _sid(spark, sf), sf)
     if key not in _CACHE:
         pr = _prepared(spark, sf)
         _CACHE[key] = ae.train(pr.train, pr.val, ae.SHAPE_LARGE, epochs=AE_EPOCHS, batch=AE_BATCH,
@@ -584,7 +586,7 @@ IFOREST_CONTAMINATIONS = [0.1, 0.05, 0.01]
 
 
 def _forest(spark, sf):
-    key = ("if", _sid(spark), sf)
+    key = ("if", _sid(spark, sf), sf)
     if key not in _CACHE:
         _CACHE[key] = iforest.fit(_prepared(spark, sf).train, n_trees=100, max_samples=100,
                                   contamination=IFOREST_CONTAMINATIONS, seed=42)
@@ -645,11 +647,11 @@ SVM_GAMMA = 0.1
 
 
 def _svms(spark, sf) -> list[ocsvm.OneClassModel]:
-    key = ("svm", _sid(spark), sf)
+    key = ("svm", _sid(spark, sf), sf)
     if key not in _CACHE:
         train = _prepared(spark, sf).train
         frame = ae.training_frame(train, train.where(F.lit(False)), partitions=PARTITIONS)
-        _CACHE[key] = [ocsvm.fit(train, nu=nu, gamma=SVM_GAMMA, batch=AE_BATCH, frame=frame) for nu in SVM_NUS]
+        _CACHE[key] = ocsvm.fit_all(train, SVM_NUS, gamma=SVM_GAMMA, batch=AE_BATCH, frame=frame)
     return _CACHE[key]
 
 
@@ -674,7 +676,7 @@ def ocsvm_score_fixed(spark, sf) -> DataFrame:
     """Kernel-mean one-class model (seeded Fourier map, coefficients = mean
     feature vector of the training rows, offset = exact nu-quantile): decision
     and label of validation, ATO and all-fraud rows."""
-    key = ("svm0", _sid(spark), sf)
+    key = ("svm0", _sid(spark, sf), sf)
     if key not in _CACHE:
         _CACHE[key] = ocsvm.fit(_prepared(spark, sf).train, nu=SVM_NU, gamma=SVM_GAMMA, epochs=0)
     m = _CACHE[key]
@@ -704,7 +706,7 @@ def ae_period_confusion(spark, sf) -> DataFrame:
 @register
 def ae_train_small(spark, sf) -> DataFrame:
     """Best-epoch weights of the small autoencoder (36-15-7-2-7-15-36)."""
-    key = ("ae_small", _sid(spark), sf)
+    key = ("ae_small", _sid(spark, sf), sf)
     if key not in _CACHE:
         pr = _prepared(spark, sf)
         _CACHE[key] = ae.train(pr.train, pr.val, ae.SHAPE_SMALL, epochs=AE_EPOCHS, batch=AE_BATCH,
@@ -789,7 +791,7 @@ DUAL_LANDMARKS = 64
 
 
 def _duals(spark, sf) -> list[ocsvm_dual.DualModel]:
-    key = ("dual", _sid(spark), sf)
+    key = ("dual", _sid(spark, sf), sf)
     if key not in _CACHE:
         _CACHE[key] = ocsvm_dual.fit(_prepared(spark, sf).train, SVM_NUS, gamma=SVM_GAMMA, landmarks=DUAL_LANDMARKS)
     return _CACHE[key]

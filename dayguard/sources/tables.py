@@ -16,6 +16,17 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
+def file_marks(spark: SparkSession, base: str, names: tuple) -> str:
+    """Lengths and times of the tables' files, as the file system lists them."""
+    out = []
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            out += [f"{s.getLen()}-{s.getModificationTime()}" for s in fs.listStatus(path)]
+    return ",".join(out)
+
+
 @dataclass
 class Inputs:
     """The seven inputs of the reference pipeline, in its own schemas.
