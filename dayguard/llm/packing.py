@@ -34,7 +34,7 @@ from dayguard.llm.common import ragged, slices, spool, tokenizer_file
 CAPACITY, END_ID = 4096, 1
 BINS, MAX_DOCS = 128, 3
 SHARES = (1.0, 0.9, 0.75, 0.5)  # of the fitted repeat counts; the plan with the fewest sequences is taken
-CACHE = 400_000  # chunks a worker keeps
+CACHE = 150_000  # chunks a worker keeps
 # Latin letters that fold case one by one and are in composed form, then ASCII symbols (no apostrophe)
 _LETTER, _SYMBOL = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f])", "([!-&(-/:-@\\[-`{-~])"
 _LATIN = re.compile(f"({_LETTER[1:-1]}+)({_SYMBOL[1:-1]}*)")
@@ -125,7 +125,7 @@ def encoder(path: str) -> ChunkIds:
 def _pieces(path: str, capacity: int, end_id: int):
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = encoder(tokenizer_file(path))
-        for part in slices(batches, 1, most_bytes=8 << 20, most_rows=8_000):
+        for part in slices(batches, 1, most_bytes=2 << 20, most_rows=2_000):
             docs, texts = part.column(0), part.column(1).fill_null("")
             odd = pc.match_substring(texts, "<|")  # strings of special tokens are matched before anything is cut
             plain = pc.invert(odd)
