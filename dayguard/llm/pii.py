@@ -1,8 +1,10 @@
 """Personal data: fixed rules plus a character-level BiLSTM with CRF transitions (numpy).
 
 The rules find emails, IPv4 addresses, payment cards and phone numbers. The tagger is
-trained on labelled spans (the rules' spans in a bounded, hash-chosen sample of texts,
-some rewritten: other separators, no leading plus) and adds spans the rules miss.
+trained on labelled spans (the rules' spans and named secrets in a bounded, hash-chosen
+sample of texts, some rewritten: other separators, no leading plus, other lengths) and
+adds spans the rules miss: other notations, and a fifth kind, ``secret`` (keys and tokens),
+which only the tagger finds, whatever they are called.
 Every whole text is cut into windows of ``WINDOW`` characters, half overlapping; windows
 are decoded (Viterbi under tag constraints, CRF posterior as confidence) and reconciled
 over the whole text: of overlapping spans the surest stays, spans at a window's inner
@@ -27,7 +29,13 @@ from pyspark.sql import functions as F
 
 from dayguard.llm.common import spool
 
-KINDS = ("email", "ip", "card", "phone")
+KINDS = ("email", "ip", "card", "phone")  # kinds of the rules
+LEARNT = (*KINDS, "secret")  # kinds of the tagger
+# what training texts label as a secret: a long value that is named as one; the tagger learns
+# its look and finds it under other names, or none
+SECRET = re.compile(r"""(?i)\b(?:token|secret|passw(?:or)?d|api[_-]?key)\b["']?\s{0,2}[:=]\s{0,2}["']?([a-z0-9_+/-]{16,})""")
+SECRET_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_+/-")
+SECRET_SURE = 0.9  # least tag posterior of a secret, which is longer than the other kinds
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
@@ -55,6 +63,8 @@ def _digits(s: str) -> str:
 def valid(kind: str, s: str) -> bool:
     """Whether a string may stand as personal data of its kind."""
     d = _digits(s)
+    if kind == "secret":
+        return len(s) >= 16 and not set(s) - SECRET_CHARS and bool(d) and any(c.isalpha() for c in s)
     if kind == "email":
         return "@" in s[1:-1]
     if kind == "ip":
@@ -100,12 +110,19 @@ def base_spans(text: str | None, checked: bool = True) -> list[tuple[str, int, i
     return [(KINDS[k], s, e) for s, k, e in sorted(out)]
 
 
+def labelled_spans(text: str | None) -> list[tuple[str, int, int]]:
+    """What the tagger learns from a text: shapes of the rules' spans, and named secrets."""
+    secrets = [("secret", m.start(1), m.end(1)) for m in SECRET.finditer(text or "") if valid("secret", m[1])]
+    rules = [x for x in base_spans(text, checked=False) if all(x[2] <= s or x[1] >= e for _, s, e in secrets)]
+    return sorted(rules + secrets, key=lambda x: x[1])
+
+
 def joined(spans) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
 
 # --- the tagger ---------------------------------------------------------------
-N_TAGS = 1 + 2 * len(KINDS)  # O, then B and I of each kind
+N_TAGS = 1 + 2 * len(LEARNT)  # O, then B and I of each kind
 SIGNS = " \n.,@-+()_%/:;!?\"'#*$&"  # characters that are a class of their own
 N_CLASS = len(SIGNS) + 6
 _TABLE = np.full(128, 4, np.int64)
@@ -313,6 +330,8 @@ def added_spans(texts: list[str], base: list[list], model: Tagger, confidence: f
     """Spans of the tagger that meet no rule span, reconciled over each whole text."""
     jobs = [(i, s) for i, t in enumerate(texts) for s in windows_of(t)]
     found: list[list[tuple[float, int, int, int]]] = [[] for _ in texts]
+    cut: list[list[tuple[int, int, float]]] = [[] for _ in texts]  # secrets that reach over a window's edge
+    secret = LEARNT.index("secret")
     for lo in range(0, len(jobs), 256):
         part = jobs[lo:lo + 256]
         ids = np.stack([_window_ids(texts[i], s) for i, s in part])
@@ -320,8 +339,20 @@ def added_spans(texts: list[str], base: list[list], model: Tagger, confidence: f
             size = len(texts[i])
             for k, a, b, sure in spans:
                 edge = (a == 0 and s > 0) or (b >= WINDOW and s + WINDOW < size)
-                if sure >= confidence and not edge and s + b <= size:
+                if sure < (min(confidence, SECRET_SURE) if k == secret else confidence) or s + b > size:
+                    continue
+                if not edge:
                     found[i].append((-sure, s + a, s + b, k))
+                elif k == secret:
+                    cut[i].append((s + a, s + b, sure))
+    for cand, parts in zip(found, cut):  # parts of neighbouring windows that meet are one secret
+        whole: list[tuple[int, int, float]] = []
+        for s, e, sure in sorted(parts):
+            if whole and s <= whole[-1][1]:
+                whole[-1] = (whole[-1][0], max(e, whole[-1][1]), min(sure, whole[-1][2]))
+            else:
+                whole.append((s, e, sure))
+        cand += [(-sure, s, e, secret) for s, e, sure in whole]
     out = []
     for text, rules, cand in zip(texts, base, found):
         taken = [(s, e) for _, s, e in rules]
@@ -331,9 +362,14 @@ def added_spans(texts: list[str], base: list[list], model: Tagger, confidence: f
                 e -= 1
             while s < e and text[s] in " .,-)\n":
                 s += 1
-            if e > s and valid(KINDS[k], text[s:e]) and all(e <= x or s >= y for x, y in taken):
+            if k == secret:  # a key is a whole run of its characters
+                while s > 0 and text[s - 1] in SECRET_CHARS:
+                    s -= 1
+                while e < len(text) and text[e] in SECRET_CHARS:
+                    e += 1
+            if e > s and valid(LEARNT[k], text[s:e]) and all(e <= x or s >= y for x, y in taken):
                 taken.append((s, e))
-                mine.append((KINDS[k], s, e))
+                mine.append((LEARNT[k], s, e))
         out.append(mine)
     return out
 
@@ -349,6 +385,9 @@ def _rewritten(text: str, spans, r) -> tuple[str, list]:
             if kind == "phone":
                 v = v.replace("-", r.choice([" ", ".", "-"]))
                 v = v[1:].strip() if r.random() < 0.6 else v
+            elif kind == "secret":
+                v = v[:int(r.integers(20, max(21, len(v) + 1)))]
+                v = v.upper() if r.random() < 0.3 else v
             elif kind == "card" and v.isdigit():
                 sep = str(r.choice([" ", "-", "."]))
                 v = sep.join(v[i:i + 4] for i in range(0, len(v), 4))
@@ -366,10 +405,10 @@ def training_windows(texts: list[str], most: int, seed: int) -> tuple[np.ndarray
     r = np.random.default_rng(seed)
     ids, tags = [], []
     for raw in texts:
-        text, spans = _rewritten(raw, base_spans(raw, checked=False), r)
+        text, spans = _rewritten(raw, labelled_spans(raw), r)
         tag = np.zeros(len(text) + WINDOW, np.int64)
         for kind, s, e in spans:
-            k = KINDS.index(kind)
+            k = LEARNT.index(kind)
             tag[s], tag[s + 1:e] = 2 * k + 1, 2 * k + 2
         marks = sorted({m.start() // 24 for m in TRIGGER.finditer(text)})
         if len(marks) > 12:  # drawn from the whole text
@@ -390,7 +429,7 @@ def _excerpt(text: str, h: int, most: int) -> str:
     """The text, or of a longer one ``most`` characters around a span (a mark if it has none) drawn by hash."""
     if len(text) <= most:
         return text
-    places = [s for _, s, _ in base_spans(text, checked=False)] or [m.start() for m in TRIGGER.finditer(text)] or [0]
+    places = [s for _, s, _ in labelled_spans(text)] or [m.start() for m in TRIGGER.finditer(text)] or [0]
     at = max(0, places[h % len(places)] - most // 2)
     cut = text[at:at + most]
     return cut[cut.find(" ") + 1:] if at and " " in cut[:most // 4] else cut  # not from inside a word
@@ -403,7 +442,7 @@ def fit(docs: DataFrame, text_col: str = "text", *, sample: int = 400, windows:
     ``most_chars`` an excerpt from any place is taken (documented bounds of the training set)."""
     @F.pandas_udf("boolean")
     def spans(texts: pd.Series) -> pd.Series:
-        return pd.Series([bool(base_spans(x, checked=False)) for x in texts], dtype=bool)
+        return pd.Series([bool(labelled_spans(x)) for x in texts], dtype=bool)
 
     @F.pandas_udf("string")
     def excerpt(texts: pd.Series, hashes: pd.Series) -> pd.Series:
@@ -430,7 +469,7 @@ def spans_column(text: Column, model: Tagger | None, confidence: float = 0.98) -
             rules = [base_spans(t) for t in texts]
             more = added_spans(texts, rules, model, confidence) if model else [[] for _ in texts]
             yield pd.Series([[{"kind": k, "start": s, "end": e, "base": b} for s, _, k, e, b in sorted(
-                [(s, KINDS.index(k), k, e, True) for k, s, e in x] + [(s, KINDS.index(k), k, e, False) for k, s, e in y])]
+                [(s, LEARNT.index(k), k, e, True) for k, s, e in x] + [(s, LEARNT.index(k), k, e, False) for k, s, e in y])]
                 for x, y in zip(rules, more)])
 
     return find(text)

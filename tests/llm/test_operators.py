@@ -550,3 +550,21 @@ def test_registry_names():
 
 def test_digest_format():
     assert pii.digest([("email", 0, 5), ("ip", 7, 9)]) == hashlib.sha256(b"email:0:5,ip:7:9").hexdigest()
+
+
+def test_secrets_come_from_the_tagger_alone():
+    """Keys are found under names, quotes and lengths that no training text has; none in clean prose."""
+    r = random.Random(8)
+    key = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n))
+    named = ('token = "{}"', "secret: '{}'", "api_key={}", 'password: "{}"')
+    texts = [f"{prose(i, 20)} {named[i % 4].format(key(40))} {prose(i + 1, 20)} mail a{i}.b@host{i}.org at 10.0.{i % 250}.7 on +1 555 010 {1000 + i}" for i in range(160)]
+    ids, tags = pii.training_windows(texts, 1_000, 7)
+    model = pii.train(ids, tags, seed=7)
+    keys = [key(n) for n in (28, 32, 40, 64, 96) for _ in range(6)]
+    fresh = [f"{prose(900 + i, 15)} {('auth', 'sig', 'hash', 'id')[i % 4]}: '{k}', {prose(800 + i, 15)}" for i, k in enumerate(keys)]
+    got = pii.added_spans(fresh, [pii.base_spans(t) for t in fresh], model, 0.98)
+    hit = sum(("secret", t.index(k), t.index(k) + len(k)) in g for t, k, g in zip(fresh, keys, got))
+    assert hit >= 0.8 * len(keys)
+    assert all(k == "secret" for g in got for k, _, _ in g) and pii.KINDS == ("email", "ip", "card", "phone")
+    clean = [prose(3000 + i, 60) + f" in {1900 + i} and {i} more" for i in range(60)]
+    assert sum(map(len, pii.added_spans(clean, [[] for _ in clean], model, 0.98))) == 0
