@@ -117,12 +117,14 @@ def with_baseline_score(df: DataFrame) -> DataFrame:
     return df.withColumn("score", mean_square_score(FEATURES))
 
 
-def export_job(inp: Inputs, p: Params, out_dir: str, max_bytes_per_file: int | None = None) -> dict:
+def export_job(inp: Inputs, p: Params, out_dir: str, max_records_per_file: int | None = None,
+               max_bytes_per_file: int | None = None) -> dict:
     """The feature job's exports, as the original job writes them.
 
     * ``features/``: the feature table as CSV (header, NULL as ``NaN``), split by
       ``month=yyyy-MM`` directories so a monthly reader prunes to its period, no file
-      over ``max_bytes_per_file`` bytes (the original job's limit by default);
+      over ``max_bytes_per_file`` bytes (the original job's limit by default), nor over
+      ``max_records_per_file`` rows if given;
     * ``ato_rows/`` and ``fraud_rows/``: the labelled sets, one file each.
 
     The feature table is computed once (checkpoint) and read by all three writes.
@@ -138,6 +140,7 @@ def export_job(inp: Inputs, p: Params, out_dir: str, max_bytes_per_file: int | N
        .withColumn("month", F.date_format(KEY_COLS[1], "yyyy-MM"))
        .write.mode("overwrite").partitionBy("month", "file")
        .option("header", True).option("nullValue", "NaN").option("dateFormat", "yyyy-MM-dd")
+       .option("maxRecordsPerFile", int(max_records_per_file or 0))
        .csv(f"{base}/features"))
     write_csv(labels.labelled_rows(ft, lab.ato_days), f"{base}/ato_rows", single_file=True)
     write_csv(labels.labelled_rows(ft, lab.all_days), f"{base}/fraud_rows", single_file=True)
