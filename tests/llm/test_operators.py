@@ -568,3 +568,32 @@ def test_secrets_come_from_the_tagger_alone():
     assert all(k == "secret" for g in got for k, _, _ in g) and pii.KINDS == ("email", "ip", "card", "phone")
     clean = [prose(3000 + i, 60) + f" in {1900 + i} and {i} more" for i in range(60)]
     assert sum(map(len, pii.added_spans(clean, [[] for _ in clean], model, 0.98))) == 0
+
+
+def test_decode_is_the_best_path_of_all():
+    """Viterbi path and confidence against every allowed tag sequence of short windows."""
+    r = np.random.default_rng(5)
+    p = {k: v.astype(float) for k, v in pii.new_params(11).items()}
+    p["wo"], p["tr"] = 3 * r.normal(size=p["wo"].shape), r.normal(size=p["tr"].shape)
+    model, ids = pii.Tagger(p), r.integers(1, pii.N_CLASS, size=(6, 4))
+    em, _ = pii._emissions(p, ids)
+    tr, st = pii._masked(p)
+    for w, spans in enumerate(pii.decode(model, ids)):
+        paths = [x for x in itertools.product(range(pii.N_TAGS), repeat=4)
+                 if pii.START_OK[x[0]] and all(pii.ALLOWED[a, b] for a, b in itertools.pairwise(x))]
+        score = np.array([st[x[0]] + sum(em[t, w, x[t]] for t in range(4)) + sum(tr[a, b] for a, b in itertools.pairwise(x)) for x in paths])
+        weight = np.exp(score - score.max())
+        best = paths[int(score.argmax())]
+        want, t = [], 0
+        while t < 4:
+            if best[t] == 0:
+                t += 1
+                continue
+            s, k = t, (best[t] - 1) // 2
+            t += 1
+            while t < 4 and best[t] == 2 * k + 2:
+                t += 1
+            sure = min(weight[[x[i] == best[i] for x in paths]].sum() / weight.sum() for i in range(s, t))
+            want.append((k, s, t, sure))
+        assert [x[:3] for x in spans] == [x[:3] for x in want]
+        assert np.allclose([x[3] for x in spans], [x[3] for x in want], atol=1e-6)
