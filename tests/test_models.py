@@ -145,3 +145,13 @@ def test_leaf_boxes_score_like_the_descent(spark):
         by_tree.setdefault(t, set()).add(leaf)
     leaves = nodes[nodes["feature"] < 0].groupby("tree")["node"].agg(set).to_dict()
     assert by_tree == leaves
+
+
+def test_bottom_rows_are_those_of_the_window_sampler(spark):
+    x = np.random.default_rng(12).normal(size=(300, len(COLS)))
+    df = _frame(spark, x)
+    rows = lambda d: {(r["tree"], r["rn"]): tuple(r["x"]) for r in d.collect()}
+    for m in (16, 400):  # the pool of the window sampler is the whole table
+        want, n = iforest.sample_for_trees(df, 7, m, 42, COLS)
+        got = [rows(iforest.bottom_rows(df.repartition(p), 7, m, 42, COLS)) for p in (1, 5)]
+        assert got[0] == got[1] == rows(want) and len(got[0]) == 7 * n
