@@ -19,6 +19,7 @@ from __future__ import annotations
 import bisect
 import itertools
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -34,7 +35,7 @@ from dayguard.llm.common import ragged, slices, spool, tokenizer_file
 CAPACITY, END_ID = 4096, 1
 BINS, MAX_DOCS = 128, 3
 SHARES = (1.0, 0.9, 0.75, 0.5)  # of the fitted repeat counts; the plan with the fewest sequences is taken
-CACHE = 150_000  # chunks a worker keeps
+CACHE = 200_000  # chunks a worker keeps
 # Latin letters that fold case one by one and are in composed form, then ASCII symbols (no apostrophe)
 _LETTER, _SYMBOL = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f])", "([!-&(-/:-@\\[-`{-~])"
 _LATIN = re.compile(f"({_LETTER[1:-1]}+)({_SYMBOL[1:-1]}*)")
@@ -58,13 +59,13 @@ class ChunkIds(dict):
         from tokenizers.pre_tokenizers import ByteLevel
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.byte_level, self.spelled = ByteLevel(add_prefix_space=False, use_regex=False), {}
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelled = {c: spell(chr(c))[0][0] for c in range(0xc0, 0x250)}  # the letters of _LETTER beyond ASCII
 
     def letters(self, word: str) -> bytes:
         """Ids of lower-case Latin letters: the merges of their bytes."""
-        for c in set(word) - self.spelled.keys():
-            self.spelled[c] = self.byte_level.pre_tokenize_str(c)[0][0]
-        return np.array([t.id for t in self.tokenizer.model.tokenize("".join(map(self.spelled.__getitem__, word)))], "<u4").tobytes()
+        tokens = self.tokenizer.model.tokenize(word if word.isascii() else word.translate(self.spelled))
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
