@@ -20,10 +20,18 @@ from dayguard.llm.common import read_table, spool
 from dayguard.llm.queries import TOKENIZERS
 
 TOXIC_FROM = 0.3
+BATCH_ROWS = 1_000  # texts that a Python task is handed at a time; they can be long
+
+
+def _small_batches(spark: SparkSession) -> None:
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays under TOXIC_FROM; learnt from all labelled rows."""
+    _small_batches(spark)
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
     aside = {c: _free(f"_{c}", docs.columns) for c in docs.columns if c.lower() == "tox"}
     scored = toxicity.score(docs.withColumnsRenamed(aside), model)
@@ -32,6 +40,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the suffix-array limits keep."""
+    _small_batches(spark)
     q = _free("_q", docs.columns)
     return docs.where(F.col("text").isNotNull()).withColumn(
         q, repetition.stats_column(F.col("text"))).where(repetition.keeps(F.col(q))).select(*docs.columns)
@@ -44,6 +53,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     told apart by a hash of id and text, so each text of such an id is judged on its own.
     Of rows equal in id and text the least by the other columns stays.
     """
+    _small_batches(spark)
     columns = docs.columns
     row = _free("_row", columns)
     twice = spool(docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(row)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(row))
@@ -73,6 +83,7 @@ def _free(name: str, columns: list[str]) -> str:
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind; n_chars follows the new text."""
+    _small_batches(spark)
     spans = pii.spans_column(F.col("text"), pii.fit(docs))
     name = _free("_new", docs.columns)
     new = docs.withColumn(name, pii.redacted(F.col("text"), spans))
@@ -82,6 +93,7 @@ def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of every document and their place in the sequences."""
+    _small_batches(spark)
     return packing.pack(packing.pieces(docs, f"{TOKENIZERS}/word_bpe_49k.json"))
 
 
