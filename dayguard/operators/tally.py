@@ -4,16 +4,23 @@ The warehouse formulation pairs every (customer, day) with every earlier row of
 the same customer (``t1.day > t2.day``) and counts distinct values: work grows
 with the square of the history length and a hot customer lands in one task.
 
-Here every history row is exploded into tagged values, and two hash
-aggregations plus one window replace all those joins:
+Here the history rows are dealt by customer once, as narrow as the inputs have them; then
+every row is exploded into tagged values, and two hash aggregations plus one window, all of
+them inside the customer's task, replace those joins:
 
 1. ``groupBy(customer, tag, value).min(day)``: the day each value was first
-   seen (map-side partial aggregation; a hot customer is spread by value).
+   seen.
 2. ``groupBy(customer, day)``: per tag, how many values were first seen that
    day.  Rows per customer are bounded by the number of days.
 3. running sum over ``partitionBy(customer).orderBy(day)`` up to the previous
    row gives "distinct values seen before the day".
 
+Exploded rows are several times as many as the history rows and much wider, so they never
+cross the network, and the rows are dealt over ``SPREAD`` times the usual number of tasks
+(which AQE leaves as they are) so that a task's values stay in its memory: sized by the
+bytes of the narrow rows, the tasks would spill. A hot customer's rows are streamed by one
+task, which holds its distinct values only.
+
 A tag may instead be *per day* (its value includes the day) to count distinct
 values, or the presence of rows, on each day of a window, and may sum measures
 per value.  Rows of step 1 merge associatively, which is what the incremental
@@ -31,6 +38,7 @@ from pyspark.sql import functions as F
 
 KEY = "customer_id"
 DAY = "day"
+SPREAD = 4  # tasks of the tallies, times the session's shuffle partitions
 
 
 def sql_str(s: str) -> str:
@@ -113,6 +121,11 @@ def _item(tag: int, t: Tally, window: tuple[dt.date, dt.date], slots: Slots) ->
     return f"CASE WHEN {cond} THEN named_struct({whole}) END"
 
 
+def by_customer(df: DataFrame) -> DataFrame:
+    """``df`` dealt by customer: what groups by customer and more needs no further shuffle."""
+    return df.repartition(SPREAD * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), KEY)
+
+
 def merge_rows(rows: DataFrame, slots: Slots) -> DataFrame:
     """One row per (customer, value): first day and summed measures. Merging is associative,
     so rows of several batches may be merged in any order."""
@@ -127,7 +140,7 @@ def first_rows(sources: list[tuple[DataFrame, list[Tally]]], window: tuple[dt.da
     exploded = None
     for df, ts in sources:
         items = "array(" + ", ".join(_item(tag[t.name], t, window, slots) for t in ts) + ")"
-        e = (df.select(KEY, DAY, F.explode(F.expr(items)).alias("x")).where("x IS NOT NULL")
+        e = (by_customer(df).select(KEY, DAY, F.explode(F.expr(items)).alias("x")).where("x IS NOT NULL")
              .select(KEY, DAY, "x.e", *[f"x.m.{m}" for m in slots.measures]))
         exploded = e if exploded is None else exploded.unionByName(e)
     return merge_rows(exploded, slots)
