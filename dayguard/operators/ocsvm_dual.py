@@ -13,8 +13,9 @@ wanted rank, then sums of z below it and in 256 cuts of it. What is left is spre
 over one cut, so the point is feasible and off the best by less than a cut.
 
 |w|^2 - w.v, v bounded from below by the cut's edge, is the duality gap: a certificate, not
-an estimate. Mapped rows are written once and read each round; all nu share the rounds. The
-offset is the exact nu-quantile of the training scores.
+an estimate. Mapped rows are written once, as blocks of ``BLOCK`` rows of doubles that a task
+takes as one array without touching single values, and read each round; all nu share the
+rounds. The offset is the exact nu-quantile of the training scores.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +36,7 @@ from dayguard.schema import FEATURES, KEY_COLS
 from dayguard.session import ensure_checkpoint_dir
 
 BINS, CUTS = 4096, 256
+BLOCK = 1024  # mapped rows in one stored value (512 KB at 64 dimensions)
 
 
 def rbf(x: np.ndarray, y: np.ndarray, gamma: float) -> np.ndarray:
@@ -64,6 +67,18 @@ def _mapped(x: np.ndarray, landmarks, mapping, gamma) -> np.ndarray:
     return rbf(x, landmarks, gamma) @ mapping
 
 
+def _rows(column: pa.Array, width: int) -> np.ndarray:
+    """The rows of a list column whose lists have ``width`` doubles."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _blocks(batches, width: int):
+    """The stored blocks as arrays of rows."""
+    for b in batches:
+        for block in b.column(0):
+            yield np.frombuffer(block.as_buffer(), dtype=np.float64).reshape(-1, width)
+
+
 def decision_column(m: DualModel, cols: list[str] = FEATURES) -> Column:
     """w.z(x) - rho: negative = outlier."""
     landmarks, mapping, w, rho, gamma = m.landmarks, m.mapping, m.w, float(m.rho), m.gamma
@@ -84,21 +99,27 @@ def _histogram(z: DataFrame, ws: dict[int, np.ndarray]) -> dict[int, np.ndarray]
     """Rows per bin of the scores w.z over [-|w|, |w|]."""
     def run(it):
         out = {i: np.zeros(BINS, dtype=np.int64) for i in ws}
-        for f in it:
-            if len(f):
-                x = np.stack(f["z"].to_numpy())
-                for i, w in ws.items():
-                    out[i] += np.bincount(_bin(x @ w, w), minlength=BINS)
+        for x in _blocks(it, _width(ws)):
+            for i, w in ws.items():
+                out[i] += np.bincount(_bin(x @ w, w), minlength=BINS)
         for i, n in out.items():
             at = np.flatnonzero(n)
-            yield pd.DataFrame({"i": i, "b": at, "n": n[at]})
-    got = z.mapInPandas(run, "i int, b int, n long").groupBy("i", "b").agg(F.sum("n").alias("n")).toPandas()
+            yield _batch(i=(np.full(len(at), i), pa.int32()), b=(at, pa.int32()), n=(n[at], pa.int64()))
+    got = z.mapInArrow(run, "i int, b int, n long").groupBy("i", "b").agg(F.sum("n").alias("n")).toPandas()
     out = {i: np.zeros(BINS, dtype=np.int64) for i in ws}
     for i, part in got.groupby("i"):
         out[i][part["b"].to_numpy()] = part["n"].to_numpy()
     return out
 
 
+def _width(ws: dict[int, np.ndarray]) -> int:
+    return len(next(iter(ws.values())))
+
+
+def _batch(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], names=list(columns))
+
+
 def _bin(score: np.ndarray, w: np.ndarray) -> np.ndarray:
     reach = float(np.linalg.norm(w)) or 1.0  # |z| <= 1, as k(x, x) = 1
     return np.clip(((score / reach + 1.0) * (BINS / 2)).astype(np.int64), 0, BINS - 1)
@@ -123,23 +144,22 @@ def lowest_points(z: DataFrame, n: int, ws: dict[int, np.ndarray], mass: dict[in
 
     def run(it):
         sums: dict = {}
-        for f in it:
-            if len(f):
-                x = np.stack(f["z"].to_numpy())
-                for i, w in ws.items():
-                    s = x @ w
-                    b = _bin(s, w)
-                    low, mid = b < at[i], b == at[i]
-                    c = _cut(s[mid], w, at[i])
-                    for key, rows in [(-1, x[low]), *[(int(k), x[mid][c == k]) for k in np.unique(c)]]:
-                        if len(rows):
-                            old = sums.get((i, key))
-                            new = np.concatenate(([len(rows)], rows.sum(axis=0)))
-                            sums[(i, key)] = new if old is None else old + new
+        for x in _blocks(it, _width(ws)):
+            for i, w in ws.items():
+                s = x @ w
+                b = _bin(s, w)
+                low, mid = b < at[i], b == at[i]
+                c, rest = _cut(s[mid], w, at[i]), x[mid]
+                for key, rows in [(-1, x[low]), *[(int(k), rest[c == k]) for k in np.unique(c)]]:
+                    if len(rows):
+                        old = sums.get((i, key))
+                        new = np.concatenate(([len(rows)], rows.sum(axis=0)))
+                        sums[(i, key)] = new if old is None else old + new
         for (i, key), v in sums.items():
-            yield pd.DataFrame({"i": i, "c": key, "j": np.arange(len(v)), "v": v})
+            n = len(v)
+            yield _batch(i=(np.full(n, i), pa.int32()), c=(np.full(n, key), pa.int32()), j=(np.arange(n), pa.int32()), v=(v, pa.float64()))
 
-    got = z.mapInPandas(run, "i int, c int, j int, v double").groupBy("i", "c", "j").agg(F.sum("v").alias("v")).toPandas()
+    got = z.mapInArrow(run, "i int, c int, j int, v double").groupBy("i", "c", "j").agg(F.sum("v").alias("v")).toPandas()
     out = {}
     for i, w in ws.items():
         mine = got[got["i"] == i].pivot(index="c", columns="j", values="v").sort_index()
@@ -203,17 +223,26 @@ def fit(train: DataFrame, nus: list[float], gamma: float = 0.1, landmarks: int =
         return []
     mapping = nystroem(points, gamma)
 
+    width = mapping.shape[1]
+
     def mapped(it):
-        for f in it:
-            if len(f):
-                yield pd.DataFrame({"z": list(_mapped(np.stack(f["x"].to_numpy()), points, mapping, gamma))})
+        for b in it:
+            rows = _mapped(_rows(b.column(0), len(cols)), points, mapping, gamma)
+            parts = [rows[s:s + BLOCK].tobytes() for s in range(0, len(rows), BLOCK)]
+            yield _batch(z=(parts, pa.binary()))
+
+    def summed(it):
+        total = np.zeros(1 + width)
+        for rows in _blocks(it, width):
+            total += np.concatenate(([len(rows)], rows.sum(axis=0)))
+        yield _batch(j=(np.arange(1 + width), pa.int32()), v=(total, pa.float64()))
 
     path = f"{ensure_checkpoint_dir(train.sparkSession).rstrip('/')}/mapped-{uuid.uuid4().hex}"
-    train.select(x).mapInPandas(mapped, "z array<double>").write.parquet(path)
-    z = train.sparkSession.read.schema("z array<double>").parquet(path)
-    n = z.count()
+    train.select(x).mapInArrow(mapped, "z binary").write.parquet(path)
+    z = train.sparkSession.read.schema("z binary").parquet(path)
+    sums = z.mapInArrow(summed, "j int, v double").groupBy("j").agg(F.sum("v").alias("v")).orderBy("j").collect()  # a row per dimension
+    n, mean = int(sums[0]["v"]), np.array([r["v"] for r in sums[1:]]) / sums[0]["v"]
     mass = {i: max(1.0, nu * n) for i, nu in enumerate(nus)}
-    mean = np.array([r["m"] for r in z.select(F.posexplode("z")).groupBy("pos").agg(F.avg("col").alias("m")).orderBy("pos").collect()])
     corrals = {i: Corral(mean) for i in mass}  # the kernel mean is a point of every reduced hull
     gaps, rounds, open_ = dict.fromkeys(mass, np.inf), dict.fromkeys(mass, 0), set(mass)
     for _ in range(max_rounds):
