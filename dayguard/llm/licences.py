@@ -3,9 +3,10 @@
 Method (DataFrame functions only): every line of every whole text, and every run of two to
 ``WRAP`` lines (a notice may be wrapped), is compared with one-notice templates. Term
 frequencies are weighted by smoothed inverse frequencies counted over the lines that speak
-of a licence; terms no template has weigh like the rarest. Lines whose
-shared terms cannot reach ``MIN_COSINE`` by an upper bound (see ``telling``) are passed over:
-no line of that cosine is left out. The best cosine picks the licence; at least
+of a licence; terms no template has weigh like the rarest. Every line is cut into terms and
+measured once; runs are judged by sums over their lines (see ``near_runs``), and only those
+that may reach ``MIN_COSINE`` are put together and scored: no line or run of that cosine is
+left out. The best cosine picks the licence; at least
 ``MIN_COSINE`` counts. Files with a licence file's name are compared as a whole with the
 full texts in ``licence_texts`` too (at least ``WHOLE_COSINE``), which goes before lines. Such
 a file gives its licence to its directory; files without one of their own take the licence
@@ -21,15 +22,17 @@ a null path has no directory and inherits nothing.
 
 from __future__ import annotations
 
+import math
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayguard.llm.common import spool
 
 MIN_COSINE, WHOLE_COSINE, WRAP = 0.6, 0.8, 4
 LICENCE_FILE = r"(?i)(^|/)(un)?(licen[sc]e|copying)s?([-_][a-z0-9+-]+(\.[0-9]+)*|\.lesser|\.lib)?(\.(txt|md|markdown|rst|adoc|html?))?$"
+TERM = "[a-z0-9](?:[a-z0-9.]*[a-z0-9])?"  # letters, digits and dots, none of these at either end
 SPEAKS = "(?i)licen[sc]e|copyright|spdx|warranty|permission is hereby"
 # fixed values: common notice lines of public licences
 TEMPLATES = (
@@ -61,35 +64,21 @@ TEXTS = Path(__file__).parent / "licence_texts"
 
 
 def terms(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), "[^a-z0-9.]+"), lambda t: F.length(F.translate(t, ".", "")) > 0)
-
-
-def clean(terms_: Column) -> Column:
-    return F.transform(terms_, lambda t: F.btrim(t, F.lit(".")))
+    return F.regexp_extract_all(F.lower(line), F.lit(TERM), 0)
 
 
 def template_terms(spark: SparkSession, templates) -> DataFrame:
     rows = [(i, name, line) for i, (name, line) in enumerate(templates)]
     t = spark.createDataFrame(rows, "template int, licence string, line string")
-    return (t.select("template", "licence", F.explode(clean(terms(F.col("line")))).alias("term"))
+    return (t.select("template", "licence", F.explode(terms(F.col("line"))).alias("term"))
             .groupBy("template", "licence", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def runs(text: Column) -> Column:
-    """Every line and every run of 2 to WRAP lines of a text."""
-    line = F.split(text, "\n")
-    every, out = line, line
-    for k in range(1, WRAP):
-        every = F.zip_with(every, F.slice(line, k + 1, 2**31 - 1), lambda a, b: F.concat_ws(" ", a, b))
-        out = F.concat(out, every)
-    return F.array_distinct(out)  # equal lines have equal cosines
-
-
 def spoken_lines(texts: DataFrame) -> DataFrame:
     """The terms of every line that speaks of a licence."""
     return spool(texts.where(F.col("text").rlike(SPEAKS))
                  .select(F.explode(F.filter(F.split("text", "\n"), lambda x: x.rlike(SPEAKS))).alias("words"))
-                 .select(clean(terms(F.col("words"))).alias("terms")))
+                 .select(terms(F.col("words")).alias("terms")))
 
 
 def weighted(t: DataFrame, idf: DataFrame) -> DataFrame:
@@ -113,32 +102,49 @@ def cosines(lines: DataFrame, tv: DataFrame, idf: DataFrame, rarest: Column, lea
     return best.select("key", F.col("b.licence").alias("licence"), (-F.col("b.c")).alias("cosine"))
 
 
-def telling(tv: DataFrame):
-    """(pattern of terms, condition on a candidate's terms): every line of MIN_COSINE to a template meets both.
+def measured(lines: Column, tv: DataFrame, idf: DataFrame, rarest: float) -> Column:
+    """What a run of lines needs of each of its lines: ``dots``, its products with every template over the
+    template's norm, ``most``, the largest of them, and ``square``, a lower bound of its squared norm (a term that no template has counts as often as it occurs).
 
-    The pattern has the terms of each template but its lightest, whose norm stays under that share
-    of the template's. The condition is Cauchy-Schwarz over the shared terms: with Q their share of
-    the template's squared norm, D different terms that no template has and at most m places left
-    for the shared ones, none weighing more than the rarest, the cosine is at most
-    sqrt(Q m^2 / (m^2 + D)).
+    Products of lines add up to the run's and squared norms to no more than the run's.
     """
-    up = Window.partitionBy("template").orderBy("tw", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    least = (MIN_COSINE - 1e-4) ** 2
-    light = F.sum(F.col("tw") * F.col("tw")).over(up) < F.lit(least) * F.col("tn") * F.col("tn")
-    rows = tv.withColumn("light", light).collect()  # bounded by the templates
-    heavy = sorted({r["term"].replace(".", r"\.") for r in rows if not r["light"]})
-    vocab = F.array(*map(F.lit, sorted({r["term"] for r in rows})))
-    shares = F.array(*[F.create_map(*[F.lit(x) for r in rows if r["template"] == i for x in (r["term"], (r["tw"] / r["tn"]) ** 2)])
-                       for i in sorted({r["template"] for r in rows})])
-
-    def near(t: Column) -> Column:
-        shared = F.array_intersect(t, vocab)
-        other = (F.size(F.array_distinct(t)) - F.size(shared)).cast("double")
-        m2 = F.pow(F.size(t) - other, F.lit(2.0))
-        return F.exists(shares, lambda q: F.aggregate(shared, F.lit(0.0), lambda s, x: s + F.coalesce(F.try_element_at(q, x), F.lit(0.0)))
-                        * m2 >= F.lit(least) * (m2 + other))
-
-    return "(?<![a-z0-9])(?:" + "|".join(heavy) + ")(?![a-z0-9])", near
+    rows = tv.collect()  # bounded by the templates
+    weight = {r["term"]: r["idf"] for r in idf.collect()}
+    vocab = sorted(weight)
+    place = F.array(*map(F.lit, vocab))
+    squares = F.array(*[F.lit(weight[t] ** 2) for t in vocab])
+    share = {(r["template"], r["term"]): weight[r["term"]] * r["tw"] / r["tn"] for r in rows}
+    shares = F.array(*[F.array(*[F.lit(share.get((i, t), 0.0)) for t in vocab]) for i in sorted({r["template"] for r in rows})])
+    number = F.transform(lines, lambda x: terms(x))
+    number = F.transform(number, lambda t: F.struct(
+        F.array_sort(F.transform(F.filter(t, lambda x: x.isin(vocab)), lambda x: F.array_position(place, x).cast("int"))).alias("v"),
+        F.size(t).alias("n")))
+    same = lambda a, x: F.when(a["last"] == x, a["times"] + 1).otherwise(F.lit(1))
+    start = F.struct(F.lit(0).alias("last"), F.lit(0).alias("times"), F.lit(0.0).alias("sum"))
+    # a term's k-th occurrence adds 2 k - 1 to its squared frequency
+    known = lambda v: F.aggregate(v, start, lambda a, x: F.struct(
+        x.alias("last"), same(a, x).alias("times"), (a["sum"] + F.element_at(squares, x) * (2 * same(a, x) - 1)).alias("sum")), lambda a: a["sum"])
+    number = F.transform(number, lambda t: F.struct(
+        F.transform(shares, lambda q: F.aggregate(t["v"], F.lit(0.0), lambda a, x: a + F.element_at(q, x))).alias("dots"),
+        (known(t["v"]) + (t["n"] - F.size(t["v"])) * F.lit(rarest * rarest)).alias("square")))
+    return F.transform(number, lambda t: F.struct(t["dots"].alias("dots"), F.array_max(t["dots"]).alias("most"), t["square"].alias("square")))
+
+
+def near_runs(lines: Column, measures: Column, templates: int) -> Column:
+    """Every different line and run of 2 to WRAP lines that may have MIN_COSINE to a template: none of that cosine is left out."""
+    least = F.lit(MIN_COSINE - 1e-4)
+    total = lambda run, f: F.aggregate(run, F.lit(0.0), lambda a, x: a + f(x))
+
+    def near(run: Column) -> Column:
+        enough = lambda dot: dot >= F.greatest(F.lit(1e-9), least * F.sqrt(total(run, lambda x: x["square"])))
+        return enough(total(run, lambda x: x["most"])) & F.exists(
+            F.sequence(F.lit(1), F.lit(templates)), lambda i: enough(total(run, lambda x: F.element_at(x["dots"], i))))
+
+    found = []
+    for k in range(1, WRAP + 1):
+        starts = F.when(F.size(lines) >= k, F.sequence(F.lit(1), F.size(lines) - (k - 1))).otherwise(F.array().cast("array<int>"))
+        found.append(F.transform(F.filter(starts, lambda i: near(F.slice(measures, i, F.lit(k)))), lambda i: F.concat_ws(" ", F.slice(lines, i, F.lit(k)))))
+    return F.array_distinct(F.concat(*found))  # equal lines have equal cosines
 
 
 def best_lines(texts: DataFrame, spoken: DataFrame, templates=TEMPLATES) -> DataFrame:
@@ -152,9 +158,11 @@ def best_lines(texts: DataFrame, spoken: DataFrame, templates=TEMPLATES) -> Data
     idf = spool(vocab.join(seen, "term", "left").select(
         "term", (F.log(F.lit(n + 1.0) / (F.coalesce("df", F.lit(0)) + 1)) + 1).alias("idf")))
     tv = weighted(t, idf)
-    tells, near = telling(tv)
-    some = F.transform(F.filter(runs(F.col("text")), lambda x: F.lower(x).rlike(tells)), lambda x: clean(terms(x)))
-    lines = spool(texts.where(F.lower("text").rlike(tells)).select("key", F.posexplode(F.filter(some, near)).alias("line", "terms")))
+    measures = measured(F.col("lines"), tv, idf, math.log(n + 1.0) + 1)
+    split = texts.where("text IS NOT NULL").select("key", F.split("text", "\n").alias("lines"))
+    runs = split.select("key", "lines", measures.alias("measures")).select(
+        "key", F.posexplode(near_runs(F.col("lines"), F.col("measures"), len(templates))).alias("line", "run"))
+    lines = spool(runs.select("key", "line", terms(F.col("run")).alias("terms")))
     return cosines(lines, tv, idf, F.log(F.lit(n + 1.0)) + 1, MIN_COSINE)
 
 
@@ -163,7 +171,7 @@ def whole_texts(files: DataFrame) -> DataFrame:
     full = [(p.stem, p.read_text(encoding="utf-8")) for p in sorted(TEXTS.glob("*.txt"))]
     t = template_terms(files.sparkSession, full)
     idf = spool(t.groupBy("term").agg((F.log(F.lit(len(full) + 1.0) / (F.count(F.lit(1)) + 1)) + 1).alias("idf")))
-    texts = files.where(F.col("path").rlike(LICENCE_FILE)).select("key", F.lit(0).alias("line"), clean(terms(F.col("text"))).alias("terms"))
+    texts = files.where(F.col("path").rlike(LICENCE_FILE)).select("key", F.lit(0).alias("line"), terms(F.col("text")).alias("terms"))
     return cosines(texts, weighted(t, idf), idf, F.log(F.lit(len(full) + 1.0)) + 1, WHOLE_COSINE)
 
 

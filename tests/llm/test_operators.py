@@ -447,6 +447,30 @@ def test_licences_without_a_gate_word_wrapped_and_whole(spark):
                    6: ("MIT", "inherited"), 7: ("GPL-3.0", "own"), 8: ("MIT", "own"), 9: (None, "none")}
 
 
+def test_licence_candidates_are_few_and_none_is_lost(spark):
+    prose = "\n".join("the cat and the dog of this work may not be in the garden with you or by the public house " * 4 + f"row {i}" for i in range(12))
+    texts = spark.createDataFrame([(1, prose), (2, f"{prose}\n# This work is licensed under\n# the GNU General Public\n# License, version 3.\n{prose}"),
+                                   (3, ""), (4, None), (5, "Released under the MIT License."), (6, "x MIT.License 1.2.0 .. v"),
+                                   (7, "\n".join(["the licence of this work and you may not be in or by the public with it"] * 200))], "key long, text string")
+    spoken = licences.spoken_lines(texts)
+    n, t = spoken.count(), licences.template_terms(spark, licences.TEMPLATES)
+    seen = spoken.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    idf = t.select("term").distinct().join(seen, "term", "left").select("term", (F.log(F.lit(n + 1.0) / (F.coalesce("df", F.lit(0)) + 1)) + 1).alias("idf"))
+    tv, rarest = licences.weighted(t, idf), math.log(n + 1.0) + 1
+    lines = texts.select("key", F.split("text", "\n").alias("lines"))
+    measures = licences.measured(F.col("lines"), tv, idf, rarest)
+    got = {r["key"]: r["runs"] for r in lines.select("key", "lines", measures.alias("m")).select(
+        "key", licences.near_runs(F.col("lines"), F.col("m"), len(licences.TEMPLATES)).alias("runs")).collect()}
+    assert got[1] == [] and got[3] == [] and not got[4] and len(got[2]) <= 6
+    every = [(k, i, " ".join(r["lines"][i:i + w])) for r in lines.where("lines IS NOT NULL").collect() for k in [r["key"]]
+             for i in range(len(r["lines"])) for w in range(1, licences.WRAP + 1) if i + w <= len(r["lines"])]
+    rows = spark.createDataFrame([(j, 0, x) for j, (_, _, x) in enumerate(every)], "key int, line int, x string").select(
+        "key", "line", licences.terms(F.col("x")).alias("terms"))
+    reach = licences.cosines(rows, tv, idf, F.lit(rarest), licences.MIN_COSINE).collect()
+    assert {every[r["key"]][0] for r in reach} >= {2, 5}
+    assert all(every[r["key"]][2] in got[every[r["key"]][0]] for r in reach)
+
+
 # 9
 def test_maximal_segments_by_definition():
     r = random.Random(3)
