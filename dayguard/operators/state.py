@@ -3,17 +3,18 @@
 The store holds, besides the feature table by month, what the tallies need to go on:
 
 * ``seen``: (customer, tag, value) with its first day, cut by customer bucket;
-* ``daily``: the per-day values with their sums, cut by month.
+* ``daily``: the per-day values with their sums, cut by day.
 
 Both are the rows of ``tally.first_rows``, which merge associatively (first day = minimum,
-sums add), so a batch is tallied alone and merged into the buckets and months it touches.
+sums add), so a batch is tallied alone and merged into the buckets and days it touches;
+where these have no rows yet, the batch's rows are written as they are.
 A row that comes late, for a day long past, only moves a first day or adds to a day's
 values: any order of batches ends in the same state. Feature rows can change only for the
 batch's customers from their earliest day in it on; these rows alone are computed again, from the state of
 their buckets, and replace the old ones in their months. One manifest commits all of it.
 
-Plan of ``append``: scan of the batch, one merge per touched bucket and month, one window
-over the touched customers. Nothing reads order lines, hits or sessions of earlier batches.
+Plan of ``append``: scan of the batch, one merge per touched bucket and day, one window
+over the touched customers, which reads per-day values from their earliest day in the batch on only. Nothing reads order lines, hits or sessions of earlier batches.
 """
 
 from __future__ import annotations
@@ -38,6 +39,10 @@ def _month(day) -> F.Column:
     return F.date_format(day, "yyyy-MM")
 
 
+def _day(day) -> F.Column:
+    return F.date_format(day, "yyyy-MM-dd")
+
+
 @dataclass
 class FeatureState:
     """A feature table and its tallies in a folder that all executors share."""
@@ -49,7 +54,10 @@ class FeatureState:
     @staticmethod
     def open(spark, path: str, params: Params, buckets: int = BUCKETS) -> "FeatureState":
         """``buckets`` belongs to the store: always open it with the same number."""
-        return FeatureState(Store.open(spark, path), params, buckets)
+        store = Store.open(spark, path)
+        if any(kind == "daily" and len(part) < len("yyyy-MM-dd") for kind, part in store.parts):
+            raise ValueError(f"{path} holds per-day values by month, as earlier versions cut them: take the batches in anew")
+        return FeatureState(store, params, buckets)
 
     def bucket(self) -> F.Column:
         return F.format_string("%05d", F.pmod(F.xxhash64(KEY), F.lit(self.buckets)))
@@ -68,14 +76,17 @@ class FeatureState:
             return self
         schema = rows.schema
         seen = rows.where("e.d IS NULL").withColumn("part", self.bucket())
-        daily = rows.where("e.d IS NOT NULL").withColumn("part", _month("e.d"))
+        daily = rows.where("e.d IS NOT NULL").withColumn("part", _day("e.d"))
         changed: dict = {}
         for kind, part in (("seen", seen), ("daily", daily)):
-            touched = [r[0] for r in part.select("part").distinct().collect()]  # at most buckets or months
-            old = self.store.read(kind, schema, touched)
-            cut = self.bucket() if kind == "seen" else _month("e.d")
-            merged = merge_rows(part.select(*schema.names).unionByName(old), slots).withColumn("part", cut)
-            changed |= self.store.write(kind, merged)
+            touched = [r[0] for r in part.select("part").distinct().collect()]  # at most buckets or days
+            both = [p for p in touched if (kind, p) in self.store.parts]
+            cut = self.bucket() if kind == "seen" else _day("e.d")
+            if len(both) < len(touched):  # one row per value already
+                changed |= self.store.write(kind, part.where(~F.col("part").isin(both)))
+            if both:
+                new = part.where(F.col("part").isin(both)).select(*schema.names)
+                changed |= self.store.write(kind, merge_rows(new.unionByName(self.store.read(kind, schema, both)), slots).withColumn("part", cut))
         after = Store(self.store.spark, self.store.path, self.store.version, {**self.store.parts, **changed}, self.store.batches)
         since = rows.groupBy(KEY).agg(F.min(DAY).alias("since"))
         again = FeatureState(after, self.params, self.buckets)._features(schema, tallies, fams, since)
@@ -86,8 +97,11 @@ class FeatureState:
         """Feature rows of the customers in ``since`` from their day ``since`` on, out of the state."""
         since = stored(since)
         parts = [r[0] for r in since.select(self.bucket().alias("b")).distinct().collect()]
-        first = self.store.read("seen", schema, parts).unionByName(self.store.read("daily", schema))
-        mine = first.join(since.select(KEY), KEY, "left_semi").select(*schema.names)
+        from_day = since.agg(F.min(_day("since"))).first()[0]
+        days = [p for k, p in self.store.parts if k == "daily" and from_day is not None and p >= from_day]
+        # earlier days' own values change no row from ``since`` on
+        daily = self.store.read("daily", schema, days).join(since, KEY).where(F.col("e.d") >= F.col("since")).select(*schema.names)
+        mine = self.store.read("seen", schema, parts).join(since.select(KEY), KEY, "left_semi").select(*schema.names).unionByName(daily)
         out = families.outputs_of(day_counts(mine, tallies), fams)
         begin = since.select(F.col(KEY).alias(KEY_COLS[0]), "since")
         return out.join(begin, KEY_COLS[0]).where(F.col(KEY_COLS[1]) >= F.col("since")).select(*KEY_COLS, *FEATURES)

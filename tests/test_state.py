@@ -74,6 +74,14 @@ def test_only_touched_parts_are_written(spark, everything, tmp_path):
     assert t.features().where(F.col("CUSTOMER_ID") != 7).count() == s.features().where(F.col("CUSTOMER_ID") != 7).count()
 
 
+def test_days_without_new_rows_are_not_written_again(spark, everything, tmp_path):
+    s = FeatureState.open(spark, str(tmp_path), P, buckets=4).append("b1", batch_of(everything, 1))
+    t = s.append("b2", batch_of(everything, 2))
+    old = {k: f for k, f in s.store.parts.items() if k[0] == "daily"}
+    assert old and all(t.store.parts[k] == f for k, f in old.items())  # batch 2 has later days only
+    assert any(k[0] == "daily" and k not in old for k in t.store.parts)
+
+
 def test_empty_batch(spark, everything, tmp_path):
     none = {n: getattr(everything, n).where("false") for n in ("order_line", "ga_sessions", "hits_products", "hits_union")}
     s = FeatureState.open(spark, str(tmp_path), P, 4).append("none", dataclasses.replace(everything, **none))
