@@ -49,7 +49,8 @@ from dayguard.llm.common import Scratch, mix64, ragged, slices, spool
 
 BAND = 1.5
 PARITY_WORDS = 16      # 64-bit words of the smallest parity sketch; larger sets have two bits a member
-CACHE = 150_000        # word hashes a task keeps
+CACHE = 40_000         # word hashes a task keeps
+SLICE_ROWS = 100       # texts a task works on at a time: the arrays made of them are many times their size
 A_TO_Z = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _FULL = 1 << 64
 
@@ -178,7 +179,7 @@ def _lists(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
 def _summaries(spec: JoinSpec):
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(spec.width)
-        for part in slices(batches, 1):
+        for part in slices(batches, 1, 1 << 20, SLICE_ROWS):
             x, sizes = shingle(part.column(1).to_pylist())
             n, some = len(sizes), sizes > 0
             begin = (np.cumsum(sizes) - sizes)[some]
@@ -236,7 +237,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(width: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(width)
-        for part in slices(batches, 1):
+        for part in slices(batches, 1, 1 << 20, SLICE_ROWS):
             x, sizes = shingle(part.column(1).to_pylist())
             stops = np.cumsum(sizes)
             yield pa.RecordBatch.from_arrays(

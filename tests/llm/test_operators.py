@@ -324,6 +324,15 @@ def test_components_of_a_long_chain(spark):
     assert all(got[i] == 0 for i in range(51)) and {got[i] for i in (100, 101, 102)} == {100}
 
 
+def test_join_sketches_few_texts_at_a_time():
+    import pyarrow as pa
+    texts = [" ".join(f"w{i}x{j}" for j in range(500)) for i in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    for made in (parity_join._summaries(parity_join.JoinSpec(5, 80, 100)), parity_join._sets(5)):
+        sizes = [out.num_rows for out in made(iter([batch]))]
+        assert sum(sizes) == 400 and max(sizes) <= 100
+
+
 # 7
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
