@@ -3,10 +3,13 @@
 Method
   1. A text's set: distinct word shingles, each a 64-bit hash. Texts with equal sets
      (same size, XOR and mixed sum) form one class; its smallest id stands for it.
-  2. Sizes fall into bands a factor ``BAND`` wide. |A xor B| <= D holds for every
-     linked pair whose smaller set lies in a band, so a band cuts the hash space into
-     D + 1 cells; a cell's parity sketch is the XOR of its hashes. At most D cells can
-     differ, hence a linked pair has a cell with equal sketches (pigeonhole).
+  2. Sizes fall into bands a factor ``BAND`` wide, and a band cuts the hash space into
+     cells; a cell's parity sketch is the XOR of its hashes. A linked pair differs in at
+     most D members, so in at most D cells. If either set has E > D cells with members, the two
+     share E - D of these sketches or more, hence one among the D + 1 first of each in any
+     common order: a set gives its D + 1 least sketches, and no empty cell. Bands have cells
+     enough that a set with D or fewer cells with members is rare; it gives all its cells,
+     empty ones as well, and more than D there are, so two such sets share one too.
   3. Sketch rows are range-partitioned by (sketch, id), so a hot sketch is spread over
      tasks; neighbours with the same sketch become candidate pairs.
   4. Candidates must pass the size bound and a one-bit-per-token parity sketch whose
@@ -45,16 +48,29 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayguard.llm.common import Scratch, mix64, ragged, slices, spool
+from dayguard.llm.common import Scratch, mix64, ragged, slices
+from dayguard.llm.common import spool as stored
 
-BAND = 1.5
+BAND = 2.0
 PARITY_WORDS = 16      # 64-bit words of the smallest parity sketch; larger sets have two bits a member
 CACHE = 40_000         # word hashes a task keeps
 SLICE_ROWS = 100       # texts a task works on at a time: the arrays made of them are many times their size
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 A_TO_Z = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _FULL = 1 << 64
 
 
+def spool(df: DataFrame) -> DataFrame:
+    """``df`` stored; Spark drops the shuffle files of the write when it ends."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        return stored(df)
+    finally:
+        conf.set(CLEANUP, before)
+
+
 @dataclass(frozen=True)
 class JoinSpec:
     """Shingle width and the threshold num / den as whole numbers."""
@@ -75,9 +91,24 @@ class JoinSpec:
     def band_of(self, n: int) -> int:
         return int(math.log(n) / math.log(BAND) + 1e-9)
 
+    def top(self, band: int) -> int:
+        return int(math.ceil(BAND ** (band + 1)))
+
+    def apart(self, n: int, band: int) -> int:
+        """Most |A xor B| of a linked pair with |A| = n whose smaller set lies in the band."""
+        return self.distance(n + (self.largest(n) if self.band_of(n) == band else min(n, self.top(band))))
+
     def cells(self, band: int) -> int:
-        top = int(math.ceil(BAND ** (band + 1)))
-        return self.distance(top + self.largest(top)) + 1
+        """Cells of a band: all but few of its sets have members in more of them than can differ."""
+        top = self.top(band)
+        least = self.distance(top + self.largest(top)) + 1
+        g = least
+        while 1 < g < 2 * top:
+            void = math.exp(-top / g)
+            if g * (1 - void) - 2 * math.sqrt(g * void * (1 - (1 + top / g) * void)) >= least:
+                break
+            g += 1 + g // 64
+        return g
 
     def labels(self, n: int) -> range:
         """Bands of the smaller set of any linked pair that holds a set of size n."""
@@ -126,17 +157,16 @@ class Shingler:
 def sketches(x: np.ndarray, sizes: np.ndarray, spec: JoinSpec) -> tuple[np.ndarray, np.ndarray]:
     """Cell sketches of sets (flat, sorted inside each) for every band a set can meet a partner in.
 
-    Returns (sketches of all sets one after the other, number of sketches of each set).
-    Empty cells count as well: two sets may agree in nothing but an empty cell.
+    Returns (sketches of all sets one after the other, number of sketches of each set): of each
+    band the least of cells with members, one more than can differ, or every cell's where
+    no more than can differ have members.
     """
-    plan = {n: [(b, spec.cells(b)) for b in spec.labels(n)] for n in set(sizes.tolist()) if n}
+    plan = {n: [(b, spec.cells(b), spec.apart(n, b)) for b in spec.labels(n)] for n in set(sizes.tolist()) if n}
     per = [plan.get(n, []) for n in sizes.tolist()]
     of = np.array([i for i, p in enumerate(per) for _ in p], np.int64)
-    band = np.array([b for p in per for b, _ in p], np.uint64)
-    g = np.array([c for p in per for _, c in p], np.int64)
-    made = np.bincount(of, weights=g, minlength=len(sizes)).astype(np.int64) if len(of) else np.zeros(len(sizes), np.int64)
+    band, g, apart = (np.array([q[k] for p in per for q in p], np.int64) for k in range(3))
     if not len(of):
-        return np.zeros(0, np.int64), made
+        return np.zeros(0, np.int64), np.zeros(len(sizes), np.int64)
     begin = np.cumsum(sizes) - sizes
     s = x[ragged(begin[of], sizes[of])]
     reps = sizes[of]
@@ -146,9 +176,19 @@ def sketches(x: np.ndarray, sizes: np.ndarray, spec: JoinSpec) -> tuple[np.ndarr
     first = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
     out = np.zeros(int(g.sum()), np.uint64)
     out[cell[first]] = np.bitwise_xor.reduceat(s, first)
-    place = np.arange(len(out)) - np.repeat(base, g)
-    label = place.astype(np.uint64) + (np.repeat(band, g) << np.uint64(40))
-    return mix64(out ^ mix64(label)).view(np.int64), made
+    part = np.repeat(np.arange(len(g)), g)
+    some = np.zeros(len(out), bool)
+    some[cell[first]] = True
+    scarce = np.bincount(part[some], minlength=len(g)) <= apart
+    at = np.flatnonzero(some | scarce[part])
+    part = part[at]
+    label = (at - base[part]).astype(np.uint64) + (band[part].astype(np.uint64) << np.uint64(40))
+    key = mix64(out[at] ^ mix64(label)).view(np.int64)
+    order = np.lexsort((key, part))
+    given = np.bincount(part, minlength=len(g))
+    rank = np.arange(len(order)) - np.repeat(np.cumsum(given) - given, given)
+    order = order[rank < np.where(scarce, g, apart + 1)[part]]  # part is in order already
+    return key[order], np.bincount(of[part[order]], minlength=len(sizes))
 
 
 def parity_words(n: int) -> int:
@@ -323,11 +363,14 @@ def _promising(pairs: DataFrame, summary: DataFrame, spec: JoinSpec) -> DataFram
 
 
 def _sets_of(pairs: DataFrame, docs: DataFrame, spec: JoinSpec) -> DataFrame:
-    need = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    texts = docs.select(F.col("doc_id").alias("doc"), "text").join(need, "doc", "left_semi")
+    texts = docs.select(F.col("doc_id").alias("doc"), "text").join(_ends(pairs), "doc", "left_semi")
     return spool(texts.mapInArrow(_sets(spec.width), "doc bigint, members binary"))
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, spec: JoinSpec) -> DataFrame:
     return (pairs.join(sets.select(F.col("doc").alias("a"), F.col("members").alias("s_a")), "a")
             .join(sets.select(F.col("doc").alias("b"), F.col("members").alias("s_b")), "b")
@@ -393,7 +436,7 @@ def _settled(pairs: DataFrame, sets: DataFrame, known: tuple[DataFrame, DataFram
     rest = spool(pairs.join(first, ["a", "b"], "left_anti").join(ra, "a", "left").join(rb, "b", "left")
                  .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"))
     if not rest.isEmpty():
-        found = spool(_verified(rest, sets, spec))
+        found = spool(_verified(rest, sets.join(_ends(rest), "doc", "left_semi"), spec))
         links, roots = links.union(found), merged(roots, found)
     return links, roots
 
@@ -410,7 +453,8 @@ def _sketched(docs: DataFrame, spec: JoinSpec, id_col: str, text_col: str):
     only = reps.select(F.col("class_id").alias("doc_id"))
     summary = spool(wide.where("n > 0").select("doc_id", "n", "parity", "low").join(only, "doc_id", "left_semi"))
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cells = wide.where("n > 0").select("doc_id", "cells").join(only, "doc_id", "left_semi")
+    # the same plan at any size: a table that is broadcast while it is small moves out of step with the input
+    cells = wide.where("n > 0").select("doc_id", "cells").join(only.hint("merge"), "doc_id", "left_semi")
     met = spool(_met(cells.select(F.explode("cells").alias("cell"), F.col("doc_id").alias("doc")), parts, "doc"))
     scratch.remove("wide")
     return docs, info, reps, summary, met
@@ -487,5 +531,6 @@ def component_join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str
         pairs, sets = _across(rows, docs, summary, spec)
         cross = spool(_promising(pairs.join(near, ["a", "b"], "left_anti"), summary, spec))
         if not cross.isEmpty():
+            sets = spool(sets.join(_ends(cross), "doc", "left_semi"))  # few of them, so only these are moved
             links, roots = _settled(cross, sets, (links, roots), spec)
     return _members(info, reps, roots), links
