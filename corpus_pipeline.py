@@ -84,9 +84,8 @@ def _free(name: str, columns: list[str]) -> str:
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind; n_chars follows the new text."""
     _small_batches(spark)
-    spans = pii.spans_column(F.col("text"), pii.fit(docs))
     name = _free("_new", docs.columns)
-    new = docs.withColumn(name, pii.redacted(F.col("text"), spans))
+    new = docs.withColumn(name, pii.redacted_column(F.col("text"), pii.fit(docs)))
     return new.select(*[F.col(name).alias(c) if c == "text" else F.length(name).cast(t).alias(c) if c == "n_chars"
                         else F.col(c) for c, t in docs.dtypes])
 

@@ -306,8 +306,7 @@ def _prefixes(spec: JoinSpec, count: np.ndarray):
                 x = np.frombuffer(raw, np.uint64)
                 order = np.lexsort((x, count[(x >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]))
                 first = x[order[:len(x) - spec.smallest(len(x)) + 1]].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), doc), pa.int64()), pa.array(
-                    np.full(len(first), len(x)), pa.int64()), pa.array(first)], names=["doc", "n", "member"])
+                yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(np.full(len(first), doc), pa.int64())], names=["cell", "doc"])
 
     return prefixes
 
@@ -315,8 +314,9 @@ def _prefixes(spec: JoinSpec, count: np.ndarray):
 def _across(rows: DataFrame, docs: DataFrame, summary: DataFrame, spec: JoinSpec) -> tuple[DataFrame, DataFrame]:
     """(pairs that may link different roots among rows (doc, root), sets of those docs).
 
-    The size and Hamming bounds are part of the join's condition: in a group of copies just
-    below the threshold only pairs that pass both leave the join.
+    Nearly all members are in one root's sets only; those go before the sketches come in, which
+    are many times as wide. The size and Hamming bounds are part of the join's condition: in a
+    group of copies just below the threshold only pairs that pass both leave the join.
     """
     sets = spool(docs.select(F.col("doc_id").alias("doc"), "text").join(rows.select("doc"), "doc", "left_semi")
                  .mapInArrow(_sets(spec.width), "doc bigint, members binary"))
@@ -324,8 +324,10 @@ def _across(rows: DataFrame, docs: DataFrame, summary: DataFrame, spec: JoinSpec
     seen = sets.mapInArrow(_frequencies, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     count[seen["slot"].to_numpy(int)] = seen["n"].to_numpy(int)  # at most 2 ** ORDER_BITS rows
     bits = [f"p{i}" for i in range(PARITY_WORDS)]
-    known = summary.select(F.col("doc_id").alias("doc"), *[F.col("low")[i].alias(p) for i, p in enumerate(bits)])
-    first = spool(sets.mapInArrow(_prefixes(spec, count), "doc long, n long, member long").join(rows.join(known, "doc"), "doc"))
+    parts = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shared = spool(_met(sets.mapInArrow(_prefixes(spec, count), "cell long, doc long"), parts, "doc").select("cell", "doc").join(rows, "doc"))
+    known = summary.select(F.col("doc_id").alias("doc"), "n", *[F.col("low")[i].alias(p) for i, p in enumerate(bits)])
+    first = spool(_across_roots(shared).withColumnRenamed("cell", "member").join(known, "doc"))
     l, r = first.alias("l"), first.select(*[F.col(c).alias(f"{c}_") for c in first.columns])
     far = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"{p}_"))) for p in bits), F.lit(0))
     pairs = l.join(r, (F.col("member") == F.col("member_")) & (F.col("doc") < F.col("doc_")) & (F.col("root") != F.col("root_"))
@@ -493,12 +495,16 @@ def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id"
 SHUFFLES = 4  # further orders in which a cell's neighbours are compared
 
 
+def _across_roots(rows: DataFrame) -> DataFrame:
+    """The rows (cell, root, ...) of cells with several roots."""
+    mixed = rows.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("cell")
+    return rows.join(mixed, "cell", "left_semi")
+
+
 def _mixed(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """(cell, doc, root) of the cells whose texts are still in several components."""
-    rows = spool(rows.distinct().join(roots.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "cell", "doc", F.coalesce("root", "doc").alias("root")))
-    mixed = rows.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("cell")
-    return spool(rows.join(mixed, "cell", "left_semi"))
+    return spool(_across_roots(spool(rows.distinct().join(roots.withColumnRenamed("node", "doc"), "doc", "left").select(
+        "cell", "doc", F.coalesce("root", "doc").alias("root")))))
 
 
 def component_join(docs: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id", text_col: str = "text"):

@@ -461,16 +461,20 @@ def fit(docs: DataFrame, text_col: str = "text", *, sample: int = 400, windows:
     return train(ids, tags, seed=seed) if (tags > 0).any() else None
 
 
+def all_spans(texts: list[str], model: Tagger | None, confidence: float) -> list[list[dict]]:
+    """Every text's spans in order, the rules' and those the tagger adds."""
+    rules = [base_spans(t) for t in texts]
+    more = added_spans(texts, rules, model, confidence) if model else [[] for _ in texts]
+    return [[{"kind": k, "start": s, "end": e, "base": b} for s, _, k, e, b in sorted(
+        [(s, LEARNT.index(k), k, e, True) for k, s, e in x] + [(s, LEARNT.index(k), k, e, False) for k, s, e in y])]
+        for x, y in zip(rules, more)]
+
+
 def spans_column(text: Column, model: Tagger | None, confidence: float = 0.98) -> Column:
     @F.pandas_udf(f"array<{SPAN}>")
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            texts = [t if isinstance(t, str) else "" for t in batch]
-            rules = [base_spans(t) for t in texts]
-            more = added_spans(texts, rules, model, confidence) if model else [[] for _ in texts]
-            yield pd.Series([[{"kind": k, "start": s, "end": e, "base": b} for s, _, k, e, b in sorted(
-                [(s, LEARNT.index(k), k, e, True) for k, s, e in x] + [(s, LEARNT.index(k), k, e, False) for k, s, e in y])]
-                for x, y in zip(rules, more)])
+            yield pd.Series(all_spans([t if isinstance(t, str) else "" for t in batch], model, confidence))
 
     return find(text)
 
@@ -480,26 +484,38 @@ def find(docs: DataFrame, model: Tagger | None, text_col: str = "text", confiden
     return docs.withColumn("pii", spans_column(F.col(text_col), model, confidence))
 
 
-def redacted(text: Column, spans: Column) -> Column:
+def covered(text: str | None, spans) -> str | None:
     """The text with every span replaced by its kind in angle brackets."""
+    if not isinstance(text, str) or spans is None or not len(spans):
+        return text if isinstance(text, str) else None
+    parts, at = [], 0
+    for x in spans:
+        if x["end"] <= at:
+            continue
+        parts += [text[at:max(at, x["start"])], f"<{x['kind'].upper()}>" if x["start"] >= at else ""]
+        at = x["end"]
+    return "".join(parts) + text[at:]
+
+
+def redacted(text: Column, spans: Column) -> Column:
+    """The text with every span of the column ``spans`` covered."""
     @F.pandas_udf("string")
     def cover(texts: pd.Series, found: pd.Series) -> pd.Series:
-        out = []
-        for t, spans_ in zip(texts, found):
-            if not isinstance(t, str) or spans_ is None or not len(spans_):
-                out.append(t if isinstance(t, str) else None)
-                continue
-            parts, at = [], 0
-            for x in spans_:
-                if x["end"] <= at:
-                    continue
-                parts += [t[at:max(at, x["start"])], f"<{x['kind'].upper()}>" if x["start"] >= at else ""]
-                at = x["end"]
-            out.append("".join(parts) + t[at:])
-        return pd.Series(out, dtype=object)
+        return pd.Series([covered(t, x) for t, x in zip(texts, found)], dtype=object)
 
     return cover(text, spans)
 
 
+def redacted_column(text: Column, model: Tagger | None, confidence: float = 0.98) -> Column:
+    """``redacted`` of a text and its ``spans_column``, by one Python worker of a task; two columns take two."""
+    @F.pandas_udf("string")
+    def cover(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            found = all_spans([t if isinstance(t, str) else "" for t in batch], model, confidence)
+            yield pd.Series([covered(t, x) for t, x in zip(batch, found)], dtype=object)
+
+    return cover(text)
+
+
 def digest(spans: list[tuple[str, int, int]]) -> str:
     return hashlib.sha256(joined(spans).encode()).hexdigest()

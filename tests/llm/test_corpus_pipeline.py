@@ -60,3 +60,14 @@ def test_repeated_and_missing_ids_are_judged_by_their_texts(spark, folder):
     assert len([k for k in kept if k[1] == a]) == 1 and (5, c, "w") in kept
     for _, stage in C.STAGES[:-1]:
         assert stage(spark, docs, folder).columns == docs.columns
+
+
+def test_a_task_that_redacts_has_one_python_worker(spark, folder, monkeypatch):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    monkeypatch.setattr(C.pii, "fit", lambda docs: None)
+    new = C.redact_personal(spark, docs, folder)
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1  # a second one is a second worker in the same task
+    by_columns = docs.withColumn("red", C.pii.redacted(C.F.col("text"), C.pii.spans_column(C.F.col("text"), None)))
+    want = {(r["doc_id"], r["red"]) for r in by_columns.collect()}
+    assert {(r["doc_id"], r["text"]) for r in new.collect()} == want and any("<EMAIL>" in (t or "") for _, t in want)

@@ -47,3 +47,21 @@ def test_stored_tables_leave_no_shuffle_files(spark, monkeypatch):
     before = spark.conf.get(parity_join.CLEANUP, "false")
     parity_join.spool(spark.range(3))
     assert seen == ["true"] and spark.conf.get(parity_join.CLEANUP, "false") == before
+
+
+def test_only_members_of_several_roots_are_joined_with_their_sketches(spark, monkeypatch):
+    spec, words = parity_join.JoinSpec(3, 90, 100), lambda i, n: [f"w{i}x{j}" for j in range(n)]
+    texts = {i: words(i, 200) for i in range(20)}
+    texts |= {20: texts[3][:190] + words(20, 10), 21: texts[3][:180] + words(21, 20)}  # 3 and 20 link, 21 links with neither
+    texts = {i: " ".join(w) for i, w in texts.items()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    summary = spark.createDataFrame(docs.mapInArrow(parity_join._summaries(spec), "doc_id long, n long, x long, y long, parity array<long>, low array<long>, cells array<long>").collect())
+    rows = spark.createDataFrame([(i, i) for i in texts], "doc long, root long")
+    wide, spool = [], parity_join.spool
+    monkeypatch.setattr(parity_join, "spool", lambda df: (wide.append(df) if "p0" in df.columns else None) or spool(df))
+    pairs, _ = parity_join._across(rows, docs, summary, spec)
+    assert {tuple(p) for p in pairs.collect()} >= {(3, 20)}
+    (first,) = wide
+    found = [(r["member"], r["doc"]) for r in first.collect()]
+    assert found and {d for _, d in found} <= {3, 20, 21}  # members of one text alone met nothing
+    assert all(sum(m == x for x, _ in found) > 1 for m, _ in found)
