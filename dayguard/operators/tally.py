@@ -132,8 +132,11 @@ def merge_rows(rows: DataFrame, slots: Slots) -> DataFrame:
     return rows.groupBy(KEY, "e").agg(F.min(DAY).alias(DAY), *[F.sum(m).alias(m) for m in slots.measures])
 
 
-def first_rows(sources: list[tuple[DataFrame, list[Tally]]], window: tuple[dt.date, dt.date]) -> DataFrame:
-    """(customer_id, e, day, measures): every value of every tally with its first day."""
+def first_rows(sources: list[tuple[DataFrame, list[Tally]]], window: tuple[dt.date, dt.date], known: DataFrame | None = None) -> DataFrame:
+    """(customer_id, e, day, measures): every value of every tally with its first day.
+
+    ``known``: (customer_id, e, day) of earlier rows. They meet the new ones in the same
+    aggregation; each new value then has its earlier first day as ``old`` (NULL: none)."""
     tallies = tallies_of(sources)
     slots = Slots.of(tallies)
     tag = {t.name: i for i, t in enumerate(tallies)}
@@ -143,7 +146,13 @@ def first_rows(sources: list[tuple[DataFrame, list[Tally]]], window: tuple[dt.da
         e = (by_customer(df).select(KEY, DAY, F.explode(F.expr(items)).alias("x")).where("x IS NOT NULL")
              .select(KEY, DAY, "x.e", *[f"x.m.{m}" for m in slots.measures]))
         exploded = e if exploded is None else exploded.unionByName(e)
-    return merge_rows(exploded, slots)
+    if known is None:
+        return merge_rows(exploded, slots)
+    none = [F.lit(None).cast(exploded.schema[m].dataType).alias(m) for m in (DAY, *slots.measures)]
+    earlier = by_customer(known.select(KEY, "e", DAY)).select(KEY, "e", F.col(DAY).alias("old"), *none)
+    both = exploded.withColumn("old", F.lit(None).cast("date")).unionByName(earlier)
+    return (both.groupBy(KEY, "e").agg(F.min(DAY).alias(DAY), F.min("old").alias("old"), *[F.sum(m).alias(m) for m in slots.measures])
+            .where(f"{DAY} IS NOT NULL"))
 
 
 def tallies_of(sources: list[tuple[DataFrame, list[Tally]]]) -> list[Tally]:
@@ -152,10 +161,19 @@ def tallies_of(sources: list[tuple[DataFrame, list[Tally]]]) -> list[Tally]:
     return out
 
 
-def day_counts(first: DataFrame, tallies: list[Tally]) -> DataFrame:
-    """Counts and sums per (customer_id, day) from the rows of ``first_rows``."""
+def count_columns(t: Tally) -> tuple[list[str], list[str]]:
+    """Names of a tally's counts and of its sums."""
+    return ([f"{t.name}_rows"] * t.keep_null + [t.name] + [name for name, _ in t.counts],
+            [f"{t.name}_s{i}" for i in range(len(t.sums))] + [f"{t.name}_d{i}" for i in range(len(t.doubles))])
+
+
+def day_counts(first: DataFrame, tallies: list[Tally], of=None) -> DataFrame:
+    """Counts and sums per (customer_id, day) from the rows of ``first_rows`` (of the tallies
+    that ``of`` holds for, if given)."""
     out = []
     for tag, t in enumerate(tallies):
+        if of is not None and not of(t):
+            continue
         mine = f"e.t = {tag}"
         named = mine
         if t.keep_null:

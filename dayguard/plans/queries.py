@@ -736,28 +736,40 @@ def ocsvm_rates(spark, sf) -> DataFrame:
 import dataclasses  # noqa: E402
 
 from dayguard.operators.state import FeatureState  # noqa: E402
+from dayguard.session import stored  # noqa: E402
 
 BATCH_DAYS = 10
 
 
+ARRIVING = {"order_line": "order_placed_dttm", "ga_sessions": "ga_sessions_date", "hits_products": "ga_sessions_date",
+            "hits_union": "ga_sessions_date"}
+
+
+def _batch_number(day: str):
+    due = F.least(F.ceil(F.dayofmonth(day) / BATCH_DAYS), F.lit(3)).cast("int")
+    late = (F.col("customer_id") % 5 == 0) & F.dayofmonth(day).isin(6, 14, 15)
+    return F.coalesce(F.when(late, F.lit(3)).otherwise(due), F.lit(1))
+
+
 def batch_of(inp, number: int):
     """The inputs' rows that arrive in batch 1, 2 or 3: ten days each, and every fifth
     customer's rows of some early days only with the third batch."""
-    def part(df, day):
-        due = F.least(F.ceil(F.dayofmonth(day) / BATCH_DAYS), F.lit(3)).cast("int")
-        late = (F.col("customer_id") % 5 == 0) & F.dayofmonth(day).isin(6, 14, 15)
-        return df.where(F.coalesce(F.when(late, F.lit(3)).otherwise(due), F.lit(1)) == number)
-    return dataclasses.replace(
-        inp, order_line=part(inp.order_line, "order_placed_dttm"), ga_sessions=part(inp.ga_sessions, "ga_sessions_date"),
-        hits_products=part(inp.hits_products, "ga_sessions_date"), hits_union=part(inp.hits_union, "ga_sessions_date"))
+    return dataclasses.replace(inp, **{n: getattr(inp, n).where(_batch_number(day) == number) for n, day in ARRIVING.items()})
+
+
+def arrivals(inp):
+    """``batch_of`` as a function of the number, over inputs that are built once for all batches."""
+    kept = {n: stored(getattr(inp, n).withColumn("_batch", _batch_number(day))) for n, day in ARRIVING.items()}
+    return lambda number: dataclasses.replace(inp, **{n: df.where(F.col("_batch") == number).drop("_batch") for n, df in kept.items()})
 
 
 @register
 def feature_table_incremental(spark, sf) -> DataFrame:
     """The feature table kept up to date over three batches with late rows."""
     state = FeatureState.open(spark, _scratch(spark, "state"), P, buckets=8)
+    batch = arrivals(_inp(spark, sf))
     for number in (1, 2, 3):
-        state = state.append(f"batch {number}", batch_of(_inp(spark, sf), number))
+        state = state.append(f"batch {number}", batch(number))
     return state.features()
 
 

@@ -28,10 +28,10 @@ BATCH = "batch"  # kind of the rows that list the batches taken in
 def content_digest(df: DataFrame) -> str:
     """Rows and an order-free hash of all values (one row reaches the driver)."""
     cols = [F.to_json(c) if isinstance(t.dataType, (T.MapType, T.VariantType)) else F.col(c) for c, t in ((f.name, f) for f in df.schema)]
-    h = F.xxhash64(*cols)
-    n, low, high = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(h.cast("decimal(20,0)")), F.lit(0)),
-                          F.coalesce(F.bit_xor(h), F.lit(0))).first()
-    return f"{n}-{low}-{high}"
+    h = F.col("h")
+    quarters = [F.sum(F.shiftright(h, at).bitwiseAND(F.lit(0xFFFF if at < 48 else -1).cast("long"))) for at in (0, 16, 32, 48)]
+    n, high, *low = df.select(F.xxhash64(*cols).alias("h")).agg(F.count(F.lit(1)), F.bit_xor(h), *quarters).first()
+    return f"{n}-{sum((q or 0) << 16 * i for i, q in enumerate(low))}-{high or 0}"  # sums of 16 bits do not overflow
 
 
 @dataclass
@@ -80,15 +80,34 @@ class Store:
     def write(self, kind: str, df: DataFrame, part: str = "part") -> dict:
         """New files for the parts that ``df`` has rows of: {(kind, part): folder}. Large
         parts are split over tasks and small ones put together by the engine."""
-        base = f"{self.path}/files/{kind}-{uuid.uuid4().hex}"
-        df.withColumn("_part", F.col(part)).drop(part).hint("rebalance", "_part").write.partitionBy("_part").parquet(base)
-        written = self.spark.read.schema("_part string").parquet(base)  # declared: part names stay text
-        names = [r[0] for r in written.distinct().collect()]  # parts, not rows
-        return {(kind, n): f"{base}/_part={n}" for n in names}
+        return {(kind, n): f for n, f in self.lay(kind, df.hint("rebalance", part), part).items()}
+
+    def lay(self, name: str, df: DataFrame, part: str = "part") -> dict:
+        """New files for the parts that ``df`` has rows of, as its tasks hold them: {part: folder}."""
+        base = f"{self.path}/files/{name}-{uuid.uuid4().hex}"
+        df.withColumnRenamed(part, "_part").write.partitionBy("_part").parquet(base)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(base)
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path)  # parts, not files
+        names = [s.getPath().getName() for s in found if s.isDirectory()]
+        plain = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        return {plain(n.removeprefix("_part=")): f"{base}/{n}" for n in names if n.startswith("_part=")}
+
+    def discard(self, folders: list[str]) -> None:
+        """Remove folders that no part is made of."""
+        used = set(self.parts.values())
+        for f in folders:
+            if f not in used:
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(f)
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def with_parts(self, changed: dict) -> "Store":
+        """The store as a commit of ``changed`` would leave it; a part without a folder is gone."""
+        parts = {k: f for k, f in {**self.parts, **changed}.items() if f is not None}
+        return Store(self.spark, self.path, self.version, parts, self.batches)
 
     def commit(self, changed: dict, batch: str, digest: str) -> "Store":
         """One manifest file makes all changed parts visible together."""
-        new = Store(self.spark, self.path, self.version + 1, {**self.parts, **changed}, {**self.batches, batch: digest})
+        new = Store(self.spark, self.path, self.version + 1, self.with_parts(changed).parts, {**self.batches, batch: digest})
         rows = [(new.version, k, p, f, None) for (k, p), f in sorted(new.parts.items())]
         rows += [(new.version, BATCH, b, None, d) for b, d in sorted(new.batches.items())]
         self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
