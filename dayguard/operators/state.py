@@ -131,7 +131,7 @@ class FeatureState:
         changed |= self._merged_layers(store.with_parts(changed), schema, tallies, version)
         since = rows.groupBy(KEY).agg(F.min(DAY).alias("since"))
         after = FeatureState(store.with_parts(changed), self.params, self.buckets)
-        changed |= self._replaced(after._features(schema, tallies, fams, since))
+        changed |= self._replaced(after._features(schema, tallies, fams, since, laid.get(DAILY)))
         out = FeatureState(store.commit(changed, batch, digest), self.params, self.buckets)
         out.store.discard([laid[KNOWN]] if KNOWN in laid else [])
         return out
@@ -176,37 +176,42 @@ class FeatureState:
             changed |= store.write(kind, one.withColumn("part", F.concat(self.bucket(), F.lit(f"-{version}"))))
         return changed
 
-    def _daily_rows(self, schema: T.StructType, tallies: list[Tally], since: DataFrame, from_day: str | None) -> DataFrame:
-        """One row per per-day value of the customers in ``since`` from their day on."""
+    def _daily_rows(self, schema: T.StructType, tallies: list[Tally], since: DataFrame, from_day: str | None, own: str | None) -> DataFrame:
+        """One row per per-day value of the customers in ``since`` from their day on. The rows
+        of the folder ``own``, the batch's, are all such rows."""
         held: dict = {}  # day -> folders
         for (k, p), f in self.store.parts.items():
             if k == "daily" and from_day is not None and p[:len(from_day)] >= from_day:
                 held.setdefault(p[:len(from_day)], []).append(f)
-        if not held:
+        folders = {f for fs in held.values() for f in fs}
+        read = lambda fs: self.store.spark.read.schema(schema).parquet(*sorted(fs))
+        found = [read({own})] if own in folders else []
+        if folders - {own}:
+            found.append(read(folders - {own}).join(since, KEY).where(F.col("e.d") >= F.col("since")).select(*schema.names))
+        if not found:
             return self.store.spark.createDataFrame([], schema)
-        folders = sorted({f for fs in held.values() for f in fs})
-        rows = self.store.spark.read.schema(schema).parquet(*folders).join(since, KEY).where(F.col("e.d") >= F.col("since"))
+        rows = reduce(DataFrame.unionByName, found)
         twice = [F.lit(d).cast("date") for d, fs in held.items() if len(fs) > 1]
         if not twice:
-            return rows.select(*schema.names)
+            return rows
         shared = F.col("e.d").isin(*twice)
-        return rows.where(~shared).select(*schema.names).unionByName(
-            merge_rows(rows.where(shared), Slots.of(tallies)).select(*schema.names))
+        return rows.where(~shared).unionByName(merge_rows(rows.where(shared), Slots.of(tallies)).select(*schema.names))
 
-    def _features(self, schema, tallies, fams, since: DataFrame) -> DataFrame:
+    def _features(self, schema, tallies, fams, since: DataFrame, own: str | None) -> DataFrame:
         """Feature rows of the customers in ``since`` from their day ``since`` on, out of the state."""
         since = stored(since)
         from_day = since.agg(F.min(_day("since"))).first()[0]
         mine = [r[0] for r in since.select(self.bucket()).distinct().collect()]
         # earlier days' own values change no row from ``since`` on, so these alone have session days
-        own = day_counts(self._daily_rows(schema, tallies, since, from_day), tallies, lambda t: t.per_day)
+        daily = day_counts(self._daily_rows(schema, tallies, since, from_day, own), tallies, lambda t: t.per_day)
         first = self.store.read("first", _first_schema(schema, tallies), self._parts("first", mine)).join(since, KEY)
-        before = first.withColumn(DAY, F.greatest(DAY, F.date_sub("since", 1))).drop("since")
+        before = (first.withColumn(DAY, F.greatest(DAY, F.date_sub("since", 1))).groupBy(KEY, DAY)
+                  .agg(*[F.sum(c).alias(c) for c in _first_schema(schema, tallies).names[2:]]))
         cols = []
         for t in tallies:
             counts, sums = count_columns(t)
             cols += [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in counts] + [F.sum(c).alias(c) for c in sums]
-        both = before.unionByName(own, allowMissingColumns=True).repartition(KEY).groupBy(KEY, DAY).agg(*cols)
+        both = before.unionByName(daily, allowMissingColumns=True).repartition(KEY).groupBy(KEY, DAY).agg(*cols)
         return families.outputs_of(both, fams).select(*KEY_COLS, *FEATURES)
 
     def _replaced(self, again: DataFrame) -> dict:
